@@ -16,6 +16,7 @@ from stationhour.operators.cleaning import clean
 from stationhour.operators.enrichment import add_metadata
 from stationhour.operators.summary import station_hour_summary
 from stationhour.schemas import RAW_COLUMNS, RAW_SCHEMA
+from stationhour.session import write_shared
 
 BASE_URL = "https://listing.example.org"
 AS_OF = "2025-06-01"
@@ -111,6 +112,11 @@ class Inputs:
     def enriched(self) -> DataFrame:
         return add_metadata(self.summary, self.meta)
 
+    @cached_property
+    def processed(self) -> DataFrame:
+        """The enriched summary as a written table, which is what reports read."""
+        return write_shared(self.enriched, "processed")
+
     @cached_property
     def manifest(self) -> DataFrame:
         """One file per type, district and month with orders; its size grows with its orders."""

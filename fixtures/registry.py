@@ -427,38 +427,38 @@ _CHOSEN = f"""(SELECT * FROM enriched WHERE {_BASE} AND (
 
 
 def _chosen(i: Inputs) -> DataFrame:
-    return selection.filter_selection(i.enriched, SELECTION)
+    return selection.filter_selection(i.processed, SELECTION)
 
 
 @query("filter_base", f"SELECT {_PICK} FROM enriched WHERE {_BASE}")
 def _(i: Inputs) -> DataFrame:
-    return selection.filter_base(i.enriched, SELECTION).select(*_PICK_COLUMNS)
+    return selection.filter_base(i.processed, SELECTION).select(*_PICK_COLUMNS)
 
 
 @query("filter_routes", f"SELECT {_PICK} FROM enriched WHERE route IN (39, 22, 56)")
 def _(i: Inputs) -> DataFrame:
-    return selection.filter_routes(i.enriched, SELECTION).select(*_PICK_COLUMNS)
+    return selection.filter_routes(i.processed, SELECTION).select(*_PICK_COLUMNS)
 
 
 @query("filter_lane_type", f"SELECT {_PICK} FROM enriched WHERE {_BASE} AND type = 'ML' AND route IN (39, 22, 56)")
 def _(i: Inputs) -> DataFrame:
-    return selection.filter_lane_type(i.enriched, SELECTION).select(*_PICK_COLUMNS)
+    return selection.filter_lane_type(i.processed, SELECTION).select(*_PICK_COLUMNS)
 
 
 @query("filter_direction", f"""SELECT {_PICK} FROM enriched WHERE {_BASE} AND type = 'ML'
   AND ((route = 39 AND direction = 'N') OR route = 22 OR (route = 56 AND direction = 'E'))""")
 def _(i: Inputs) -> DataFrame:
-    return selection.filter_route_choices(i.enriched, SELECTION).select(*_PICK_COLUMNS)
+    return selection.filter_route_choices(i.processed, SELECTION).select(*_PICK_COLUMNS)
 
 
 @query("filter_segment", f"SELECT {_PICK}, abs_pm FROM enriched WHERE abs_pm BETWEEN 2 AND 12")
 def _(i: Inputs) -> DataFrame:
-    return selection.filter_segment(i.enriched, 2.0, 12.0).select(*_PICK_COLUMNS, "abs_pm")
+    return selection.filter_segment(i.processed, 2.0, 12.0).select(*_PICK_COLUMNS, "abs_pm")
 
 
 @query("filter_stations", f"SELECT {_PICK} FROM enriched WHERE station IN (1, 2, 8)")
 def _(i: Inputs) -> DataFrame:
-    return selection.filter_stations(i.enriched, (1, 2, 8)).select(*_PICK_COLUMNS)
+    return selection.filter_stations(i.processed, (1, 2, 8)).select(*_PICK_COLUMNS)
 
 
 @query("filter_selection", f"SELECT {_PICK} FROM {_CHOSEN}")
@@ -468,29 +468,29 @@ def _(i: Inputs) -> DataFrame:
 
 @query("option_years", "SELECT DISTINCT year FROM enriched")
 def _(i: Inputs) -> DataFrame:
-    return options.years(i.enriched)
+    return options.years(i.processed)
 
 
 @query("option_months", "SELECT DISTINCT month_num, month FROM enriched")
 def _(i: Inputs) -> DataFrame:
-    return options.months(i.enriched)
+    return options.months(i.processed)
 
 
 @query("option_hours", "SELECT min(hour) AS min_hour, max(hour) AS max_hour FROM enriched")
 def _(i: Inputs) -> DataFrame:
-    return options.hours(i.enriched)
+    return options.hours(i.processed)
 
 
 @query("option_routes", "SELECT DISTINCT route FROM enriched")
 def _(i: Inputs) -> DataFrame:
-    return options.routes(i.enriched)
+    return options.routes(i.processed)
 
 
 @query("lane_type_options", """SELECT route, CAST(row_number() OVER w - 1 AS INT) AS position, lane_type, row_number() OVER w = 1 AS is_default
   FROM (SELECT DISTINCT route, upper(type) AS lane_type FROM enriched)
   WINDOW w AS (PARTITION BY route ORDER BY CASE lane_type WHEN 'ML' THEN 0 WHEN 'HV' THEN 1 ELSE 2 END, lane_type)""")
 def _(i: Inputs) -> DataFrame:
-    return options.lane_types(i.enriched)
+    return options.lane_types(i.processed)
 
 
 @query("direction_options", """SELECT route, string_agg(l, ',' ORDER BY l) AS letters,
@@ -498,23 +498,23 @@ def _(i: Inputs) -> DataFrame:
   CASE WHEN bool_or(l IN ('N', 'S')) THEN 'N' WHEN bool_or(l IN ('E', 'W')) THEN 'E' END AS default_direction
   FROM (SELECT DISTINCT route, upper(substr(direction, 1, 1)) AS l FROM enriched) GROUP BY route""")
 def _(i: Inputs) -> DataFrame:
-    return options.directions(i.enriched)
+    return options.directions(i.processed)
 
 
 @query("station_options", "SELECT DISTINCT station, abs_pm FROM enriched WHERE abs_pm IS NOT NULL")
 def _(i: Inputs) -> DataFrame:
-    return options.stations(i.enriched)
+    return options.stations(i.processed)
 
 
 @query("abs_pm_bounds", """SELECT route, direction AS letter, min(abs_pm) AS min_pm, max(abs_pm) AS max_pm, floor(min(abs_pm)) AS low, ceil(max(abs_pm)) AS high
   FROM enriched WHERE abs_pm IS NOT NULL GROUP BY ALL""")
 def _(i: Inputs) -> DataFrame:
-    return options.post_mile_bounds(i.enriched)
+    return options.post_mile_bounds(i.processed)
 
 
 @query("year_index", "SELECT year, CAST((dense_rank() OVER (ORDER BY year) - 1) % 10 AS INT) AS color_index FROM (SELECT DISTINCT year FROM enriched)")
 def _(i: Inputs) -> DataFrame:
-    return options.year_index(i.enriched)
+    return options.year_index(i.processed)
 
 
 # ---------------------------------------------------------------- report metrics
@@ -532,7 +532,7 @@ _PERIODS = "year IN (2020, 2021, 2024) AND month_num IN (1, 3, 5, 7, 8, 10, 12)"
   round(avg(avg_speed), 4) AS avg_speed, round(avg(avg_flow), 4) AS avg_flow
   FROM (SELECT *, bool_or(upper(type) = 'ML') OVER () AS has_ml FROM enriched WHERE {_PERIODS}) WHERE NOT has_ml OR upper(type) = 'ML'""")
 def _(i: Inputs) -> DataFrame:
-    return rounded(metrics.kpis_global(i.enriched, PERIODS_ONLY), "avg_speed", "avg_flow")
+    return rounded(metrics.kpis_global(i.processed, PERIODS_ONLY), "avg_speed", "avg_flow")
 
 
 _DENSE = """FROM (SELECT DISTINCT route, year FROM v) y CROSS JOIN mon m
@@ -544,7 +544,7 @@ _DENSE = """FROM (SELECT DISTINCT route, year FROM v) y CROSS JOIN mon m
   SELECT route, year, month_num, round(avg(avg_flow), 4) AS bar_value FROM enriched WHERE avg_flow IS NOT NULL GROUP BY ALL) v
   ON v.route = y.route AND v.year = y.year AND v.month_num = m.month_num""")
 def _(i: Inputs) -> DataFrame:
-    return rounded(metrics.route_month_one_way(i.enriched), "bar_value")
+    return rounded(metrics.route_month_one_way(i.processed), "bar_value")
 
 
 @query("route_month_twoway", f"""SELECT y.route, y.year, m.month_num, m.month, round(coalesce(v.bar_value, 0), 4) AS bar_value FROM mon m CROSS JOIN
@@ -556,7 +556,7 @@ def _(i: Inputs) -> DataFrame:
     GROUP BY e.route, year, month_num, direction) GROUP BY ALL) v
   ON v.route = y.route AND v.year = y.year AND v.month_num = m.month_num""")
 def _(i: Inputs) -> DataFrame:
-    return rounded(metrics.route_month_two_way(i.enriched), "bar_value")
+    return rounded(metrics.route_month_two_way(i.processed), "bar_value")
 
 
 @query("route_month_perlane", """SELECT y.route, y.year, m.month_num, m.month, v.line_value FROM mon m CROSS JOIN
@@ -564,17 +564,17 @@ def _(i: Inputs) -> DataFrame:
   SELECT route, year, month_num, round(median(avg_flow / lanes), 4) AS line_value FROM enriched WHERE avg_flow IS NOT NULL GROUP BY ALL) v
   ON v.route = y.route AND v.year = y.year AND v.month_num = m.month_num""")
 def _(i: Inputs) -> DataFrame:
-    return rounded(metrics.route_month_per_lane(i.enriched), "line_value")
+    return rounded(metrics.route_month_per_lane(i.processed), "line_value")
 
 
 @query("route_month_median_flow", """SELECT y.route, y.year, m.month_num, m.month, y.route <> 22 AS per_lane, v.line_value FROM mon m CROSS JOIN
   (SELECT DISTINCT route, year FROM enriched WHERE avg_flow IS NOT NULL) y LEFT JOIN (
-  SELECT route, year, month_num, round(CASE WHEN route = 22 THEN median(avg_flow) ELSE median(avg_flow / lanes) END, 4) AS line_value
-  FROM enriched WHERE avg_flow IS NOT NULL GROUP BY ALL) v
+  SELECT route, year, month_num, round(median(CASE WHEN route = 22 THEN avg_flow ELSE avg_flow / lanes END), 4) AS line_value
+  FROM enriched WHERE avg_flow IS NOT NULL GROUP BY route, year, month_num) v
   ON v.route = y.route AND v.year = y.year AND v.month_num = m.month_num""")
 def _(i: Inputs) -> DataFrame:
     # route 22 reports no lane counts, so its line falls back to flow
-    rows = i.enriched.withColumn("lanes", F.when(F.col("route") != 22, F.col("lanes")))
+    rows = i.processed.withColumn("lanes", F.when(F.col("route") != 22, F.col("lanes")))
     return rounded(metrics.route_month_line(rows), "line_value")
 
 
@@ -590,12 +590,12 @@ def _(i: Inputs) -> DataFrame:
 
 @query("station_map_global", _points(f"enriched WHERE {_PERIODS}", "station", "avg_flow_sel"))
 def _(i: Inputs) -> DataFrame:
-    return rounded(metrics.station_map_global(i.enriched, PERIODS_ONLY), "avg_flow_sel")
+    return rounded(metrics.station_map_global(i.processed, PERIODS_ONLY), "avg_flow_sel")
 
 
 @query("station_year_month", _points(f"enriched WHERE {_PERIODS}", "station, year, month_num, month", "avg_flow_ym", ", min(district) AS district"))
 def _(i: Inputs) -> DataFrame:
-    return rounded(metrics.station_year_month(i.enriched, PERIODS_ONLY), "avg_flow_ym")
+    return rounded(metrics.station_year_month(i.processed, PERIODS_ONLY), "avg_flow_ym")
 
 
 @query("map_domain", f"""SELECT round(avg(latitude), 6) AS center_lat, round(avg(longitude), 6) AS center_lon,
@@ -603,13 +603,13 @@ def _(i: Inputs) -> DataFrame:
   SELECT station, median(latitude) AS latitude, median(longitude) AS longitude, avg(avg_flow) AS avg_flow_sel
   FROM enriched WHERE {_PERIODS} AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY station)""")
 def _(i: Inputs) -> DataFrame:
-    domain = metrics.map_domain(metrics.station_map_global(i.enriched, PERIODS_ONLY))
+    domain = metrics.map_domain(metrics.station_map_global(i.processed, PERIODS_ONLY))
     return rounded(rounded(domain, "center_lat", "center_lon", digits=6), "color_min", "color_max")
 
 
 @query("speed_by_hour", "SELECT hour, year, round(avg(avg_speed), 4) AS avg_speed FROM enriched GROUP BY ALL")
 def _(i: Inputs) -> DataFrame:
-    return rounded(metrics.speed_by_hour(i.enriched), "avg_speed")
+    return rounded(metrics.speed_by_hour(i.processed), "avg_speed")
 
 
 def _pivot(column: str, values: list, names: list[str], value: str, source: str) -> str:
@@ -619,14 +619,14 @@ def _pivot(column: str, values: list, names: list[str], value: str, source: str)
 
 @query("speed_by_hour_pivot", _pivot("year", ALL_YEARS, [str(y) for y in ALL_YEARS], "avg_speed", "enriched"))
 def _(i: Inputs) -> DataFrame:
-    return rounded(metrics.speed_by_hour_pivot(i.enriched, ALL_YEARS), *[str(y) for y in ALL_YEARS])
+    return rounded(metrics.speed_by_hour_pivot(i.processed, ALL_YEARS), *[str(y) for y in ALL_YEARS])
 
 
 # ---------------------------------------------------------------- exploration
 
 @query("heatmap_hour_month", _pivot("month", [f"'{m}'" for m in periods.MONTHS], periods.MONTHS, "median_flow", "summ"))
 def _(i: Inputs) -> DataFrame:
-    return rounded(exploration.heatmap_hour_month(i.summary), *periods.MONTHS)
+    return rounded(exploration.heatmap_hour_month(i.processed), *periods.MONTHS)
 
 
 _TOP = "(SELECT route, count(*) AS row_count FROM summ GROUP BY route ORDER BY row_count DESC, route LIMIT {k})"
@@ -634,7 +634,7 @@ _TOP = "(SELECT route, count(*) AS row_count FROM summ GROUP BY route ORDER BY r
 
 @query("top_routes", f"SELECT * FROM {_TOP.format(k=5)}")
 def _(i: Inputs) -> DataFrame:
-    return exploration.top_routes(i.summary)
+    return exploration.top_routes(i.processed)
 
 
 @query("top_routes_box", f"""SELECT b.route, min(s.median_speed) AS whisker_low, q1, b.median, q3, max(s.median_speed) AS whisker_high
@@ -643,19 +643,19 @@ def _(i: Inputs) -> DataFrame:
   JOIN summ s ON s.route = b.route AND s.median_speed BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)
   GROUP BY b.route, q1, b.median, q3""")
 def _(i: Inputs) -> DataFrame:
-    return exploration.top_routes_box(i.summary, 3)
+    return exploration.top_routes_box(i.processed, 3)
 
 
 @query("systematic_sample", f"""SELECT {_ORDER}, median_flow, median_speed FROM (
   SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS rn FROM summ) WHERE (rn - 1) % 10 = 0""")
 def _(i: Inputs) -> DataFrame:
     columns = [*_ORDER.split(", "), "median_flow", "median_speed"]
-    return exploration.systematic_sample(i.summary.select(*columns)).select(*columns)
+    return exploration.systematic_sample(i.processed.select(*columns)).select(*columns)
 
 
 @query("hour_direction_flow", "SELECT hour, direction, round(avg(median_flow), 4) AS avg_median_flow FROM summ WHERE direction IN ('N', 'S', 'E', 'W') GROUP BY ALL")
 def _(i: Inputs) -> DataFrame:
-    return rounded(exploration.hour_direction_flow(i.summary), "avg_median_flow")
+    return rounded(exploration.hour_direction_flow(i.processed), "avg_median_flow")
 
 
 @query("occupancy_hist", """SELECT t.type, CAST(b.bin AS INT) AS bin, round(low + b.bin * w, 6) AS bin_start, coalesce(n, 0) AS n, round(coalesce(n, 0) / (total * w), 6) AS density
@@ -665,35 +665,35 @@ def _(i: Inputs) -> DataFrame:
     JOIN (SELECT type, min(median_occup) AS low, (max(median_occup) - min(median_occup)) / 50 AS w FROM summ GROUP BY type) l ON l.type = s.type
     GROUP BY ALL) c ON c.type = t.type AND c.bin = b.bin""")
 def _(i: Inputs) -> DataFrame:
-    return rounded(exploration.occupancy_histogram(i.summary), "bin_start", "density", digits=6)
+    return rounded(exploration.occupancy_histogram(i.processed), "bin_start", "density", digits=6)
 
 
 @query("monthly_trend", "SELECT month_num, month, round(avg(median_flow), 4) AS avg_median_flow FROM summ GROUP BY ALL")
 def _(i: Inputs) -> DataFrame:
-    return rounded(exploration.monthly_trend(i.summary), "avg_median_flow")
+    return rounded(exploration.monthly_trend(i.processed), "avg_median_flow")
 
 
 @query("peak_offpeak", """SELECT CASE WHEN hour BETWEEN 7 AND 9 OR hour BETWEEN 16 AND 18 THEN 'Peak (7-9, 16-18)' ELSE 'Off-peak' END AS period,
   round(avg(median_speed), 4) AS avg_median_speed FROM summ GROUP BY 1""")
 def _(i: Inputs) -> DataFrame:
-    return rounded(exploration.peak_off_peak(i.summary), "avg_median_speed")
+    return rounded(exploration.peak_off_peak(i.processed), "avg_median_speed")
 
 
 @query("data_summary", f"""SELECT count(DISTINCT station) AS total_stations, printf('%.0f vehicles/hour', avg(median_flow)) AS average_flow,
   printf('%.1f mph', avg(median_speed)) AS average_speed,
   (SELECT string_agg(route, ', ' ORDER BY row_count DESC, route) FROM {_TOP.format(k=5)}) AS top_routes FROM summ""")
 def _(i: Inputs) -> DataFrame:
-    return exploration.data_summary(i.summary)
+    return exploration.data_summary(i.processed)
 
 
 @query("stations_on_routes", "SELECT count(DISTINCT station) AS stations FROM summ WHERE route IN (5, 22, 91)")
 def _(i: Inputs) -> DataFrame:
-    return exploration.stations_on_routes(i.summary, [5, 22, 91])
+    return exploration.stations_on_routes(i.processed, [5, 22, 91])
 
 
 @query("metric_domain", "SELECT min(median_flow) AS color_min, max(median_flow) AS color_max FROM summ")
 def _(i: Inputs) -> DataFrame:
-    return exploration.metric_domain(i.summary)
+    return exploration.metric_domain(i.processed)
 
 
 # ---------------------------------------------------------------- streaming
@@ -730,15 +730,16 @@ def _(i: Inputs) -> DataFrame:
     return rounded(tables.scan_processed(i.spark, table), *SD)
 
 
-@query("stream_window", """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS rows,
-  round(avg(value), 4) AS mean_value, round(median(value), 4) AS median_value
-  FROM events GROUP BY ALL HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
+@query("stream_window", """SELECT window_start, event_type, count(*) AS rows, avg(value) AS mean_value, median(value) AS median_value
+  FROM (SELECT date_trunc('hour', ts) AS window_start, event_type, CAST(CAST(round(value * 100) AS INT) AS DOUBLE) AS value FROM events)
+  WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY window_start, event_type""")
 def _(i: Inputs) -> DataFrame:
     events = (i.spark.readStream.schema(i.table("events").schema).option("pathGlobFilter", "events.parquet")
               .parquet(i.sf_dir))
-    counts = windows.windowed_value_counts(events, "ts", ["event_type"], "value")
+    cents = events.withColumn("value", F.round(F.col("value") * 100).cast("int"))
+    counts = windows.windowed_value_counts(cents, "ts", ["event_type"], "value")
     table = shared_path(i.spark, "stream-counts")
     ingest.append_stream(counts, table, shared_path(i.spark, "stream-mark"))
     emitted = i.spark.read.schema(counts.schema).parquet(table)
-    return rounded(windows.window_summary(emitted, ["event_type"]), "mean_value", "median_value").select(
+    return windows.window_summary(emitted, ["event_type"]).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "rows", "mean_value", "median_value")

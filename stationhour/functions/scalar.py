@@ -15,10 +15,20 @@ _LOCAL_STAMP = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{1,2}:\d{1,2})$"
 def local_timestamp(text: Column) -> Column:
     """Local ``MM/dd/yyyy HH:mm:ss`` text as TIMESTAMP_NTZ; anything else is null.
 
-    No session time zone is involved, so the hour stays as written on the day clocks change.
+    No session time zone is involved, so the hour stays as written on the day clocks change. The
+    mark tells rewritten text from text that did not match.
     """
-    iso = F.regexp_replace(text, _LOCAL_STAMP, "$3-$1-$2 $4")
-    return F.when(iso != text, iso.try_cast("timestamp_ntz"))
+    iso = F.split_part(F.regexp_replace(text, _LOCAL_STAMP, "\x01$3-$1-$2 $4"), F.lit("\x01"), F.lit(2))
+    return iso.try_cast("timestamp_ntz")
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that it is evaluated once per row.
+
+    A projected expression is copied into every filter above it that uses the column; a generated
+    one is not. The array has exactly one element.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationhour.functions.periods import month_name, weekday_name
-from stationhour.functions.scalar import lane_count, local_timestamp, select_existing
+from stationhour.functions.scalar import computed_once, lane_count, local_timestamp, select_existing
 from stationhour.schemas import CLEAN_COLUMNS, Params
 
 
@@ -16,7 +16,7 @@ def keep_observed(rows: DataFrame, min_pct_obs: int = Params.min_pct_obs) -> Dat
 
 def add_date_parts(rows: DataFrame, stamp: str = "time_stamp_string") -> DataFrame:
     """date, year, month, month_num, hour and day_of_week from the local time stamp text."""
-    parsed = rows.withColumn("local_ts", local_timestamp(F.col(stamp)))
+    parsed = computed_once(rows, "local_ts", local_timestamp(F.col(stamp)))
     parsed = parsed.withColumns({"date": F.to_date("local_ts"), "hour": F.hour("local_ts")})
     return parsed.withColumns({
         "year": F.year("date"), "month_num": F.month("date"),

@@ -20,7 +20,7 @@ def request_grid(scopes: DataFrame, base_url: str) -> DataFrame:
             .where(F.col("start_year") <= F.col("end_year"))
             .select("file_type", F.explode("districts").alias("district"), "start_year", "end_year")
             .select("file_type", F.col("district").cast("string").alias("district"),
-                    F.explode(F.sequence("start_year", "end_year")).cast("string").alias("year")))
+                    F.explode(F.transform(F.sequence("start_year", "end_year"), lambda y: y.cast("string"))).alias("year")))
     return grid.withColumn("url", F.format_string(REQUEST_FORMAT, F.lit(base_url), "district", "year", "file_type"))
 
 

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationhour.functions.periods import month_name
 from stationhour.functions.quantiles import grouped_medians
 from stationhour.schemas import MEASURES, STATISTICS, SUMMARY_KEYS, Params
+from stationhour.session import broadcast_if_within, write_shared
 
 HOT_KEYS = ["year", "month_num", "station"]
+# the month name follows from its number and is added after grouping
+GROUP_KEYS = [k for k in SUMMARY_KEYS if k != "month"]
 
 
 def _moments() -> list[Column]:
@@ -20,13 +24,13 @@ def _moments() -> list[Column]:
 
 def _plain(rows: DataFrame) -> DataFrame:
     medians = [F.median(column).alias(f"median_{suffix}") for column, suffix in MEASURES.items()]
-    return rows.groupBy(*SUMMARY_KEYS).agg(*medians, *_moments())
+    return rows.groupBy(*GROUP_KEYS).agg(*medians, *_moments())
 
 
 def _split(rows: DataFrame) -> DataFrame:
-    medians = grouped_medians(rows, SUMMARY_KEYS, {
+    medians = grouped_medians(rows, GROUP_KEYS, {
         f"median_{suffix}": F.col(column) for column, suffix in MEASURES.items()})
-    return rows.groupBy(*SUMMARY_KEYS).agg(*_moments()).join(medians, SUMMARY_KEYS, "left")
+    return rows.groupBy(*GROUP_KEYS).agg(*_moments()).join(medians, GROUP_KEYS, "left")
 
 
 def hot_station_months(rows: DataFrame, hot_rows: int) -> DataFrame:
@@ -41,16 +45,17 @@ def station_hour_summary(clean_rows: DataFrame, params: Params = Params()) -> Da
 
     Rows with a null key drop out. The built-in median keeps a group's distinct values in one
     buffer, so a station-month with more than ``hot_rows`` rows has its medians computed from
-    spread value counts instead. The hot keys are broadcast: at the default of a million rows a
-    trillion rows have at most a million of them. Without any, adaptive execution prunes that
-    branch before it scans.
+    spread value counts instead. Looking for such station-months runs a count over three key
+    columns; ``hot_rows=None`` skips it where groups are known to be small.
     """
-    rows = clean_rows.dropna(subset=SUMMARY_KEYS)
-    if params.hot_rows is None:
-        summary = _plain(rows)
-    else:
-        hot = F.broadcast(hot_station_months(rows, params.hot_rows))
-        summary = _plain(rows.join(hot, HOT_KEYS, "left_anti")).unionByName(
-            _split(rows.join(hot, HOT_KEYS, "left_semi")))
+    rows = clean_rows.dropna(subset=GROUP_KEYS)
+    summary = _plain(rows)
+    if params.hot_rows is not None:
+        found = write_shared(hot_station_months(rows, params.hot_rows), "hot-station-months")
+        if not found.isEmpty():
+            hot = broadcast_if_within(found)
+            summary = _plain(rows.join(hot, HOT_KEYS, "left_anti")).unionByName(
+                _split(rows.join(hot, HOT_KEYS, "left_semi")))
     return (summary.where(F.col("days_observed") >= params.min_days)
+            .withColumn("month", month_name(F.col("month_num")))
             .select(*SUMMARY_KEYS, *STATISTICS, "days_observed"))

@@ -53,8 +53,7 @@ def districts(catalogues: DataFrame, form_data: str = "form_data") -> DataFrame:
 
 def page_script(html: Column, variable: str = PAGE_VARIABLE) -> Column:
     """Text of the first script element of a page that mentions ``variable``."""
-    after_tag = F.slice(F.split(html, r"(?i)<script[^>]*>"), 2, 2147483647)
-    holding = F.filter(after_tag, lambda part: F.contains(part, F.lit(variable)))
+    holding = F.filter(F.split(html, r"(?i)<script[^>]*>"), lambda part, i: (i > 0) & part.contains(variable))
     return F.get(F.split(F.get(holding, F.lit(0)), r"(?i)</script\s*>"), F.lit(0))
 
 

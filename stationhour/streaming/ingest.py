@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationhour.operators.cleaning import clean
 from stationhour.operators.enrichment import enrich
@@ -58,7 +59,7 @@ def upsert_stream(rows: DataFrame, landed: str, table: str, checkpoint: str, met
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PERIOD, "batch_id").parquet(landed))
         spark_ = batch.sparkSession
-        stored = spark_.read.schema(batch.schema.add("batch_id", "int")).parquet(landed)
+        stored = spark_.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(landed)
         # partition columns only; at most twelve periods a year
         touched = stored.where(F.col("batch_id") == batch_id).select(*PERIOD).distinct()
         months = stored.join(F.broadcast(touched), PERIOD, "left_semi").drop("batch_id")
