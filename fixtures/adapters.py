@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationhour.functions.periods import holiday_calendar, month_name
-from stationhour.operators.cleaning import clean
+from stationhour.operators.cleaning import clean, keep_observed
 from stationhour.operators.enrichment import add_metadata
 from stationhour.operators.summary import station_hour_summary
 from stationhour.schemas import RAW_COLUMNS, RAW_SCHEMA
@@ -106,7 +106,7 @@ class Inputs:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return station_hour_summary(self.clean)
+        return station_hour_summary(self.clean, counted=keep_observed(self.raw_l))
 
     @cached_property
     def enriched(self) -> DataFrame:

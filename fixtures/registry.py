@@ -20,6 +20,7 @@ from stationhour.session import shared_path
 from stationhour.sources import documents, raw, tables
 from stationhour.streaming import ingest, windows
 
+MAKERS: dict[str, Callable[[Inputs], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,6 +35,7 @@ ALL_YEARS = list(range(2019, 2026))
 
 def query(name: str, sql: str | None = None):
     def register(make: Callable[[Inputs], DataFrame]):
+        MAKERS[name] = make
         QUERIES[name] = lambda spark, sf_dir: make(Inputs(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = with_inputs(sql)

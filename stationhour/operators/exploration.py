@@ -106,12 +106,12 @@ def data_summary(df: DataFrame, k: int = 5) -> DataFrame:
     ranked = top_routes(df, k).agg(F.array_sort(F.collect_list(
         F.struct((-F.col("row_count")).alias("order"), F.col("route")))).alias("ranked"))
     names = F.array_join(F.transform("ranked", lambda r: r["route"].cast("string")), ", ")
-    # both sides are a single row
-    joined = figures.withColumn("one", F.lit(1)).join(F.broadcast(ranked.withColumn("one", F.lit(1))), "one")
-    return joined.select("total_stations",
-                         F.format_string("%.0f vehicles/hour", F.rint("flow")).alias("average_flow"),
-                         F.format_string("%.1f mph", F.col("speed")).alias("average_speed"),
-                         names.alias("top_routes"))
+    # two single rows become one
+    both = figures.unionByName(ranked.select(names.alias("top_routes")), allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return one.select("total_stations",
+                      F.format_string("%.0f vehicles/hour", F.rint("flow")).alias("average_flow"),
+                      F.format_string("%.1f mph", F.col("speed")).alias("average_speed"), "top_routes")
 
 
 def stations_on_routes(df: DataFrame, routes: Sequence[int]) -> DataFrame:

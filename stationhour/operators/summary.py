@@ -10,7 +10,6 @@ from stationhour.functions.quantiles import grouped_medians
 from stationhour.schemas import MEASURES, STATISTICS, SUMMARY_KEYS, Params
 from stationhour.session import broadcast_if_within, write_shared
 
-HOT_KEYS = ["year", "month_num", "station"]
 # the month name follows from its number and is added after grouping
 GROUP_KEYS = [k for k in SUMMARY_KEYS if k != "month"]
 
@@ -33,29 +32,32 @@ def _split(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*GROUP_KEYS).agg(*_moments()).join(medians, GROUP_KEYS, "left")
 
 
-def hot_station_months(rows: DataFrame, hot_rows: int) -> DataFrame:
-    """Station-months above ``hot_rows`` rows: at most (rows / hot_rows) of them."""
-    return (rows.groupBy(*HOT_KEYS).agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > hot_rows).select(*HOT_KEYS))
+def hot_stations(rows: DataFrame, hot_rows: int) -> DataFrame:
+    """Stations above ``hot_rows`` rows: at most (rows / hot_rows) of them."""
+    return (rows.groupBy("station").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > hot_rows).select("station"))
 
 
-def station_hour_summary(clean_rows: DataFrame, params: Params = Params()) -> DataFrame:
+def station_hour_summary(clean_rows: DataFrame, params: Params = Params(),
+                         counted: DataFrame | None = None) -> DataFrame:
     """Median, mean and sample deviation of each measure and the row count per station, hour,
     month and lane count, for groups of at least ``min_days`` rows.
 
     Rows with a null key drop out. The built-in median keeps a group's distinct values in one
-    buffer, so a station-month with more than ``hot_rows`` rows has its medians computed from
-    spread value counts instead. Looking for such station-months runs a count over three key
-    columns; ``hot_rows=None`` skips it where groups are known to be small.
+    buffer, so a station with more than ``hot_rows`` rows (a detector has some nine thousand a
+    year) has its medians computed from spread value counts instead. Looking for such stations
+    counts one column of ``counted``, rows that include the cleaned ones, such as the raw rows,
+    by default of ``clean_rows``. ``hot_rows=None`` skips the search where groups are known to be
+    small.
     """
     rows = clean_rows.dropna(subset=GROUP_KEYS)
     summary = _plain(rows)
     if params.hot_rows is not None:
-        found = write_shared(hot_station_months(rows, params.hot_rows), "hot-station-months")
+        found = write_shared(hot_stations(rows if counted is None else counted, params.hot_rows), "hot-stations")
         if not found.isEmpty():
             hot = broadcast_if_within(found)
-            summary = _plain(rows.join(hot, HOT_KEYS, "left_anti")).unionByName(
-                _split(rows.join(hot, HOT_KEYS, "left_semi")))
+            summary = _plain(rows.join(hot, "station", "left_anti")).unionByName(
+                _split(rows.join(hot, "station", "left_semi")))
     return (summary.where(F.col("days_observed") >= params.min_days)
             .withColumn("month", month_name(F.col("month_num")))
             .select(*SUMMARY_KEYS, *STATISTICS, "days_observed"))

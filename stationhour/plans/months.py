@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationhour.operators.cleaning import clean
+from stationhour.operators.cleaning import clean, keep_observed
 from stationhour.operators.enrichment import enrich
 from stationhour.operators.files import pending_months
 from stationhour.operators.summary import station_hour_summary
@@ -18,7 +18,8 @@ from stationhour.sources.tables import scan_processed, write_months
 def month_pipeline(raw_rows: DataFrame, meta: DataFrame, calendar: DataFrame, params: Params = Params(),
                    on_missing: str = "drop_month") -> DataFrame:
     """Clean, summarise and enrich raw rows of any number of months in one plan."""
-    return enrich(station_hour_summary(clean(raw_rows, calendar, params), params), meta, on_missing)
+    observed = keep_observed(raw_rows, params.min_pct_obs)
+    return enrich(station_hour_summary(clean(raw_rows, calendar, params), params, observed), meta, on_missing)
 
 
 def backfill(spark: SparkSession, raw_folder: str, table: str, meta: DataFrame, calendar: DataFrame,

@@ -104,7 +104,7 @@ class Params:
     min_pct_obs: int = 80
     min_days: int = 4
     lane_rule: str = "first_gap"        # or "populated"
-    hot_rows: int | None = 1_000_000    # station-months above this take the split median
+    hot_rows: int | None = 1_000_000    # stations above this take the split median
 
 
 @dataclass(frozen=True)

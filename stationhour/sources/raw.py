@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stationhour.functions.periods import name_period, with_name_period
 from stationhour.functions.scalar import local_timestamp, nan_to_null
@@ -14,7 +13,6 @@ from stationhour.schemas import PERIOD, RAW_COLUMNS, RAW_SCHEMA, Params
 from stationhour.session import broadcast_if_within
 
 RAW_GLOB = "*.{txt,gz}"
-CORRUPT = "_corrupt_record"
 
 
 def discover_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,21 +63,18 @@ def quarantine(spark: SparkSession, paths: str | Iterable[str], params: Params =
     with an unreadable time stamp.
     """
     paths = paths if isinstance(paths, str) else list(paths)
-    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-    rows = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("pathGlobFilter", RAW_GLOB).csv(paths)
-            .select("time_stamp_string", "pct_obs", CORRUPT,
+    rows = (spark.read.option("pathGlobFilter", RAW_GLOB).text(paths)
+            .select(F.col("value").alias("record"), F.split("value", ",").alias("fields"),
                     F.col("_metadata.file_path").alias("file_path"),
                     F.col("_metadata.file_name").alias("file_name")))
-    fields = F.size(F.split(CORRUPT, ","))
-    bad_stamp = (F.col("pct_obs") >= params.min_pct_obs) & local_timestamp(F.col("time_stamp_string")).isNull()
-    reason = (F.when(fields > len(RAW_COLUMNS), "too many fields")
-              .when(fields == len(RAW_COLUMNS), "unreadable value")
-              .when(bad_stamp, "unreadable time stamp"))
-    return (rows.withColumn("reason", reason).where("reason IS NOT NULL")
-            .select("file_path", "file_name", "reason",
-                    F.coalesce(CORRUPT, "time_stamp_string").alias("record")))
+    text = [i for i, f in enumerate(RAW_SCHEMA) if f.dataType.typeName() == "string"]
+    numbers = F.filter("fields", lambda value, i: ~i.isin(*text))
+    unreadable = F.exists(numbers, lambda value: (F.trim(value) != "") & value.try_cast("double").isNull())
+    quality = F.get("fields", F.lit(RAW_COLUMNS.index("pct_obs"))).try_cast("double")
+    bad_stamp = (quality >= params.min_pct_obs) & local_timestamp(F.get("fields", F.lit(0))).isNull()
+    reason = (F.when(F.size("fields") > len(RAW_COLUMNS), "too many fields")
+              .when(unreadable, "unreadable value").when(bad_stamp, "unreadable time stamp"))
+    return rows.select("file_path", "file_name", reason.alias("reason"), "record").where("reason IS NOT NULL")
 
 
 def without_bad_files(rows: DataFrame, bad: DataFrame) -> DataFrame:
