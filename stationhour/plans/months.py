@@ -17,9 +17,16 @@ from stationhour.sources.tables import scan_processed, write_months
 
 def month_pipeline(raw_rows: DataFrame, meta: DataFrame, calendar: DataFrame, params: Params = Params(),
                    on_missing: str = "drop_month") -> DataFrame:
-    """Clean, summarise and enrich raw rows of any number of months in one plan."""
+    """Clean, summarise and enrich raw rows of any number of months in one plan.
+
+    The coverage gate reads the summary a second time, so the summary is written to the shared
+    folder instead of being computed twice from the raw rows.
+    """
     observed = keep_observed(raw_rows, params.min_pct_obs)
-    return enrich(station_hour_summary(clean(raw_rows, calendar, params), params, observed), meta, on_missing)
+    summary = station_hour_summary(clean(raw_rows, calendar, params), params, observed)
+    if on_missing == "drop_month":
+        summary = write_shared(summary, "summary")
+    return enrich(summary, meta, on_missing)
 
 
 def backfill(spark: SparkSession, raw_folder: str, table: str, meta: DataFrame, calendar: DataFrame,
