@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fixtures.landing import land_raw
 from stationhour.functions.periods import holiday_calendar, month_name
 from stationhour.operators.cleaning import clean, keep_observed
 from stationhour.operators.enrichment import add_metadata
@@ -117,6 +118,15 @@ class Inputs:
         """The enriched summary as a written table, which is what reports read."""
         return write_shared(self.enriched, "processed")
 
+    @cached_property
+    def landed_l(self) -> str:
+        """Folder of gzip text files holding ``raw_l``."""
+        return land_raw(self.raw_l)
+
+    @cached_property
+    def landed_e(self) -> str:
+        return land_raw(self.raw_e)
+
     @cached_property
     def manifest(self) -> DataFrame:
         """One file per type, district and month with orders; its size grows with its orders."""

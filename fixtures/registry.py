@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures.adapters import AS_OF, BASE_URL, Inputs
-from fixtures.landing import land_raw, land_yearly
+from fixtures.landing import land_yearly
 from fixtures.sql import with_inputs
 from stationhour.functions import periods, scalar
 from stationhour.operators import cleaning, enrichment, exploration, files, metrics, options, selection
@@ -60,7 +60,7 @@ _RAW_SQL = """SELECT strftime(date, '%m/%d/%Y') || ' ' || lpad(CAST(hour AS VARC
 
 @query("scan_raw", _RAW_SQL)
 def _(i: Inputs) -> DataFrame:
-    return raw.scan_raw(i.spark, land_raw(i.raw_l)).select(
+    return raw.scan_raw(i.spark, i.landed_l).select(
         "time_stamp_string", "station", "district", "route", "direction", "type", "length", "pct_obs",
         "flow", "occupancy", "speed", *[f"flow_{n}" for n in range(1, 9)])
 
@@ -71,12 +71,12 @@ _DISCOVERED = """(SELECT 'd' || lpad(CAST(district AS VARCHAR), 2, '0') || '_tex
 
 @query("file_discovery", f"SELECT * FROM {_DISCOVERED}")
 def _(i: Inputs) -> DataFrame:
-    return raw.discover_files(i.spark, land_raw(i.raw_l)).select("file_name", "year", "month_num", "month")
+    return raw.discover_files(i.spark, i.landed_l).select("file_name", "year", "month_num", "month")
 
 
 @query("latest_file", f"SELECT year, month_num, max(file_name) AS file_name FROM {_DISCOVERED} GROUP BY ALL")
 def _(i: Inputs) -> DataFrame:
-    return raw.latest_files(raw.discover_files(i.spark, land_raw(i.raw_l))).drop("file_path")
+    return raw.latest_files(raw.discover_files(i.spark, i.landed_l)).drop("file_path")
 
 
 @query("filename_period", "SELECT file_name, CAST(year AS INT) AS year, month_num, month FROM files")
@@ -395,7 +395,7 @@ def _(i: Inputs) -> DataFrame:
 @query("backfill", _rounded_sql("enriched"))
 def _(i: Inputs) -> DataFrame:
     table = shared_path(i.spark, "backfill")
-    folder = land_raw(i.raw_l)
+    folder = i.landed_l
     backfill(i.spark, folder, table, i.meta, i.calendar)
     # a second run finds only months that yield no rows
     return rounded(backfill(i.spark, folder, table, i.meta, i.calendar), *SD)
@@ -701,7 +701,7 @@ def _(i: Inputs) -> DataFrame:
 # ---------------------------------------------------------------- streaming
 
 def _streamed_clean(i: Inputs) -> DataFrame:
-    rows = ingest.read_raw_stream(i.spark, land_raw(i.raw_e), files_per_batch=1)
+    rows = ingest.read_raw_stream(i.spark, i.landed_e, files_per_batch=1)
     return ingest.clean_stream(rows, i.calendar)
 
 
@@ -709,7 +709,7 @@ def _streamed_clean(i: Inputs) -> DataFrame:
   station, hour, pct_obs, flow, speed FROM (SELECT * FROM raw_e)""")
 def _(i: Inputs) -> DataFrame:
     table, mark = shared_path(i.spark, "stream-raw"), shared_path(i.spark, "stream-mark")
-    rows = ingest.read_raw_stream(i.spark, land_raw(i.raw_e), files_per_batch=1).select(
+    rows = ingest.read_raw_stream(i.spark, i.landed_e, files_per_batch=1).select(
         "file_name", "time_stamp_string", "station", "pct_obs", "flow", "speed")
     ingest.append_stream(rows, table, mark)
     ingest.append_stream(rows, table, mark)   # a second run finds no new file

@@ -39,6 +39,9 @@ def quantiles_of_counts(counts: DataFrame, keys: Sequence[str],
     """Interpolated quantiles from :func:`value_counts`; one column per (measure, fraction)."""
     group = [*keys, "measure"]
     bucketed = counts.withColumn("bucket", value_bucket(F.col("value")))
+    # the join below implies these filters for one side; stated here, both sides share one exchange
+    for column in [*group, "bucket"]:
+        bucketed = bucketed.where(F.col(column).isNotNull())
     sizes = bucketed.groupBy(*group, "bucket").agg(F.sum("n").alias("bucket_n"))
 
     # at most a few ten thousand buckets per group, whatever its number of rows
@@ -86,7 +89,7 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], measures: dict[str, Co
                       quantiles: dict[str, tuple[str, float]]) -> DataFrame:
     """Exact quantiles per group, e.g. ``quantiles={"median_flow": ("flow", 0.5)}``.
 
-    Groups without a single non-null value in any measure have no row.
+    Groups with a null key, or without a non-null value in any measure, have no row.
     """
     return quantiles_of_counts(value_counts(df, keys, measures), keys, quantiles)
 

@@ -82,9 +82,12 @@ def occupancy_histogram(df: DataFrame, bins: int = 50, lane_types: Sequence[str]
     edge = lambda i: F.col("low") + i * F.col("width")
     binned = placed.withColumn("bin", F.when(F.col(value) < edge(F.col("bin")), F.col("bin") - 1).when(
         (F.col(value) >= edge(F.col("bin") + 1)) & (F.col("bin") < bins - 1), F.col("bin") + 1).otherwise(F.col("bin")))
-    counts = binned.groupBy("type", "bin").agg(F.count(F.lit(1)).alias("n"))
-    dense = span.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    filled = dense.join(counts, ["type", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    counts = binned.groupBy("type", "low", "width", "total", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # as many entries as bins
+    by_type = counts.groupBy("type", "low", "width", "total").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))
+    dense = by_type.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    filled = dense.withColumn("n", F.coalesce(F.try_element_at("found", F.col("bin")), F.lit(0)))
     return filled.select("type", "bin", (F.col("low") + F.col("bin") * F.col("width")).alias("bin_start"), "n",
                          (F.col("n") / (F.col("total") * F.col("width"))).alias("density"))
 

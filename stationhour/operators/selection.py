@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from stationhour.functions.scalar import direction_letter, upper_type
 from stationhour.schemas import RouteChoice, Selection
-from stationhour.session import broadcast_if_within
+from stationhour.session import write_shared
 
 BOTH = "both"
 
@@ -136,4 +136,4 @@ def filter_selection(df: DataFrame, selection: Selection) -> DataFrame:
     fits = F.when(F.col("located"), F.col("in_segment") | ~F.col("any_segment")).otherwise(
         F.col("in_list") | ~F.col("any_list"))
     kept = per_station.join(F.broadcast(per_route), "route").where(fits).select("route", "station")
-    return rows.join(broadcast_if_within(kept), ["route", "station"], "left_semi")
+    return rows.join(write_shared(kept, "chosen-stations"), ["route", "station"], "left_semi")

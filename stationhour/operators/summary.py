@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stationhour.functions.periods import month_name
 from stationhour.functions.quantiles import grouped_medians
 from stationhour.schemas import MEASURES, STATISTICS, SUMMARY_KEYS, Params
-from stationhour.session import broadcast_if_within, write_shared
+from stationhour.session import write_shared
 
 # the month name follows from its number and is added after grouping
 GROUP_KEYS = [k for k in SUMMARY_KEYS if k != "month"]
@@ -53,9 +53,8 @@ def station_hour_summary(clean_rows: DataFrame, params: Params = Params(),
     rows = clean_rows.dropna(subset=GROUP_KEYS)
     summary = _plain(rows)
     if params.hot_rows is not None:
-        found = write_shared(hot_stations(rows if counted is None else counted, params.hot_rows), "hot-stations")
-        if not found.isEmpty():
-            hot = broadcast_if_within(found)
+        hot = write_shared(hot_stations(rows if counted is None else counted, params.hot_rows), "hot-stations")
+        if not hot.isEmpty():
             summary = _plain(rows.join(hot, "station", "left_anti")).unionByName(
                 _split(rows.join(hot, "station", "left_semi")))
     return (summary.where(F.col("days_observed") >= params.min_days)

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _LOCAL_ROOT: dict[str, str] = {}
 
@@ -50,17 +49,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def write_shared(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and return the written table."""
+    """Write ``df`` below the shared folder and return the written table.
+
+    The planner knows the size of a written table: as one side of a join it is broadcast below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffled above, without a hint.
+    """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_within(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
-
-    The count stops at the bound. A larger side comes back without a hint, so the join shuffles
-    and adaptive execution splits skewed partitions.
-    """
-    within = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if within else df

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stationhour.functions.periods import name_period, with_name_period
 from stationhour.functions.scalar import local_timestamp, nan_to_null
 from stationhour.schemas import PERIOD, RAW_COLUMNS, RAW_SCHEMA, Params
-from stationhour.session import broadcast_if_within
+from stationhour.session import write_shared
 
 RAW_GLOB = "*.{txt,gz}"
 
@@ -79,4 +79,4 @@ def quarantine(spark: SparkSession, paths: str | Iterable[str], params: Params =
 
 def without_bad_files(rows: DataFrame, bad: DataFrame) -> DataFrame:
     """Strict mode: drop every row of a file that has a quarantined row."""
-    return rows.join(broadcast_if_within(bad.select("file_path").distinct()), "file_path", "left_anti")
+    return rows.join(write_shared(bad.select("file_path").distinct(), "bad-files"), "file_path", "left_anti")
