@@ -478,7 +478,7 @@ def _(i: Inputs) -> DataFrame:
     return options.months(i.processed)
 
 
-@query("option_hours", "SELECT min(hour) AS min_hour, max(hour) AS max_hour FROM enriched")
+@query("option_hours", "SELECT coalesce(min(hour), 0) AS min_hour, coalesce(max(hour), 23) AS max_hour FROM enriched")
 def _(i: Inputs) -> DataFrame:
     return options.hours(i.processed)
 
@@ -601,7 +601,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("map_domain", f"""SELECT round(avg(latitude), 6) AS center_lat, round(avg(longitude), 6) AS center_lon,
-  round(min(avg_flow_sel), 4) AS color_min, round(max(avg_flow_sel), 4) AS color_max FROM (
+  coalesce(round(min(avg_flow_sel), 4), 0) AS color_min, coalesce(round(max(avg_flow_sel), 4), 1) AS color_max FROM (
   SELECT station, median(latitude) AS latitude, median(longitude) AS longitude, avg(avg_flow) AS avg_flow_sel
   FROM enriched WHERE {_PERIODS} AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY station)""")
 def _(i: Inputs) -> DataFrame:
@@ -683,7 +683,7 @@ def _(i: Inputs) -> DataFrame:
 
 @query("data_summary", f"""SELECT count(DISTINCT station) AS total_stations, printf('%.0f vehicles/hour', avg(median_flow)) AS average_flow,
   printf('%.1f mph', avg(median_speed)) AS average_speed,
-  (SELECT string_agg(route, ', ' ORDER BY row_count DESC, route) FROM {_TOP.format(k=5)}) AS top_routes FROM summ""")
+  coalesce((SELECT string_agg(route, ', ' ORDER BY row_count DESC, route) FROM {_TOP.format(k=5)}), '') AS top_routes FROM summ""")
 def _(i: Inputs) -> DataFrame:
     return exploration.data_summary(i.processed)
 

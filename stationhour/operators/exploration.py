@@ -113,8 +113,9 @@ def data_summary(df: DataFrame, k: int = 5) -> DataFrame:
     both = figures.unionByName(ranked.select(names.alias("top_routes")), allowMissingColumns=True)
     one = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return one.select("total_stations",
-                      F.format_string("%.0f vehicles/hour", F.rint("flow")).alias("average_flow"),
-                      F.format_string("%.1f mph", F.col("speed")).alias("average_speed"), "top_routes")
+                      F.when(F.col("flow").isNotNull(), F.format_string("%.0f vehicles/hour", F.rint("flow"))).alias("average_flow"),
+                      F.when(F.col("speed").isNotNull(), F.format_string("%.1f mph", F.col("speed"))).alias("average_speed"),
+                      "top_routes")
 
 
 def stations_on_routes(df: DataFrame, routes: Sequence[int]) -> DataFrame:

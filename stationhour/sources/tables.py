@@ -51,10 +51,16 @@ def scan_yearly_files(spark: SparkSession, folder: str, *, skip_corrupt: bool =
     """The older layout, one Parquet file per year named ``{year}_station_hour_processed.parquet``.
 
     Columns are merged by name, a missing year comes from the file name, and other expected
-    columns are added as null. Unreadable files are skipped unless ``skip_corrupt`` is off.
+    columns are added as null. Unreadable files are skipped unless ``skip_corrupt`` is off. Without any
+    file there are no rows.
     """
-    rows = (spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", skip_corrupt)
-            .parquet(f"{folder.rstrip('/')}/{YEARLY_GLOB}"))
+    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", skip_corrupt)
+    try:
+        rows = reader.parquet(f"{folder.rstrip('/')}/{YEARLY_GLOB}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], PROCESSED_SCHEMA)
+        raise
     named = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)_[^/]*station_hour_processed\.parquet", 1).try_cast("int")
     year = F.coalesce(F.col("year").cast("int"), named) if "year" in rows.columns else named
     return with_expected_columns(rows.withColumn("year", year))

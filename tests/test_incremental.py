@@ -102,6 +102,7 @@ def test_yearly_files_of_the_older_layout(spark, tmp_path):
     found = {r.station: r for r in tables.scan_yearly_files(spark, str(tmp_path)).collect()}
     assert (found[1].year, found[2].year) == (2021, 2019)
     assert found[1].lanes is None and found[2].month is None and found[1].latitude is None
+    assert tables.scan_yearly_files(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_export_and_union(spark, tmp_path):
