@@ -24,9 +24,12 @@ def request_grid(scopes: DataFrame, base_url: str) -> DataFrame:
     return grid.withColumn("url", F.format_string(REQUEST_FORMAT, F.lit(base_url), "district", "year", "file_type"))
 
 
-def new_files(manifest: DataFrame, ledger: DataFrame, key: str = "file_id") -> DataFrame:
-    """Manifest files that the ledger does not hold yet."""
-    return manifest.join(ledger.where(F.col(key).isNotNull()).select(key).distinct(), key, "left_anti")
+def new_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Manifest files that the ledger does not hold yet, told apart by id or, lacking one, by name."""
+    identity = F.coalesce("file_id", "file_name")
+    known = ledger.select(identity.alias("known")).where("known IS NOT NULL").distinct()
+    return (manifest.withColumn("known", identity).join(known, "known", "left_anti")
+            .select(*manifest.columns))
 
 
 def manifest_totals(manifest: DataFrame) -> DataFrame:

@@ -120,6 +120,8 @@ def test_new_files_go_by_id(spark, tmp_path):
     # same file_type at the same row, other id: still new; known id at another row: not new
     found = files.new_files(manifest("b", "a"), manifest("a", "z"))
     assert [r.file_id for r in found.collect()] == ["b"]
+    nameless = manifest("a", "c").withColumn("file_id", F.lit(None).cast("string"))
+    assert [r.file_name for r in files.new_files(nameless, nameless.where("file_name = 'a'")).collect()] == ["c"]
     path = str(tmp_path / "ledger")
     assert tables.scan_ledger(spark, path).count() == 0
     responses = spark.createDataFrame([("station_hour", "12", "2024", '{"data": {"May": [{"file_name": "f", "file_id": "1", "bytes": "49,512,345", "url": "/u"}], "June": []}}'),
