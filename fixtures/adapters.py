@@ -36,9 +36,9 @@ def _raw(rows: DataFrame) -> DataFrame:
     """Complete to the 42 raw columns: ``gap`` is the first lane without a flow."""
     lanes = {f"flow_{i}": F.when(F.col("gap") > i, 1.0) for i in range(1, 9)}
     rows = rows.withColumns(lanes)
-    types = {f.name: f.dataType for f in RAW_SCHEMA}
+    types, given = {f.name: f.dataType for f in RAW_SCHEMA}, set(rows.columns)
     return rows.select(*[
-        F.col(c).cast(types[c]).alias(c) if c in rows.columns else F.lit(None).cast(types[c]).alias(c)
+        F.col(c).cast(types[c]).alias(c) if c in given else F.lit(None).cast(types[c]).alias(c)
         for c in RAW_COLUMNS])
 
 

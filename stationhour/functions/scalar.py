@@ -15,11 +15,11 @@ _LOCAL_STAMP = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{1,2}:\d{1,2})$"
 def local_timestamp(text: Column) -> Column:
     """Local ``MM/dd/yyyy HH:mm:ss`` text as TIMESTAMP_NTZ; anything else is null.
 
-    No session time zone is involved, so the hour stays as written on the day clocks change. The
-    mark tells rewritten text from text that did not match.
+    No session time zone is involved, so the hour stays as written on the day clocks change. Text
+    that does not match keeps its slashes and so does not cast.
     """
-    iso = F.split_part(F.regexp_replace(text, _LOCAL_STAMP, "\x01$3-$1-$2 $4"), F.lit("\x01"), F.lit(2))
-    return iso.try_cast("timestamp_ntz")
+    iso = F.regexp_replace(text, _LOCAL_STAMP, "$3-$1-$2 $4")
+    return F.when(F.contains(text, F.lit("/")), iso.try_cast("timestamp_ntz"))
 
 
 def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -90,4 +90,5 @@ def megabites(size_text: Column) -> Column:
 
 
 def select_existing(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[c for c in columns if c in df.columns])
+    present = set(df.columns)
+    return df.select(*[c for c in columns if c in present])

@@ -14,7 +14,8 @@ from stationhour.schemas import META_KEYS, META_VALUES, PERIOD
 
 def add_metadata(summary: DataFrame, meta: DataFrame) -> DataFrame:
     """Left join on station, route, direction and district; unmatched rows keep null metadata."""
-    values = [c for c in META_VALUES if c in meta.columns]
+    present = set(meta.columns)
+    values = [c for c in META_VALUES if c in present]
     return summary.join(meta.select(*META_KEYS, *values), META_KEYS, "left")
 
 

@@ -16,9 +16,9 @@ YEARLY_GLOB = "*_station_hour_processed.parquet"
 def scan_meta(spark: SparkSession, path: str) -> DataFrame:
     """Station metadata CSV with a header; columns are found by name, not by position."""
     header = spark.read.option("header", True).csv(path)
-    types = {f.name: f.dataType for f in META_SCHEMA}
+    types, present = {f.name: f.dataType for f in META_SCHEMA}, set(header.columns)
     return nan_to_null(header.select(*[
-        F.col(c).try_cast(types[c]).alias(c) if c in header.columns else F.lit(None).cast(types[c]).alias(c)
+        F.col(c).try_cast(types[c]).alias(c) if c in present else F.lit(None).cast(types[c]).alias(c)
         for c in META_KEYS + META_VALUES]))
 
 
@@ -43,7 +43,8 @@ def scan_processed(spark: SparkSession, path: str) -> DataFrame:
 
 def with_expected_columns(df: DataFrame, schema: T.StructType = PROCESSED_SCHEMA) -> DataFrame:
     """Add absent columns as typed nulls."""
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in df.columns}
+    present = set(df.columns)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in present}
     return df.withColumns(missing) if missing else df
 
 
