@@ -85,15 +85,24 @@ def holiday_calendar(spark: SparkSession, first_year: int = 2019, last_year: int
             .where("date IS NOT NULL"))
 
 
+# Fixed value: the period in a file name.
+NAME_PERIOD = r"(\d{4})_(\d{2})"
+
+
 def name_period(file_name: Column) -> tuple[Column, Column]:
     """(year, month_num) from the first ``yyyy_mm`` in a file name; nulls if none or no such month."""
-    pattern = r"(\d{4})_(\d{2})"
-    year = F.regexp_extract(file_name, pattern, 1).try_cast("int")
-    month = F.regexp_extract(file_name, pattern, 2).try_cast("int")
+    year = F.regexp_extract(file_name, NAME_PERIOD, 1).try_cast("int")
+    month = F.regexp_extract(file_name, NAME_PERIOD, 2).try_cast("int")
     valid = month.between(1, 12)
     return F.when(valid, year), F.when(valid, month)
 
 
+def in_name_period(file_name: Column, date: Column) -> Column:
+    """Whether ``date`` lies in the month that a file name states."""
+    return F.regexp_extract(file_name, NAME_PERIOD, 0) == F.concat_ws(
+        "_", F.lpad(F.year(date).cast("string"), 4, "0"), F.lpad(F.month(date).cast("string"), 2, "0"))
+
+
 def with_name_period(files: DataFrame, column: str = "file_name") -> DataFrame:
     year, month = name_period(F.col(column))
     return (files.withColumns({"year": year, "month_num": month})

@@ -12,6 +12,7 @@ from stationhour.session import write_shared
 
 # the month name follows from its number and is added after grouping
 GROUP_KEYS = [k for k in SUMMARY_KEYS if k != "month"]
+INPUT_COLUMNS = [*GROUP_KEYS, *MEASURES]
 
 
 def _moments() -> list[Column]:

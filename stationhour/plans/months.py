@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationhour.functions.periods import in_name_period
 from stationhour.operators.cleaning import clean, keep_observed
 from stationhour.operators.enrichment import enrich
 from stationhour.operators.files import pending_months
-from stationhour.operators.summary import station_hour_summary
+from stationhour.operators.summary import INPUT_COLUMNS, station_hour_summary
 from stationhour.schemas import PERIOD, Params
 from stationhour.session import write_shared
 from stationhour.sources import raw as raw_source
@@ -51,10 +52,10 @@ def backfill(spark: SparkSession, raw_folder: str, table: str, meta: DataFrame,
         rows = rows.join(latest, "file_name", "left_semi")
     if strict_file:
         rows = raw_source.without_bad_files(rows, raw_source.quarantine(spark, raw_folder, params))
-    own_month = (F.col("year") == F.col("file_year")) & (F.col("month_num") == F.col("file_month_num"))
     wanted = F.broadcast(spark.createDataFrame(periods, "year INT, month_num INT"))
-    cleaned = clean(rows, calendar, params).where(own_month).join(wanted, PERIOD, "left_semi")
-    landed = write_shared(cleaned, "clean-rows")
+    cleaned = (clean(rows, calendar, params).join(wanted, PERIOD, "left_semi")
+               .where(in_name_period(F.col("file_name"), F.col("date"))))
+    landed = write_shared(cleaned.select(*INPUT_COLUMNS), "clean-rows")
     summary = write_shared(station_hour_summary(landed, params), "summary")
     write_months(enrich(summary, meta, on_missing), table)
     spark.catalog.refreshByPath(table)

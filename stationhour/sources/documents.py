@@ -12,6 +12,9 @@ from stationhour.schemas import CATALOGUE_SCHEMA, LISTING_SCHEMA, MANIFEST_SCHEM
 
 # Fixed value: the assignment in a page script that carries the form catalogue.
 PAGE_VARIABLE = "YAHOO.bts.Data"
+# Rewrites that quote the bare keys of an object literal: after a brace, after a
+# comma, before a colon.
+KEY_QUOTING = [(r"\{\s*(\w)", '{"$1'), (r",\s*(\w)", ',"$1'), (r"(\w):", '$1":')]
 # Districts meant by the entry "all".
 DISTRICTS = [str(i) for i in range(1, 13)]
 
@@ -62,7 +65,7 @@ def page_object_json(html: Column, variable: str = PAGE_VARIABLE) -> Column:
     name = variable.replace(".", r"\.")
     literal = F.regexp_extract(page_script(html, variable), rf"(?sm)^\s*{name}\s*=\s*(\{{.*?\}})\s*$", 1)
     quoted = literal
-    for pattern, replacement in ((r"\{\s*(\w)", '{"$1'), (r",\s*(\w)", ',"$1'), (r"(\w):", '$1":')):
+    for pattern, replacement in KEY_QUOTING:
         quoted = F.regexp_replace(quoted, pattern, replacement)
     return F.when(literal != "", quoted)
 

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from stationhour.operators.cleaning import clean
 from stationhour.operators.enrichment import enrich
 from stationhour.operators.summary import station_hour_summary
-from stationhour.functions.periods import name_period
 from stationhour.functions.scalar import nan_to_null
 from stationhour.schemas import PERIOD, RAW_SCHEMA, Params
 from stationhour.session import write_shared
@@ -23,13 +22,11 @@ from stationhour.sources.tables import write_months
 
 
 def read_raw_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """Raw files as they arrive, with the name and period of their file."""
+    """Raw files as they arrive, with the name of their file."""
     reader = spark.readStream.schema(RAW_SCHEMA).option("mode", "PERMISSIVE").option("pathGlobFilter", RAW_GLOB)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.csv(folder).select("*", F.col("_metadata.file_name").alias("file_name"))
-    year, month = name_period(F.col("file_name"))
-    return nan_to_null(rows).withColumns({"file_year": year, "file_month_num": month})
+    return nan_to_null(reader.csv(folder).select("*", F.col("_metadata.file_name").alias("file_name")))
 
 
 def clean_stream(rows: DataFrame, calendar: DataFrame, params: Params = Params()) -> DataFrame:
