@@ -18,31 +18,34 @@ ROUTE_YEAR = ["route", "year"]
 ROUTE_MONTH = [*ROUTE_YEAR, "month_num"]
 
 
+def _partial_figures(rows: DataFrame, *keys: str) -> DataFrame:
+    """One partial result per station and route: the distinct counts then see few rows."""
+    speed, flow = to_number(F.col("avg_speed")), to_number(F.col("avg_flow"))
+    return rows.groupBy("station", "route", *keys).agg(
+        F.sum(speed).alias("speed_sum"), F.count(speed).alias("speed_n"),
+        F.sum(flow).alias("flow_sum"), F.count(flow).alias("flow_n"))
+
+
+def _total_figures() -> list[Column]:
+    mean = lambda name: F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
+    return [F.count_distinct("station").alias("stations"), F.count_distinct("route").alias("routes"),
+            mean("speed").alias("avg_speed"), mean("flow").alias("avg_flow")]
+
+
 def kpis(df: DataFrame) -> DataFrame:
     """Distinct stations and routes, unweighted mean speed and flow: one row."""
-    return df.agg(
-        F.count_distinct("station").alias("stations"), F.count_distinct("route").alias("routes"),
-        F.avg(to_number(F.col("avg_speed"))).alias("avg_speed"),
-        F.avg(to_number(F.col("avg_flow"))).alias("avg_flow"))
+    return _partial_figures(df).agg(*_total_figures())
 
 
 def kpis_global(df: DataFrame, selection: Selection = Selection()) -> DataFrame:
     """Key figures under the year and month filter alone, of ML rows, or of all if there is no ML.
 
-    One scan: rows shrink to one partial result per (station, route, is ML) before the choice.
+    One scan serves both cases.
     """
     rows = df.where(period_predicate(selection)).withColumn("ml", F.coalesce(upper_type() == "ML", F.lit(False)))
-    speed, flow = to_number(F.col("avg_speed")), to_number(F.col("avg_flow"))
-    partial = rows.groupBy("station", "route", "ml").agg(
-        F.sum(speed).alias("speed_sum"), F.count(speed).alias("speed_n"),
-        F.sum(flow).alias("flow_sum"), F.count(flow).alias("flow_n"))
-    totals = partial.groupBy("ml").agg(
-        F.count_distinct("station").alias("stations"), F.count_distinct("route").alias("routes"),
-        *[F.sum(c).alias(c) for c in ("speed_sum", "speed_n", "flow_sum", "flow_n")])
+    totals = _partial_figures(rows, "ml").groupBy("ml").agg(*_total_figures())
     # at most two rows; without ML rows the other one covers everything
-    figures = F.struct("ml", "stations", "routes",
-                       (F.col("speed_sum") / F.nullif("speed_n", F.lit(0))).alias("avg_speed"),
-                       (F.col("flow_sum") / F.nullif("flow_n", F.lit(0))).alias("avg_flow"))
+    figures = F.struct("stations", "routes", "avg_speed", "avg_flow")
     best = totals.agg(F.max_by(figures, F.col("ml").cast("int")).alias("k"))
     return best.select(F.coalesce("k.stations", F.lit(0)).alias("stations"),
                        F.coalesce("k.routes", F.lit(0)).alias("routes"), "k.avg_speed", "k.avg_flow")
