@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stationhour.llm import compression_quality, decontamination, packing, sharding
 from stationhour.llm.substring_dedup import remove_repeated_words
 from stationhour.llm.suffix_dedup import remove_repeated_bytes
 
@@ -26,6 +27,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_sharding")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"), shards=24)
+    text = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", sharding.record_bytes(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                      F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024)
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_substring_dedup", r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS k
@@ -43,6 +64,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op5_quality_classifier")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_suffix_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
