@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationhour.llm import compression_quality, decontamination, packing, sharding
+from stationhour.llm import compression_quality, decontamination, html_text, language_id, packing, quality_rules, sharding
 from stationhour.llm.substring_dedup import remove_repeated_words
 from stationhour.llm.suffix_dedup import remove_repeated_bytes
 
@@ -73,3 +73,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), trusted)
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    out = language_id.identify(docs, declared=F.col("lang"), host=F.col("source"))
+    return out.select("doc_id", F.col("lang").alias("declared_lang"), "predicted_lang", "confidence", F.col("accepted").alias("kept"))
+
+
+@query("op10_html_extraction")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
