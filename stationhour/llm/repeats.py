@@ -183,7 +183,10 @@ def shipped_segments(staged: Staged, kind: Windows, repeated: DataFrame) -> Data
             whole = V.Rolling(tokens.values).of(first, last + kind.length)
             payload, size = kind.payload(tokens, first, last)
             parts.append((place, whole, row + own, first - tokens.bounds[own], last - first + 1, size, payload))
-        place, whole, rows, first, windows, size, payload = (np.concatenate(x) for x in zip(*parts, strict=True))
+        columns = list(zip(*parts, strict=True))
+        number = docs.column(chunk)[0].as_py()
+        del parts, docs, hot, wanted
+        place, whole, rows, first, windows, size, payload = (np.concatenate(columns.pop(0)) for _ in range(7))
         # equal segments of this chunk: sent from the smallest document only
         by = np.lexsort((rows, doc[rows], whole, place))
         same = np.zeros(len(by), bool)
@@ -191,7 +194,6 @@ def shipped_segments(staged: Staged, kind: Windows, repeated: DataFrame) -> Data
         head = np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))
         later = doc[rows[by]] > doc[rows[by[head]]]
         gone, sent = by[later], by[~later]
-        number = docs.column(chunk)[0].as_py()
         offset = np.concatenate([[0], np.cumsum(size)])
         at = _by_shard(place[sent], shards)
         out = []

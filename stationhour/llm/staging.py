@@ -1,7 +1,7 @@
 """Documents staged once in the shared folder, in chunks that every later pass finds in place.
 
-A staged table is bucketed by ``chunk``, the number of the scan task that wrote it. Each task writes
-one file; grouping or cogrouping the table by chunk then needs no shuffle of the texts, only of what
+A staged table is bucketed by ``chunk``: the rows of a scan task, or an equal part of them where they are too large for
+the memory of a task. A chunk is one file; grouping or cogrouping the table by chunk then needs no shuffle of the texts, only of what
 is sent to the chunks. As the chunks are read back from storage, a lost executor repeats a
 pass over the same chunks.
 """
@@ -38,12 +38,17 @@ class Staged:
         return max(256, self.chunks)
 
 
-def stage(docs: DataFrame, text: str = "text") -> Staged:
+def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = 64 << 20) -> Staged:
+    """Write ``docs`` (a scan, so that its tasks are known) in chunks of about ``chunk_bytes`` of text at most."""
     spark = docs.sparkSession
     chunk, row = free_name(docs.columns, "__chunk"), free_name(docs.columns, "__row")
-    chunks = max(1, docs.rdd.getNumPartitions())
+    tasks = max(1, docs.rdd.getNumPartitions())
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(1, -(-total // (tasks * chunk_bytes)))
+    chunks = tasks * parts
     name = f"staged_{uuid.uuid4().hex}"
-    numbered = docs.withColumns({chunk: F.spark_partition_id(), row: F.monotonically_increasing_id()})
+    numbered = (docs.withColumn(row, F.monotonically_increasing_id())
+                .withColumn(chunk, (F.spark_partition_id() * parts + F.col(row) % parts).cast("int")))
     (numbered.write.option("path", shared_path(spark, "staged")).option("compression", "zstd")
      .bucketBy(chunks, chunk).saveAsTable(name))
     return Staged(spark.table(name), chunk, row, text, chunks)

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _POSITION_BITS = np.uint64(28)
 _POSITION = np.uint64((1 << 28) - 1)
 _U = np.uint64
