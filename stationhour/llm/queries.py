@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationhour.llm import compression_quality, decontamination, html_text, language_id, packing, quality_rules, sharding
+from stationhour.llm import compression_quality, decontamination, html_text, jaccard_join, language_id, packing, quality_rules, sharding
 from stationhour.llm.substring_dedup import remove_repeated_words
 from stationhour.llm.suffix_dedup import remove_repeated_bytes
 
@@ -91,3 +91,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html_extraction")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op6_jaccard_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=80)
