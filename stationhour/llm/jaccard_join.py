@@ -17,14 +17,15 @@ Sets are compared by 64-bit shingle hashes, equal sets (by 128-bit hashes) are o
 from __future__ import annotations
 
 from itertools import combinations
-from math import ceil, comb
+from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stationhour.llm import vectors as V
-from stationhour.llm.staging import Staged, stage
+from stationhour.llm.staging import Staged, order_key, stage
 from stationhour.session import write_shared
 
 _U = np.uint64
@@ -159,7 +160,7 @@ def shared_shingles(counts: DataFrame) -> DataFrame:
     return counts.groupBy("shard").applyInArrow(add, "chunk int, shard int, cells binary, ranks binary")
 
 
-_NODES = ("cls binary, n int, doc_id long, shared binary, postings array<long>, subset_keys array<long>, subset_sizes array<int>")
+_NODES = ("chunk int, row long, cls binary, n int, doc_id long, shared binary, postings array<long>, subset_keys array<long>, subset_sizes array<int>")
 
 
 def nodes(staged: Staged, shared: DataFrame, size: int, percent: int, boundary: int, shards: int) -> DataFrame:
@@ -170,7 +171,8 @@ def nodes(staged: Staged, shared: DataFrame, size: int, percent: int, boundary:
 
     def build(docs: pa.Table, found: pa.Table) -> pa.Table:
         docs = docs.sort_by(order)
-        ids = docs.column("doc_id").combine_chunks()
+        ids, numbers = docs.column("doc_id").combine_chunks(), docs.column(order).combine_chunks()
+        own_chunk = docs.column(chunk)[0].as_py() if docs.num_rows else 0
         at, value, marks = _sets(docs, text, size)
         rows = docs.num_rows
         del docs
@@ -207,12 +209,13 @@ def nodes(staged: Staged, shared: DataFrame, size: int, percent: int, boundary:
                         keys[i].append(k - (1 << 64) if k >> 63 else k)
                         sizes[i].append(s)
         raw = marks.astype("<u8").tobytes()
-        return pa.table([pa.array([raw[16 * i:16 * i + 16] for i in range(rows)], pa.binary()), pa.array(n.astype(np.int32)), ids.cast(pa.int64()),
+        return pa.table([pa.array([own_chunk] * rows, pa.int32()), numbers,
+                         pa.array([raw[16 * i:16 * i + 16] for i in range(rows)], pa.binary()), pa.array(n.astype(np.int32)), ids.cast(pa.int64()),
                          pa.array(blobs, pa.binary()), pa.array(postings, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())),
                          pa.array(sizes, pa.list_(pa.int32()))],
-                        names=["cls", "n", "doc_id", "shared", "postings", "subset_keys", "subset_sizes"])
+                        names=["chunk", "row", "cls", "n", "doc_id", "shared", "postings", "subset_keys", "subset_sizes"])
 
-    return (staged.table.select(chunk, order, "doc_id", text).groupBy(chunk).cogroup(shared.groupBy("chunk"))
+    return (staged.table.select(chunk, order, F.col("doc_id").cast("long").alias("doc_id"), text).groupBy(chunk).cogroup(shared.groupBy("chunk"))
             .applyInArrow(build, _NODES))
 
 
@@ -306,6 +309,14 @@ def list_links(table: DataFrame, percent: int, known: DataFrame) -> DataFrame:
     return found.unionByName(_verified(rest, sets, percent))
 
 
+def _classes(docs: Staged, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a row per document with its class, the component of each linked class)."""
+    shards, boundary = 4 * docs.shards, size_boundary(percent)
+    shared = shared_shingles(shingle_counts(docs, size, shards))
+    table = write_shared(nodes(docs, shared, size, percent, boundary, shards), "shingle_sets")
+    return table, components(list_links(table, percent, subset_links(table, percent)))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable by links, its own included).
 
@@ -314,11 +325,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str
     equal sets are linked, repeated rows too. Rows without an id take part; where a component has no id, component_id is null.
     Only doc_id and text are read.
     """
-    staged = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text), text)
-    shards, boundary = 4 * staged.shards, size_boundary(percent)
-    shared = shared_shingles(shingle_counts(staged, size, shards))
-    table = write_shared(nodes(staged, shared, size, percent, boundary, shards), "shingle_sets")
-    label = components(list_links(table, percent, subset_links(table, percent)))
+    table, label = _classes(stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text), text), size, percent)
     smallest = table.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     named = smallest.join(label, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     of = named.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -329,7 +336,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id (ids are unique here); rows without a set stay."""
-    groups = near_duplicates(docs, size, percent, text)
-    kept = groups.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(write_shared(kept, "kept_ids"), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """``docs`` with one row of each component: the one with the smallest id, of equal ids the first read, a row without id
+    only if no other is there. Rows with empty sets stay. The texts do not move: the chunks are told which rows to keep."""
+    staged = stage(docs, text)
+    order = staged.row
+    table, label = _classes(staged, size, percent)
+    rows = table.select("cls", "n", order_key("doc_id").alias("id"), "row", "chunk")
+    first = (rows.filter("n > 0").join(label, "cls", "left").groupBy(F.coalesce("component", "cls").alias("component"))
+             .agg(F.min(F.struct("id", "row", "chunk")).alias("first")).select("first.chunk", "first.row"))
+    kept = first.unionByName(rows.filter("n = 0").select("chunk", "row"))
+
+    def choose(docs: pa.Table, kept: pa.Table) -> pa.Table:
+        docs = docs.filter(pc.is_in(docs.column(order), value_set=kept.column("row").combine_chunks()))
+        return docs.select(columns)
+
+    columns = list(docs.columns)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return staged.table.groupBy(staged.chunk).cogroup(kept.groupBy("chunk")).applyInArrow(choose, fields)
