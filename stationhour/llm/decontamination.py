@@ -81,30 +81,30 @@ class Items:
         # hits on one diagonal within ``reach`` tokens are one alignment
         key = np.unique(np.stack([row, item, where - there, where // reach]), axis=1, return_index=True)[1]
         where, there, row, item = where[key], there[key], row[key], item[key]
-        score = np.zeros(len(where))
-        best, best_end, run_start = np.zeros(len(where)), np.zeros(len(where), np.int64), np.full(len(where), -reach)
-        best_start, matched, best_matched = run_start.copy(), np.zeros(len(where), np.int64), np.zeros(len(where), np.int64)
-        loss = share / (1 - share)
-        for step in range(-reach, 2 * reach):
-            x, y = where + step, there + step
-            inside = (x >= at[row]) & (x < at[row + 1]) & (y >= self.bounds[item]) & (y < self.bounds[item + 1])
-            equal = inside & (tokens[np.clip(x, 0, len(tokens) - 1)] == self.tokens[np.clip(y, 0, len(self.tokens) - 1)])
-            fresh = score <= 0
-            run_start[fresh], matched[fresh], score[fresh] = step, 0, 0
-            score += np.where(equal, 1.0, np.where(inside, -loss, -np.inf))
-            matched += equal
-            better = score > best
-            best[better], best_end[better], best_start[better], best_matched[better] = (
-                score[better], step + 1, run_start[better], matched[better])
-        needed = np.minimum(least, np.diff(self.bounds)[item])
-        good = np.flatnonzero(best_end - best_start >= needed)
-        if not len(good):
-            return empty
-        order = good[np.lexsort((where[good] + best_start[good], -best_matched[good], item[good], row[good]))]
-        keep = np.append(True, (row[order][1:] != row[order][:-1]) | (item[order][1:] != item[order][:-1]))
+        parts = [self._verify(tokens, at, where[i:i + 16384], there[i:i + 16384], row[i:i + 16384], item[i:i + 16384], least, share, reach)
+                 for i in range(0, len(where), 16384)]
+        row, item, matched, first, words = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((first, -words, -matched, item, row))
+        keep = np.append(True, (row[order][1:] != row[order][:-1]) | (item[order][1:] != item[order][:-1]))[:len(order)]
         order = order[keep]
-        return (row[order], item[order], best_matched[order], where[order] + best_start[order] - at[row[order]],
-                best_end[order] - best_start[order])
+        return row[order], item[order], matched[order], first[order], words[order]
+
+    def _verify(self, tokens, at, where, there, row, item, least: int, share: float, reach: int):
+        """Overlaps along the diagonals of hits: all windows of ``least`` words with enough equal ones, united."""
+        steps = np.arange(-reach, 2 * reach)
+        x, y = where[:, None] + steps, there[:, None] + steps
+        inside = (x >= at[row][:, None]) & (x < at[row + 1][:, None]) & (y >= self.bounds[item][:, None]) & (y < self.bounds[item + 1][:, None])
+        equal = inside & (tokens[np.clip(x, 0, len(tokens) - 1)] == self.tokens[np.clip(y, 0, len(self.tokens) - 1)])
+        sums = [np.concatenate([np.zeros((len(where), 1), np.int16), np.cumsum(m, axis=1, dtype=np.int16)], axis=1) for m in (inside, equal)]
+        needed = np.minimum(least, np.diff(self.bounds)[item])
+        end = np.minimum(np.arange(len(steps)) + needed[:, None], len(steps))
+        held, alike = (np.take_along_axis(c, end, axis=1) - c[:, :-1] for c in sums)
+        good = (held == needed[:, None]) & (alike >= np.ceil(share * needed - 1e-9)[:, None])
+        hit = np.flatnonzero(good.any(axis=1))
+        first = good[hit].argmax(axis=1)
+        last = len(steps) - 1 - good[hit][:, ::-1].argmax(axis=1) + needed[hit]
+        matched = (sums[1][hit, last] - sums[1][hit, first]).astype(np.int64)
+        return row[hit], item[hit], matched, where[hit] + steps[first] - at[row[hit]], last - first
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Items]:
@@ -125,10 +125,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 13, share:
                  block_bytes: int = 4 << 20) -> DataFrame:
     """One row per document and test item that overlap: doc_id, item_id, matched_words, first_word, overlap_words.
 
-    An overlap is ``least`` or more consecutive words (the whole item if it is shorter), A-Z in lower case, of which at least
-    ``share`` are equal place by place. Items of fewer than 8 words hold no seed and are not searched. Null
+    An overlap is made of stretches of ``least`` consecutive words (the whole item if it is shorter), A-Z in lower case, in each
+    of which at least ``share`` are equal place by place. Items of fewer than 8 words hold no seed and are not searched. Null
     and empty texts overlap with nothing; null ids are carried (a null item id as -1); repeated rows are reported
-    for each row. An empty benchmark gives an empty result. Overlaps longer than 128 words are reported in part.
+    for each row. An empty benchmark gives an empty result. Longer overlaps
+    are reported within 128 words after and 64 before a seed.
     """
     schema = "doc_id long, item_id long, matched_words long, first_word long, overlap_words long"
     names = [x.split()[0] for x in schema.split(", ")]

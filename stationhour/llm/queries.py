@@ -56,7 +56,7 @@ c AS (SELECT doc_id, list(DISTINCT i + j) AS gone
       FROM (SELECT doc_id, i, unnest(range(0, 13)) AS j FROM g JOIN m USING (k) WHERE doc_id > least) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
        sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)),
-              x -> NOT list_contains(gone, x[2])), x -> x[1]) END, ' ')) AS kept_sha256
+              lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN c USING (doc_id)
 """)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
