@@ -2,16 +2,18 @@
 
 A size-aware heavy-light join:
 
-* Shingle frequencies are counted over the corpus (per chunk, then per shard) and those of shared shingles sent back. A shingle
+* Equal sets are one class, of which one text is compared. Shingle frequencies are counted over the classes (per chunk, then per
+  shard) and those of shared shingles sent back. A shingle
   found once in the corpus is in no intersection; a set with too few shared shingles links with nothing and goes no further.
 * Small sets enumerate all subsets of their shared shingles that an intersection could be. Two sets that meet
   under a subset share at least that many shingles, so the sizes alone decide.
 * Large sets post the rarest shingles of a prefix that any linked partner must meet, and inverted lists of these postings
-  are scanned. Each member is first verified against the list's hubs only, the smallest sets of its size band. What these links join
-  needs no more checks; then members of a list in different components are verified against each other.
+  are scanned. Each member is first verified against the list's hubs only, the sets of its size bands with fewest shingles of their own. What these links join
+  needs no more checks; then members of a list in different components are verified against each other, if their places in the
+  list leave room for enough common shingles.
 * The boundary between small and large is the size up to which enumerating costs less than scanning.
 
-Sets are compared by 64-bit shingle hashes, equal sets (by 128-bit hashes) are one class throughout.
+Sets are compared by 64-bit shingle hashes, classes by 128-bit ones.
 """
 
 from __future__ import annotations
@@ -83,12 +85,30 @@ def _sets(table: pa.Table, text: str, size: int) -> tuple[np.ndarray, np.ndarray
     return at, value, marks
 
 
-def _first_of_class(marks: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Is the row the smallest of its class in this chunk?"""
-    order = np.lexsort((key, marks[:, 1], marks[:, 0]))
-    out = np.zeros(len(order), bool)
-    out[order] = np.append(True, np.any(marks[order][1:] != marks[order][:-1], axis=1))[:len(order)]
-    return out
+def shingle_classes(staged: Staged, size: int) -> DataFrame:
+    """(chunk, row, doc_id, cls, n) of every document: its set's 128-bit hash and size."""
+    text, chunk, order = staged.text, staged.chunk, staged.row
+
+    def mark(docs: pa.Table) -> pa.Table:
+        at, _, marks = _sets(docs, text, size)
+        raw = marks.astype("<u8").tobytes()
+        return pa.table([docs.column(chunk), docs.column(order), docs.column("doc_id"),
+                         pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()), pa.array(np.diff(at).astype(np.int32))],
+                        names=["chunk", "row", "doc_id", "cls", "n"])
+
+    return (staged.table.select(chunk, order, F.col("doc_id").cast("long").alias("doc_id"), text).groupBy(chunk)
+            .applyInArrow(mark, "chunk int, row long, doc_id long, cls binary, n int"))
+
+
+def first_of_classes(classes: DataFrame) -> DataFrame:
+    """(chunk, rows): the smallest row of each class with shingles. Only these are compared, their copies follow."""
+    first = F.min(F.struct(order_key("doc_id").alias("id"), "row", "chunk")).alias("first")
+    return (classes.filter("n > 0").groupBy("cls").agg(first).groupBy(F.col("first.chunk").alias("chunk"))
+            .agg(F.collect_list("first.row").alias("rows")))  # as many as a chunk has rows
+
+
+def _only(docs: pa.Table, order: str, rows: pa.ChunkedArray) -> pa.Table:
+    return docs.filter(pc.is_in(docs.column(order), value_set=pc.list_flatten(rows.combine_chunks())))
 
 
 def _place(value: np.ndarray, shards: int) -> np.ndarray:
@@ -111,17 +131,19 @@ def _by_shard(place: np.ndarray, shards: int) -> np.ndarray:
     return np.searchsorted(place, np.arange(shards + 1, dtype=np.uint64) << _U(24))
 
 
-def shingle_counts(staged: Staged, size: int, shards: int) -> DataFrame:
-    """Counters of each chunk, its equal sets counted once: cells counted once, other cells with their counts."""
-    text, chunk = staged.text, staged.chunk
+def shingle_counts(staged: Staged, first: DataFrame, size: int, shards: int) -> DataFrame:
+    """Counters of each chunk over the first texts of classes: cells counted once, other cells with their counts."""
+    text, chunk, order = staged.text, staged.chunk, staged.row
     schema = pa.schema([("chunk", pa.int32()), ("shard", pa.int32()), ("once", pa.binary()), ("cells", pa.binary()), ("counts", pa.binary())])
 
-    def count(table: pa.Table) -> pa.Table:
-        number = table.column(chunk)[0].as_py()
-        at, value, marks = _sets(table, text, size)
-        del table
-        first = _first_of_class(marks, np.arange(len(marks)))
-        cells, counts = np.unique(_place(value[np.repeat(first, np.diff(at))], shards), return_counts=True)
+    def count(docs: pa.Table, first: pa.Table) -> pa.Table:
+        if not first.num_rows:
+            return schema.empty_table()
+        number = first.column("chunk")[0].as_py()
+        docs = _only(docs, order, first.column("rows"))
+        value = _sets(docs, text, size)[1]
+        del docs
+        cells, counts = np.unique(_place(value, shards), return_counts=True)
         single, counts = counts == 1, counts.astype(np.uint32)
         bounds, rows = _by_shard(cells, shards), []
         for s, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
@@ -132,7 +154,7 @@ def shingle_counts(staged: Staged, size: int, shards: int) -> DataFrame:
             return schema.empty_table()
         return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return (staged.table.select(chunk, text).groupBy(chunk)
+    return (staged.table.select(chunk, order, text).groupBy(chunk).cogroup(first.groupBy("chunk"))
             .applyInArrow(count, "chunk int, shard int, once binary, cells binary, counts binary"))
 
 
@@ -160,63 +182,60 @@ def shared_shingles(counts: DataFrame) -> DataFrame:
     return counts.groupBy("shard").applyInArrow(add, "chunk int, shard int, cells binary, ranks binary")
 
 
-_NODES = ("chunk int, row long, cls binary, n int, doc_id long, shared binary, postings array<long>, subset_keys array<long>, subset_sizes array<int>")
+_NODES = "cls binary, n int, shared binary, postings array<long>, subset_keys array<long>, subset_sizes array<int>"
 
 
-def nodes(staged: Staged, shared: DataFrame, size: int, percent: int, boundary: int, shards: int) -> DataFrame:
-    """A row per document: its class and set size. The first of a class in its chunk, if it can link at all, also has its shared
-    shingles, the postings of a large set and the subsets of a small one."""
+def nodes(staged: Staged, shared: DataFrame, first: DataFrame, size: int, percent: int, boundary: int, shards: int) -> DataFrame:
+    """A row for each class that can link at all: its shared shingles, the postings of a large set and the subsets of a small one."""
     text, chunk, order = staged.text, staged.chunk, staged.row
     widest = boundary * 100 // percent
+    schema = pa.schema([("cls", pa.binary()), ("n", pa.int32()), ("shared", pa.binary()), ("postings", pa.list_(pa.int64())),
+                        ("subset_keys", pa.list_(pa.int64())), ("subset_sizes", pa.list_(pa.int32()))])
 
     def build(docs: pa.Table, found: pa.Table) -> pa.Table:
-        docs = docs.sort_by(order)
-        ids, numbers = docs.column("doc_id").combine_chunks(), docs.column(order).combine_chunks()
-        own_chunk = docs.column(chunk)[0].as_py() if docs.num_rows else 0
+        own_rows = found.filter(pc.is_valid(found.column("rows")))
+        found = found.filter(pc.is_valid(found.column("cells")))
+        if not own_rows.num_rows or not found.num_rows:
+            return schema.empty_table()
+        docs = _only(docs, order, own_rows.column("rows"))
         at, value, marks = _sets(docs, text, size)
-        rows = docs.num_rows
         del docs
         n = np.diff(at)
-        place = [(_U(s) << _U(24)) | _from_three(c).astype(np.uint64) for s, c in
-                 zip(found.column("shard").to_pylist(), found.column("cells").to_pylist(), strict=True)]
-        place = np.concatenate(place or [np.empty(0, np.uint64)])
+        place = np.concatenate([(_U(s) << _U(24)) | _from_three(c).astype(np.uint64) for s, c in
+                                zip(found.column("shard").to_pylist(), found.column("cells").to_pylist(), strict=True)])
         rank = V.unpack(found.column("ranks").to_pylist(), np.uint8)
         by = np.argsort(place, kind="stable")
         place, rank = place[by], rank[by]
         own = _place(value, shards)
-        near = np.minimum(np.searchsorted(place, own), max(0, len(place) - 1))
-        common = place[near] == own if len(place) else np.zeros(len(own), bool)
+        near = np.minimum(np.searchsorted(place, own), len(place) - 1)
+        common = place[near] == own
         many = np.concatenate([[0], np.cumsum(common)])
         many = many[at[1:]] - many[at[:-1]]
         needed = -(-percent * n // 100)
-        can = _first_of_class(marks, np.arange(rows)) & (n > 0) & (many >= needed)
-        blobs, postings, keys, sizes = [None] * rows, [None] * rows, [None] * rows, [None] * rows
-        for i in np.flatnonzero(can).tolist():
+        raw, out = marks.astype("<u8").tobytes(), []
+        for i in np.flatnonzero((n > 0) & (many >= needed)).tolist():
             here = slice(at[i], at[i + 1])
             mine = common[here]
             elements, ranks = value[here][mine], rank[near[here][mine]]
-            elements_by_rank = elements[np.lexsort((elements, ranks))]
-            blobs[i] = elements.tobytes()
+            postings = keys = sizes = None
             if n[i] > boundary:  # the unshared shingles come first in the prefix and meet nobody
                 prefix = int(n[i] - needed[i] + 1 - (n[i] - many[i]))
-                postings[i] = elements_by_rank[:prefix].astype(np.int64)
+                postings = elements[np.lexsort((elements, ranks))][:prefix].astype(np.int64)
             if n[i] <= widest:
                 mixed = V.mix(elements ^ _U(0x8EBC6AF09C88C6E3)).tolist()
-                keys[i], sizes[i] = [], []
+                keys, sizes = [], []
                 for s in range(int(needed[i]), len(mixed) + 1):
                     for part in combinations(mixed, s):
                         k = (sum(part) + s) & 0xFFFFFFFFFFFFFFFF
-                        keys[i].append(k - (1 << 64) if k >> 63 else k)
-                        sizes[i].append(s)
-        raw = marks.astype("<u8").tobytes()
-        return pa.table([pa.array([own_chunk] * rows, pa.int32()), numbers,
-                         pa.array([raw[16 * i:16 * i + 16] for i in range(rows)], pa.binary()), pa.array(n.astype(np.int32)), ids.cast(pa.int64()),
-                         pa.array(blobs, pa.binary()), pa.array(postings, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64())),
-                         pa.array(sizes, pa.list_(pa.int32()))],
-                        names=["chunk", "row", "cls", "n", "doc_id", "shared", "postings", "subset_keys", "subset_sizes"])
+                        keys.append(k - (1 << 64) if k >> 63 else k)
+                        sizes.append(s)
+            out.append((raw[16 * i:16 * i + 16], n[i], elements.tobytes(), postings, keys, sizes))
+        if not out:
+            return schema.empty_table()
+        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    return (staged.table.select(chunk, order, F.col("doc_id").cast("long").alias("doc_id"), text).groupBy(chunk).cogroup(shared.groupBy("chunk"))
-            .applyInArrow(build, _NODES))
+    sent = shared.withColumn("rows", F.lit(None).cast("array<long>")).unionByName(first, allowMissingColumns=True)
+    return (staged.table.select(chunk, order, text).groupBy(chunk).cogroup(sent.groupBy("chunk")).applyInArrow(build, _NODES))
 
 
 def _linked(a: Column, b: Column, overlap: Column, percent: int) -> Column:
@@ -226,30 +245,33 @@ def _linked(a: Column, b: Column, overlap: Column, percent: int) -> Column:
 def subset_links(table: DataFrame, percent: int) -> DataFrame:
     """Links of small sets. Under a subset, whoever links with any set links with the smallest, and nobody else does."""
     rows = (table.filter("subset_keys is not null").select("cls", "n", F.explode(F.arrays_zip("subset_keys", "subset_sizes")).alias("z"))
-            .select("cls", "n", F.col("z.subset_keys").alias("k"), F.col("z.subset_sizes").alias("s")).distinct())
+            .select("cls", "n", F.col("z.subset_keys").alias("k"), F.col("z.subset_sizes").alias("s")))
     hubs = (rows.groupBy("k", "s").agg(F.min(F.struct("n", "cls")).alias("hub"), F.count(F.lit(1)).alias("members"))
             .filter("members > 1").select("k", "s", F.col("hub.cls").alias("to"), F.col("hub.n").alias("hub_n")))
     return (rows.join(hubs, ["k", "s"]).filter((F.col("cls") != F.col("to")) & _linked(F.col("n"), F.col("hub_n"), F.col("s"), percent))
             .select(F.col("cls").alias("src"), F.col("to").alias("dst")).distinct())
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (src, dst) whose sets link."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (src, dst) with their set sizes n and m and the size of their intersection."""
     def check(batches):
         for batch in batches:
-            keep = []
-            for a, b, n, m in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "n", "m")), strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                overlap = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * overlap >= percent * (n + m - overlap))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["src", "dst"]).filter(pa.array(keep, pa.bool_()))
+            both = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
+                x.sort()
+                both.append(int((x[1:] == x[:-1]).sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(4), batch.column(5), pa.array(both, pa.int32())],
+                                             names=["src", "dst", "n", "m", "overlap"])
 
     a = sets.select(F.col("cls").alias("src"), F.col("shared").alias("a"), "n")
     b = sets.select(F.col("cls").alias("dst"), F.col("shared").alias("b"), F.col("n").alias("m"))
     return (pairs.select("src", "dst").join(a, "src").join(b, "dst").select("src", "dst", "a", "b", "n", "m")
-            .mapInArrow(check, "src binary, dst binary"))
+            .mapInArrow(check, "src binary, dst binary, n int, m int, overlap int"))
+
+
+def _links(measured: DataFrame, percent: int) -> DataFrame:
+    return measured.filter(_linked(F.col("n"), F.col("m"), F.col("overlap"), percent)).select("src", "dst")
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -274,25 +296,27 @@ def _ordered(a: str, b: str) -> list[Column]:
 
 def list_links(table: DataFrame, percent: int, known: DataFrame) -> DataFrame:
     """Links of large sets, enough to join all that are linked. ``known`` has the links found so far."""
-    sets = table.filter("postings is not null").dropDuplicates(["cls"])
+    sets = table.filter("postings is not null")
     ratio = float(np.log(100 / percent))
     lists = write_shared(
-        table.filter("postings is not null").select("cls", "n", F.size(F.col("postings")).alias("p"), (F.length("shared") / 8).cast("int").alias("many"), F.explode("postings").alias("e"))
-        .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int"))
-        .groupBy("e", "cls").agg(*[F.first(c).alias(c) for c in ("n", "many", "band")]), "inverted_lists")
+        sets.select("cls", "n", (F.length("shared") / 8).cast("int").alias("many"), F.posexplode("postings").alias("place", "e"))
+        .withColumn("place", F.col("place") + F.col("n") - F.col("many"))  # the set's own shingles stand first
+        .withColumn("band", F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int")), "inverted_lists")
 
     def close(n: Column, m: Column, common: Column, others: Column) -> Column:
         """Can sets of these sizes and shared shingles link?"""
         least, most = F.least(n, m), F.greatest(n, m)
         return (100 * least >= percent * most) & _linked(n, m, F.least(common, others), percent)
 
-    hubs = lists.groupBy("e", "band").agg(F.min(F.struct("n", "cls", "many")).alias("hub"), F.count(F.lit(1)).alias("members"))
+    # of copies of one text, the one with fewest shingles of its own is nearest to the text, and so linked with most others
+    own = F.struct((F.col("n") - F.col("many")).alias("own"), "n", "cls", "many")
+    hubs = lists.groupBy("e", "band").agg(F.min(own).alias("hub"))
     hubs = hubs.select("e", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("hub.cls").alias("to"),
                        F.col("hub.n").alias("hub_n"), F.col("hub.many").alias("hub_many"))
     first = (lists.join(hubs, ["e", "band"]).filter((F.col("cls") != F.col("to")) & close(F.col("n"), F.col("hub_n"), F.col("many"), F.col("hub_many")))
              .select(*_ordered("cls", "to")).distinct())
-    first = write_shared(first, "hub_pairs")
-    found = write_shared(known.unionByName(_verified(first, sets, percent)), "hub_links")
+    first = write_shared(_overlaps(first, sets), "hub_overlaps")
+    found = write_shared(known.unionByName(_links(first, percent)), "hub_links")
     label = components(found)
 
     # lists that still hold several components: the members outside the list's largest against all its members
@@ -302,19 +326,24 @@ def list_links(table: DataFrame, percent: int, known: DataFrame) -> DataFrame:
     largest = (marked.groupBy("e", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("e").agg(F.max(F.struct("c", "component")).alias("top"))
                .select("e", F.col("top.component").alias("major")))
     minor = marked.join(largest, "e").filter(F.col("component") != F.col("major"))
-    right = marked.select("e", F.col("cls").alias("to"), F.col("n").alias("m"), F.col("many").alias("others"), F.col("component").alias("its"), F.col("band").alias("near"))
+    right = marked.select("e", F.col("cls").alias("to"), F.col("n").alias("m"), F.col("place").alias("its_place"), F.col("component").alias("its"),
+                          F.col("band").alias("near"))
     left = minor.withColumn("near", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    rest = (left.join(right, ["e", "near"]).filter((F.col("component") != F.col("its")) & close(F.col("n"), F.col("m"), F.col("many"), F.col("others")))
+    # in the list of their first common shingle, what stands before its place in either set is not shared
+    left_over = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("its_place"))
+    rest = (left.join(right, ["e", "near"]).filter((F.col("component") != F.col("its")) & _linked(F.col("n"), F.col("m"), left_over, percent))
             .select(*_ordered("cls", "to")).distinct().join(first, ["src", "dst"], "left_anti"))
-    return found.unionByName(_verified(rest, sets, percent))
+    return found.unionByName(_links(_overlaps(rest, sets), percent))
 
 
 def _classes(docs: Staged, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(a row per document with its class, the component of each linked class)."""
     shards, boundary = 4 * docs.shards, size_boundary(percent)
-    shared = shared_shingles(shingle_counts(docs, size, shards))
-    table = write_shared(nodes(docs, shared, size, percent, boundary, shards), "shingle_sets")
-    return table, components(list_links(table, percent, subset_links(table, percent)))
+    classes = write_shared(shingle_classes(docs, size), "shingle_classes")
+    first = write_shared(first_of_classes(classes), "first_of_classes")
+    shared = shared_shingles(shingle_counts(docs, first, size, shards))
+    table = write_shared(nodes(docs, shared, first, size, percent, boundary, shards), "shingle_sets")
+    return classes, components(list_links(table, percent, subset_links(table, percent)))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text") -> DataFrame:

@@ -52,5 +52,7 @@ def shuffle_into_shards(docs: DataFrame, shards: int = 24, seed: int = 17, bucke
     before = Window.partitionBy("shard").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (written.groupBy("shard", bucket).agg(F.count(F.lit(1)).alias("n"))
                .select("shard", bucket, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+    if shards * buckets <= 1_000_000:  # a row for each bucket; beyond that the planner joins as it sees fit
+        offsets = F.broadcast(offsets)
     return (written.join(offsets, ["shard", bucket])
             .select(*docs.columns, "shard", (F.col("base") + F.col(place)).alias("slot"), "grown_shard"))
