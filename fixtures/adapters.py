@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from fixtures.landing import land_raw
 from stationhour.functions.periods import holiday_calendar, month_name
-from stationhour.operators.cleaning import clean, keep_observed
+from stationhour.operators.cleaning import clean
 from stationhour.operators.enrichment import add_metadata
 from stationhour.operators.summary import station_hour_summary
-from stationhour.schemas import RAW_COLUMNS, RAW_SCHEMA
+from stationhour.schemas import RAW_COLUMNS, RAW_SCHEMA, Params
 from stationhour.session import write_shared
 
 BASE_URL = "https://listing.example.org"
@@ -45,8 +45,10 @@ def _raw(rows: DataFrame) -> DataFrame:
 class Inputs:
     """The derived inputs of one scale directory; each attribute is planned when first used."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, wide: bool = False):
+        """``wide``: a station for every supplier instead of ten, so that the summary grows with the tables."""
+        self.spark, self.sf_dir, self.wide = spark, sf_dir, wide
+        self.params = Params(min_days=1) if wide else Params()
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -57,7 +59,7 @@ class Inputs:
         cents = F.round(F.col("l_discount") * 100).cast("int")
         items = self.table("lineitem").withColumn("st", (F.col("l_suppkey") % 10).cast("int"))
         return _raw(items.select(
-            st.alias("station"), (7 + 5 * (st % 2)).alias("district"), (5 + 17 * (st % 5)).alias("route"),
+            (F.col("l_suppkey").cast("int") if self.wide else st).alias("station"), (7 + 5 * (st % 2)).alias("district"), (5 + 17 * (st % 5)).alias("route"),
             _letters(st).alias("direction"),
             F.when(st % 5 == 0, "HV").when(st == 7, "OR").otherwise("ML").alias("type"),
             F.when(st != 9, 0.25 * (1 + st)).alias("length"), (100 - 3 * cents).alias("pct_obs"),
@@ -83,10 +85,11 @@ class Inputs:
     @cached_property
     def meta(self) -> DataFrame:
         st = F.col("st")
-        stations = (self.table("supplier").groupBy((F.col("s_suppkey") % 10).cast("int").alias("st"))
+        number = F.col("s_suppkey").cast("int")
+        stations = (self.table("supplier").groupBy((number % 10).alias("st"), (number if self.wide else number % 10).alias("number"))
                     .agg(F.min("s_nationkey").alias("nation")))
         return stations.select(
-            st.alias("station"), (7 + 5 * (st % 2)).alias("district"), (5 + 17 * (st % 5)).alias("route"),
+            F.col("number").alias("station"), (7 + 5 * (st % 2)).alias("district"), (5 + 17 * (st % 5)).alias("route"),
             F.when(st == 3, "X").otherwise(_letters(st)).alias("direction"),
             (1 + F.col("nation")).cast("int").alias("county"), F.concat(F.lit("R"), st.cast("string")).alias("state_pm"),
             F.when(st != 4, (2 * st).cast("double")).alias("abs_pm"),
@@ -107,7 +110,7 @@ class Inputs:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return station_hour_summary(self.clean, counted=keep_observed(self.raw_l))
+        return station_hour_summary(self.clean, self.params)
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -157,6 +160,9 @@ class Inputs:
     @cached_property
     def ledger(self) -> DataFrame:
         """Files fetched up to the end of 2022."""
-        files = self.manifest.where("CAST(year AS INT) <= 2022")
-        return files.select("file_type", "district", "year", "month", "file_name", "file_id",
+        return self.whole_ledger.where("CAST(year AS INT) <= 2022")
+
+    @cached_property
+    def whole_ledger(self) -> DataFrame:
+        return self.manifest.select("file_type", "district", "year", "month", "file_name", "file_id",
                             F.lit(0.0).alias("megabites"), F.col("url").alias("download_url"))

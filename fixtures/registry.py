@@ -152,9 +152,11 @@ def _ledger_path(i: Inputs) -> str:
     return path
 
 
-@query("ledger_scan", _LEDGER)
+@query("ledger_scan", "SELECT file_type, district, year, month, file_name, file_id, 0.0::DOUBLE AS megabites, download_url FROM files")
 def _(i: Inputs) -> DataFrame:
-    return tables.scan_ledger(i.spark, _ledger_path(i))
+    path = shared_path(i.spark, "ledger")
+    tables.append_ledger(i.whole_ledger, path)
+    return tables.scan_ledger(i.spark, path)
 
 
 @query("ledger_append", f"{_LEDGER} UNION ALL {_MANIFEST} WHERE CAST(year AS INT) > 2022")
@@ -373,7 +375,7 @@ def _(i: Inputs) -> DataFrame:
 
 
 @query("meta_gate", """SELECT s.station, s.hour, s.year, s.month_num, s.lanes, s.median_flow, s.days_observed FROM summ s
-  WHERE NOT EXISTS (SELECT 1 FROM summ b WHERE b.year = s.year AND b.month_num = s.month_num
+  WHERE NOT EXISTS (SELECT 1 FROM summ b WHERE b.year = s.year AND b.month_num = s.month_num AND b.district = s.district
                     AND b.station NOT IN (SELECT station FROM meta_gap))""")
 def _(i: Inputs) -> DataFrame:
     return enrichment.drop_uncovered_months(i.summary, i.meta_gap).select(
@@ -421,11 +423,11 @@ def _(i: Inputs) -> DataFrame:
 
 _PICK = "station, hour, year, month_num, lanes, route, type, direction, avg_flow"
 _PICK_COLUMNS = _PICK.split(", ")
-_BASE = "year BETWEEN 2019 AND 2023 AND hour BETWEEN 7 AND 11"
+_BASE = "year BETWEEN 2019 AND 2025 AND hour BETWEEN 7 AND 11"
 _CHOSEN = f"""(SELECT * FROM enriched WHERE {_BASE} AND (
   (route = 39 AND type = 'ML' AND direction = 'N' AND abs_pm IS NOT NULL)
   OR (route = 22 AND type = 'ML' AND abs_pm BETWEEN 1 AND 5)
-  OR (route = 56 AND type = 'ML' AND direction = 'E' AND station IN (3, 8))))"""
+  OR (route = 56 AND type = 'ML' AND direction = 'E' AND station IN (3, 8)) OR (route = 73 AND type = 'ML' AND direction = 'N')))"""
 
 
 def _chosen(i: Inputs) -> DataFrame:
@@ -437,18 +439,18 @@ def _(i: Inputs) -> DataFrame:
     return selection.filter_base(i.processed, SELECTION).select(*_PICK_COLUMNS)
 
 
-@query("filter_routes", f"SELECT {_PICK} FROM enriched WHERE route IN (39, 22, 56)")
+@query("filter_routes", f"SELECT {_PICK} FROM enriched WHERE route IN (39, 22, 56, 73)")
 def _(i: Inputs) -> DataFrame:
     return selection.filter_routes(i.processed, SELECTION).select(*_PICK_COLUMNS)
 
 
-@query("filter_lane_type", f"SELECT {_PICK} FROM enriched WHERE {_BASE} AND type = 'ML' AND route IN (39, 22, 56)")
+@query("filter_lane_type", f"SELECT {_PICK} FROM enriched WHERE {_BASE} AND type = 'ML' AND route IN (39, 22, 56, 73)")
 def _(i: Inputs) -> DataFrame:
     return selection.filter_lane_type(i.processed, SELECTION).select(*_PICK_COLUMNS)
 
 
 @query("filter_direction", f"""SELECT {_PICK} FROM enriched WHERE {_BASE} AND type = 'ML'
-  AND ((route = 39 AND direction = 'N') OR route = 22 OR (route = 56 AND direction = 'E'))""")
+  AND ((route = 39 AND direction = 'N') OR route = 22 OR (route = 56 AND direction = 'E') OR (route = 73 AND direction = 'N'))""")
 def _(i: Inputs) -> DataFrame:
     return selection.filter_route_choices(i.processed, SELECTION).select(*_PICK_COLUMNS)
 
@@ -603,9 +605,9 @@ def _(i: Inputs) -> DataFrame:
 @query("map_domain", f"""SELECT round(avg(latitude), 6) AS center_lat, round(avg(longitude), 6) AS center_lon,
   coalesce(round(min(avg_flow_sel), 4), 0) AS color_min, coalesce(round(max(avg_flow_sel), 4), 1) AS color_max FROM (
   SELECT station, median(latitude) AS latitude, median(longitude) AS longitude, avg(avg_flow) AS avg_flow_sel
-  FROM enriched WHERE {_PERIODS} AND latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY station)""")
+  FROM enriched WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY station)""")
 def _(i: Inputs) -> DataFrame:
-    domain = metrics.map_domain(metrics.station_map_global(i.processed, PERIODS_ONLY))
+    domain = metrics.map_domain(metrics.station_map_global(i.processed))
     return rounded(rounded(domain, "center_lat", "center_lon", digits=6), "color_min", "color_max")
 
 
@@ -639,13 +641,13 @@ def _(i: Inputs) -> DataFrame:
     return exploration.top_routes(i.processed)
 
 
-@query("top_routes_box", f"""SELECT b.route, min(s.median_speed) AS whisker_low, q1, b.median, q3, max(s.median_speed) AS whisker_high
+@query("top_routes_box", f"""SELECT b.route, least(min(s.median_speed), q1) AS whisker_low, q1, b.median, q3, greatest(max(s.median_speed), q3) AS whisker_high
   FROM (SELECT route, quantile_cont(median_speed, 0.25) AS q1, quantile_cont(median_speed, 0.5) AS median, quantile_cont(median_speed, 0.75) AS q3
-        FROM summ WHERE route IN (SELECT route FROM {_TOP.format(k=3)}) GROUP BY route) b
+        FROM summ WHERE route IN (SELECT route FROM {_TOP.format(k=5)}) GROUP BY route) b
   JOIN summ s ON s.route = b.route AND s.median_speed BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)
   GROUP BY b.route, q1, b.median, q3""")
 def _(i: Inputs) -> DataFrame:
-    return exploration.top_routes_box(i.processed, 3)
+    return exploration.top_routes_box(i.processed)
 
 
 @query("systematic_sample", f"""SELECT {_ORDER}, median_flow, median_speed FROM (
@@ -727,14 +729,13 @@ def _(i: Inputs) -> DataFrame:
 
 @query("stream_upsert", _rounded_sql("enriched_e"))
 def _(i: Inputs) -> DataFrame:
-    landed, table, mark = (shared_path(i.spark, n) for n in ("stream-landed", "stream-table", "stream-mark"))
-    ingest.upsert_stream(_streamed_clean(i), landed, table, mark, i.meta)
+    table, mark = (shared_path(i.spark, n) for n in ("stream-table", "stream-mark"))
+    ingest.upsert_stream(_streamed_clean(i), table, mark, i.meta)
     return rounded(tables.scan_processed(i.spark, table), *SD)
 
 
 @query("stream_window", """SELECT window_start, event_type, count(*) AS rows, avg(value) AS mean_value, median(value) AS median_value
-  FROM (SELECT date_trunc('hour', ts) AS window_start, event_type, CAST(CAST(round(value * 100) AS INT) AS DOUBLE) AS value FROM events)
-  WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY window_start, event_type""")
+  FROM (SELECT date_trunc('hour', ts) AS window_start, event_type, CAST(CAST(round(value * 100) AS INT) AS DOUBLE) AS value FROM events) GROUP BY window_start, event_type""")
 def _(i: Inputs) -> DataFrame:
     events = (i.spark.readStream.schema(i.table("events").schema).option("pathGlobFilter", "events.parquet")
               .parquet(i.sf_dir))
@@ -743,5 +744,7 @@ def _(i: Inputs) -> DataFrame:
     table = shared_path(i.spark, "stream-counts")
     ingest.append_stream(counts, table, shared_path(i.spark, "stream-mark"))
     emitted = i.spark.read.schema(counts.schema).parquet(table)
-    return windows.window_summary(emitted, ["event_type"]).select(
+    cents_now = i.table("events").withColumn("value", F.round(F.col("value") * 100).cast("int"))
+    whole = windows.with_open_windows(emitted, cents_now, "ts", ["event_type"], "value")
+    return windows.window_summary(whole, ["event_type"]).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "rows", "mean_value", "median_value")

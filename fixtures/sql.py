@@ -10,7 +10,7 @@ _CTE = {
               ELSE CASE WHEN st < 5 THEN 'E' ELSE 'W' END END AS direction,
          CASE WHEN st % 5 = 0 THEN 'HV' WHEN st = 7 THEN 'OR' ELSE 'ML' END AS type,
          CASE WHEN st = 9 THEN NULL ELSE CAST(0.25 AS DOUBLE) * (1 + st) END AS length,
-         100 - 3 * CAST(ROUND(l_discount * 100) AS INT) AS pct_obs,
+         CAST(100 - 3 * CAST(ROUND(l_discount * 100) AS INT) AS DOUBLE) AS pct_obs,
          CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE CAST(CAST(ROUND(l_extendedprice / 100) AS INT) AS DOUBLE) END AS flow,
          CAST(80 - l_quantity AS DOUBLE) AS speed,
          CAST(CAST(ROUND(l_tax * 100) AS INT) AS DOUBLE) AS occupancy,
@@ -22,7 +22,7 @@ _CTE = {
          CASE WHEN st % 2 = 0 THEN 'N' ELSE 'E' END AS direction,
          CASE WHEN st = 0 THEN 'HV' ELSE 'ML' END AS type,
          CAST(0.25 AS DOUBLE) * (1 + st) AS length,
-         CAST(100 - 3 * (event_id % 9) AS INT) AS pct_obs,
+         CAST(100 - 3 * (event_id % 9) AS DOUBLE) AS pct_obs,
          CASE WHEN event_id % 37 = 0 THEN NULL ELSE CAST(CAST(ROUND(value * 10) AS INT) AS DOUBLE) END AS flow,
          CAST(30 + event_id % 50 AS DOUBLE) AS speed,
          CAST(event_id % 40 AS DOUBLE) AS occupancy,

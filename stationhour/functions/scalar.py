@@ -31,9 +31,9 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Replace NaN by null in every floating-point column."""
-    floats = [f.name for f in df.schema if f.dataType.typeName() in ("double", "float")]
+def nan_to_null(df: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
+    """Replace NaN by null in every floating-point column but those in ``keep``."""
+    floats = [f.name for f in df.schema if f.dataType.typeName() in ("double", "float") and f.name not in keep]
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
 
 

@@ -10,8 +10,8 @@ from stationhour.functions.scalar import computed_once, lane_count, local_timest
 from stationhour.schemas import CLEAN_COLUMNS, Params
 
 
-def keep_observed(rows: DataFrame, min_pct_obs: int = Params.min_pct_obs) -> DataFrame:
-    return rows.where(F.col("pct_obs") >= min_pct_obs)
+def keep_observed(rows: DataFrame, min_pct_obs: float = Params.min_pct_obs) -> DataFrame:
+    return rows.where((F.col("pct_obs") >= min_pct_obs) & ~F.isnan("pct_obs"))
 
 
 def add_date_parts(rows: DataFrame, stamp: str = "time_stamp_string") -> DataFrame:

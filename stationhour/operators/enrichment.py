@@ -24,15 +24,19 @@ def missing_stations(summary: DataFrame, meta: DataFrame) -> DataFrame:
     return summary.join(meta.select("station").distinct(), "station", "left_anti")
 
 
+SCOPE = [*PERIOD, "district"]   # what one file holds
+
+
 def uncovered_months(summary: DataFrame, meta: DataFrame) -> DataFrame:
-    """Periods with at least one station that metadata does not know."""
-    stations = summary.select(*PERIOD, "station").distinct()
-    return missing_stations(stations, meta).select(*PERIOD).distinct()
+    """Periods and districts with at least one station that metadata does not know."""
+    stations = summary.select(*SCOPE, "station").distinct()
+    return missing_stations(stations, meta).select(*SCOPE).distinct()
 
 
 def drop_uncovered_months(summary: DataFrame, meta: DataFrame) -> DataFrame:
-    """Keep only months whose stations are all known. At most twelve periods a year are broadcast."""
-    return summary.join(F.broadcast(uncovered_months(summary, meta)), PERIOD, "left_anti")
+    """Keep only months of a district whose stations are all known. At most twelve periods a year and district (of which
+    there are a dozen) are broadcast."""
+    return summary.join(F.broadcast(uncovered_months(summary, meta)), SCOPE, "left_anti")
 
 
 def enrich(summary: DataFrame, meta: DataFrame, on_missing: str = "drop_month") -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from stationhour.functions.numbering import number_rows
 from stationhour.functions.periods import MONTHS, month_name
-from stationhour.functions.quantiles import grouped_quantiles
+from stationhour.functions.quantiles import quantiles_of_counts, value_counts
 from stationhour.functions.scalar import peak_bucket
 from stationhour.schemas import SUMMARY_KEYS
+from stationhour.session import write_shared
 
 DIRECTIONS = ["N", "S", "E", "W"]
 ROW_ORDER = ["year", "month_num", "station", "hour", "district", "route", "direction", "type", "lanes", "length"]
@@ -33,16 +34,16 @@ def top_routes(df: DataFrame, k: int = 5) -> DataFrame:
 
 def top_routes_box(df: DataFrame, k: int = 5, value: str = "median_speed") -> DataFrame:
     """Box statistics per top route: quartiles and whiskers, the furthest values within 1.5
-    interquartile ranges of the box."""
+    interquartile ranges of the box, never inside the box. All come from one written count of values."""
     rows = df.join(F.broadcast(top_routes(df, k).select("route")), "route", "left_semi").dropna(subset=[value])
-    box = grouped_quantiles(rows, ["route"], {value: F.col(value)},
-                            {"q1": (value, 0.25), "median": (value, 0.5), "q3": (value, 0.75)})
+    counts = write_shared(value_counts(rows, ["route"], {value: F.col(value)}), "box-values")
+    box = quantiles_of_counts(counts, ["route"], {"q1": (value, 0.25), "median": (value, 0.5), "q3": (value, 0.75)})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     # k rows
     limits = F.broadcast(box.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach}))
-    whiskers = (rows.join(limits, "route").where(F.col(value).between(F.col("low"), F.col("high")))
-                .groupBy("route").agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high")))
-    return box.join(F.broadcast(whiskers), "route").select("route", "whisker_low", "q1", "median", "q3", "whisker_high")
+    inside = F.when(F.col("value").between(F.col("low"), F.col("high")), F.col("value"))
+    found = counts.join(limits, "route").groupBy("route", "q1", "median", "q3").agg(F.min(inside).alias("least"), F.max(inside).alias("most"))
+    return found.select("route", F.least("least", "q1").alias("whisker_low"), "q1", "median", "q3", F.greatest("most", "q3").alias("whisker_high"))
 
 
 def systematic_sample(df: DataFrame, step: int = 10) -> DataFrame:

@@ -38,7 +38,7 @@ def manifest_totals(manifest: DataFrame) -> DataFrame:
 
 
 def processed_periods(processed: DataFrame) -> DataFrame:
-    """Distinct (year, month_num) of the processed table; reads partition columns only."""
+    """Distinct (year, month_num) of the processed table; reads no column of the files."""
     return processed.select(*PERIOD).distinct()
 
 
@@ -53,7 +53,7 @@ def year_status(processed: DataFrame) -> DataFrame:
 
 
 def pending_months(files: DataFrame, processed: DataFrame) -> DataFrame:
-    """Periods with a raw file that the processed table does not hold."""
+    """Periods with a raw file that the processed table does not hold: a report on the table. Loading goes by file (``plans.months``)."""
     available = files.select(*PERIOD, "month").distinct()
     return available.join(F.broadcast(processed_periods(processed)), PERIOD, "left_anti")
 

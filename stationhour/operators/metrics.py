@@ -115,16 +115,18 @@ def route_month_line(df: DataFrame, dense: bool = True) -> DataFrame:
     any_lane = F.max(F.col("lane_median").isNotNull()).over(W.partitionBy("route"))
     chosen = both.withColumn("per_lane", any_lane).select(
         *ROUTE_MONTH, "per_lane", F.when(F.col("per_lane"), F.col("lane_median"))
-        .otherwise(F.col("flow_median")).alias("line_value")).where("line_value IS NOT NULL")
+        .otherwise(F.col("flow_median")).alias("line_value"))
+    if not dense:
+        chosen = chosen.where("line_value IS NOT NULL")
     return _by_month(chosen, dense).withColumn("per_lane", F.max("per_lane").over(W.partitionBy("route")))
 
 
 def _station_points(rows: DataFrame, keys: Sequence[str], mean: str, *others: Column) -> DataFrame:
-    """Median position and mean flow per key."""
+    """Median position and mean flow per key, in one shuffle: a station has a handful of positions, so the built-in median
+    buffers few values however many rows it has."""
     rows = rows.dropna(subset=["latitude", "longitude", *keys])
-    medians = grouped_medians(rows, list(keys), {"latitude": F.col("latitude"), "longitude": F.col("longitude")})
-    means = rows.groupBy(*keys).agg(F.avg(to_number(F.col("avg_flow"))).alias(mean), *others)
-    return means.join(medians, list(keys))
+    return rows.groupBy(*keys).agg(F.avg(to_number(F.col("avg_flow"))).alias(mean), *others,
+                                   F.median("latitude").alias("latitude"), F.median("longitude").alias("longitude"))
 
 
 def station_map(df: DataFrame) -> DataFrame:

@@ -54,8 +54,14 @@ def directions(df: DataFrame) -> DataFrame:
 
 
 def stations(df: DataFrame) -> DataFrame:
-    """Distinct (station, abs_pm) in post-mile order; rows without a post mile drop out."""
-    return (df.dropna(subset=["station", "abs_pm"]).select("station", "abs_pm").distinct()
+    """Distinct (station, abs_pm) in post-mile order; rows without a post mile drop out.
+
+    Where no row has a post mile, all stations in the order of their text.
+    """
+    found = df.dropna(subset=["station"]).select("station", "abs_pm").distinct()
+    located = found.agg(F.max(F.col("abs_pm").isNotNull()).alias("located"))
+    # a single row is broadcast
+    return (found.join(F.broadcast(located), F.col("abs_pm").isNotNull() | ~F.col("located")).drop("located")
             .orderBy("abs_pm", F.col("station").cast("string")))
 
 

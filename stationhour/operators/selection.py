@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationhour.functions.scalar import direction_letter, upper_type
 from stationhour.schemas import RouteChoice, Selection
-from stationhour.session import write_shared
 
 BOTH = "both"
 
 
 def period_predicate(selection: Selection) -> Column:
-    """Years (first five) and months; an empty list does not filter."""
+    """Years and months; an empty list does not filter."""
     predicate = F.lit(True)
     if selection.years:
-        predicate = predicate & F.col("year").isin(*selection.effective_years)
+        predicate = predicate & F.col("year").isin(*selection.years)
     if selection.months:
         predicate = predicate & F.col("month_num").isin(*selection.months)
     return predicate
@@ -32,8 +34,8 @@ def filter_base(df: DataFrame, selection: Selection) -> DataFrame:
 
 
 def filter_routes(df: DataFrame, selection: Selection) -> DataFrame:
-    """Rows of the first three chosen routes; no chosen route selects nothing."""
-    routes = [c.route for c in selection.effective_routes]
+    """Rows of the chosen routes; no chosen route selects nothing."""
+    routes = [c.route for c in selection.routes]
     return df.where(F.col("route").isin(*routes) if routes else F.lit(False))
 
 
@@ -45,9 +47,9 @@ _CHOICE_SCHEMA = T.StructType([
 
 
 def _choices(df: DataFrame, selection: Selection) -> DataFrame:
-    """The chosen routes as a DataFrame of at most three rows."""
+    """The chosen routes, one row each: as many as a caller lists by hand."""
     rows = []
-    for c in selection.effective_routes:
+    for c in selection.routes:
         low, high = c.segment or (None, None)
         rows.append((int(c.route), c.lane_type, c.direction, low, high, [int(s) for s in c.stations]))
     return df.sparkSession.createDataFrame(rows, _CHOICE_SCHEMA)
@@ -57,49 +59,66 @@ def lane_type_rank(lane_type: Column) -> Column:
     return F.when(lane_type == "ML", 0).when(lane_type == "HV", 1).when(lane_type.isNotNull(), 2).otherwise(3)
 
 
-def resolve_choices(df: DataFrame, selection: Selection) -> DataFrame:
-    """One row per route that has data: its lane type, direction (null = both) and limits.
+def _flags(df: DataFrame, selection: Selection) -> DataFrame:
+    """(route, lane type, letter, station) of the base rows on chosen routes, with what the route's choice says of it.
+
+    Every default and fallback of a report follows from this one aggregate, whose rows are as many as stations.
+    """
+    base = filter_routes(filter_base(df, selection), selection)
+    asked = base.join(F.broadcast(_choices(df, selection)), "route")
+    pm = F.col("abs_pm") if "abs_pm" in df.columns else F.lit(None).cast("double")
+    in_list = (F.size("want_stations") == 0) | F.array_contains("want_stations", F.col("station"))
+    in_segment = ((F.col("low_pm").isNull() | (pm >= F.col("low_pm")))
+                  & (F.col("high_pm").isNull() | (pm <= F.col("high_pm"))) & pm.isNotNull())
+    return asked.groupBy("route", upper_type().alias("lane_type"), direction_letter().alias("letter"), "station").agg(
+        F.first("want_type").alias("want_type"), F.first("want_direction").alias("want_direction"),
+        F.max(pm.isNotNull()).alias("has_pm"), F.max(in_segment & in_list).alias("in_segment"), F.max(in_list).alias("in_list"))
+
+
+def resolve_choices(flags: DataFrame) -> DataFrame:
+    """One row per route that has data: its lane type and direction (null = both).
 
-    Lane type defaults to ML if present, else HV, else the alphabetically first. Direction
-    defaults to N on a north-south route and E on an east-west one; a route with neither has no
-    direction filter. Only distinct (route, type, letter) combinations are shuffled.
+    Lane type defaults to ML if present, else HV, else the alphabetically first. Direction defaults to N on a
+    north-south route and E on an east-west one; a route with neither has no direction filter.
     """
-    combos = (filter_routes(filter_base(df, selection), selection)
-              .select("route", upper_type().alias("lane_type"), direction_letter().alias("letter")).distinct())
-    asked = combos.join(F.broadcast(_choices(df, selection)), "route")
-    by_type = asked.groupBy("route", "want_type", "want_direction", "low_pm", "high_pm", "want_stations", "lane_type").agg(
-        F.max(F.col("letter").isin("N", "S")).alias("north_south"),
-        F.max(F.col("letter").isin("E", "W")).alias("east_west"))
+    by_type = flags.groupBy("route", "want_type", "want_direction", "lane_type").agg(
+        F.max(F.col("letter").isin("N", "S")).alias("north_south"), F.max(F.col("letter").isin("E", "W")).alias("east_west"))
     wanted = by_type.where(F.col("want_type").isNull() | (F.col("lane_type") == F.upper("want_type")))
-    first = F.struct(lane_type_rank(F.col("lane_type")).alias("rank"), "lane_type",
-                     F.col("north_south"), F.col("east_west"))
-    chosen = (wanted.groupBy("route", "want_direction", "low_pm", "high_pm", "want_stations")
-              .agg(F.min(first).alias("pick")))
+    first = F.struct(lane_type_rank(F.col("lane_type")).alias("rank"), "lane_type", "north_south", "east_west")
+    chosen = wanted.groupBy("route", "want_direction").agg(F.min(first).alias("pick"))
     axis_default = F.when(F.col("pick.north_south"), "N").when(F.col("pick.east_west"), "E")
     on_axis = (F.when(F.col("pick.north_south"), F.col("want_direction").isin("N", "S"))
                .when(F.col("pick.east_west"), F.col("want_direction").isin("E", "W")))
     direction = (F.when(F.col("want_direction") == BOTH, F.lit(None))
                  .when(on_axis, F.col("want_direction")).otherwise(axis_default))
-    return chosen.select("route", F.col("pick.lane_type").alias("lane_type"), direction.alias("letter"),
-                         "low_pm", "high_pm", "want_stations")
+    return chosen.select("route", F.col("pick.lane_type").alias("chosen_type"), direction.alias("chosen_letter"))
+
+
+def _matching(flags: DataFrame) -> DataFrame:
+    """The combinations that match their route's lane type and direction. One row per chosen route is broadcast."""
+    return flags.join(F.broadcast(resolve_choices(flags)), "route").where(
+        F.col("lane_type").eqNullSafe(F.col("chosen_type")) & (F.col("chosen_letter").isNull() | (F.col("letter") == F.col("chosen_letter"))))
+
+
+def _rows_of(df: DataFrame, selection: Selection, kept: DataFrame) -> DataFrame:
+    """Base rows of the kept (route, lane type, letter, station)."""
+    base = filter_routes(filter_base(df, selection), selection)
+    kept = kept.select(*[F.col(c).alias(f"kept_{c}") for c in ("route", "lane_type", "letter", "station")])
+    return base.join(kept, (
+        (F.col("route") == F.col("kept_route")) & F.col("station").eqNullSafe(F.col("kept_station"))
+        & upper_type().eqNullSafe(F.col("kept_lane_type")) & direction_letter().eqNullSafe(F.col("kept_letter"))), "left_semi")
 
 
 def filter_route_choices(df: DataFrame, selection: Selection) -> DataFrame:
     """Base filter, then route, lane type and direction of each choice."""
     if not selection.routes:
         return df.where(F.lit(False))
-    base = filter_routes(filter_base(df, selection), selection)
-    choices = F.broadcast(resolve_choices(df, selection)).alias("c")
-    return base.alias("d").join(choices, (
-        (F.col("d.route") == F.col("c.route"))
-        & (F.col("c.lane_type").isNull() | (upper_type("d.type") == F.col("c.lane_type")))
-        & (F.col("c.letter").isNull() | (direction_letter("d.direction") == F.col("c.letter")))), "left_semi")
+    return _rows_of(df, selection, _matching(_flags(df, selection)))
 
 
 def filter_lane_type(df: DataFrame, selection: Selection) -> DataFrame:
     """Base filter, route and lane type only."""
-    relaxed = Selection(selection.years, selection.months, selection.hours, tuple(
-        RouteChoice(c.route, c.lane_type, BOTH) for c in selection.routes))
+    relaxed = replace(selection, routes=tuple(RouteChoice(c.route, c.lane_type, BOTH) for c in selection.routes))
     return filter_route_choices(df, relaxed)
 
 
@@ -121,19 +140,9 @@ def filter_selection(df: DataFrame, selection: Selection) -> DataFrame:
     """
     if not selection.routes:
         return df.where(F.lit(False))
-    rows = filter_route_choices(df, selection)
-    limits = F.broadcast(_choices(df, selection).select("route", "low_pm", "high_pm", "want_stations"))
-    pm = F.col("abs_pm")
-    in_segment = ((F.col("low_pm").isNull() | (pm >= F.col("low_pm")))
-                  & (F.col("high_pm").isNull() | (pm <= F.col("high_pm"))) & pm.isNotNull())
-    in_list = (F.size("want_stations") == 0) | F.array_contains("want_stations", F.col("station"))
-    per_station = rows.join(limits, "route").groupBy("route", "station").agg(
-        F.max(pm.isNotNull()).alias("has_pm"), F.max(in_segment & in_list).alias("in_segment"),
-        F.max(in_list).alias("in_list"))
-    # at most three routes
-    per_route = per_station.groupBy("route").agg(
-        F.max("has_pm").alias("located"), F.max("in_segment").alias("any_segment"), F.max("in_list").alias("any_list"))
-    fits = F.when(F.col("located"), F.col("in_segment") | ~F.col("any_segment")).otherwise(
-        F.col("in_list") | ~F.col("any_list"))
-    kept = per_station.join(F.broadcast(per_route), "route").where(fits).select("route", "station")
-    return rows.join(write_shared(kept, "chosen-stations"), ["route", "station"], "left_semi")
+    matching = _matching(_flags(df, selection))
+    station, route = W.partitionBy("route", "station"), W.partitionBy("route")
+    judged = matching.withColumns({c: F.max(c).over(station) for c in ("in_segment", "in_list")}).withColumns({
+        "located": F.max("has_pm").over(route), "any_segment": F.max("in_segment").over(route), "any_list": F.max("in_list").over(route)})
+    fits = F.when(F.col("located"), F.col("in_segment") | ~F.col("any_segment")).otherwise(F.col("in_list") | ~F.col("any_list"))
+    return _rows_of(df, selection, judged.where(fits))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from stationhour.functions.periods import month_name
 from stationhour.functions.quantiles import grouped_medians
+from stationhour.functions.scalar import nan_to_null
 from stationhour.schemas import MEASURES, STATISTICS, SUMMARY_KEYS, Params
-from stationhour.session import write_shared
 
 # the month name follows from its number and is added after grouping
 GROUP_KEYS = [k for k in SUMMARY_KEYS if k != "month"]
@@ -33,31 +33,18 @@ def _split(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*GROUP_KEYS).agg(*_moments()).join(medians, GROUP_KEYS, "left")
 
 
-def hot_stations(rows: DataFrame, hot_rows: int) -> DataFrame:
-    """Stations above ``hot_rows`` rows: at most (rows / hot_rows) of them."""
-    return (rows.groupBy("station").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > hot_rows).select("station"))
-
-
-def station_hour_summary(clean_rows: DataFrame, params: Params = Params(),
-                         counted: DataFrame | None = None) -> DataFrame:
+def station_hour_summary(clean_rows: DataFrame, params: Params = Params()) -> DataFrame:
     """Median, mean and sample deviation of each measure and the row count per station, hour,
     month and lane count, for groups of at least ``min_days`` rows.
 
-    Rows with a null key drop out. The built-in median keeps a group's distinct values in one
-    buffer, so a station with more than ``hot_rows`` rows (a detector has some nine thousand a
-    year) has its medians computed from spread value counts instead. Looking for such stations
-    counts one column of ``counted``, rows that include the cleaned ones, such as the raw rows,
-    by default of ``clean_rows``. ``hot_rows=None`` skips the search where groups are known to be
-    small.
+    Rows with a null key drop out; NaN counts as null. ``params.medians`` chooses between two exact ways: "buffered" keeps a
+    group's distinct values in one buffer (a detector has some thirty rows an hour and month), in one shuffle; "split" counts
+    values first and spreads them, for stations whose groups outgrow a task.
     """
-    rows = clean_rows.dropna(subset=GROUP_KEYS)
-    summary = _plain(rows)
-    if params.hot_rows is not None:
-        hot = write_shared(hot_stations(rows if counted is None else counted, params.hot_rows), "hot-stations")
-        if not hot.isEmpty():
-            summary = _plain(rows.join(hot, "station", "left_anti")).unionByName(
-                _split(rows.join(hot, "station", "left_semi")))
+    if params.medians not in ("buffered", "split"):
+        raise ValueError(f"unknown medians: {params.medians}")
+    rows = nan_to_null(clean_rows.select(*INPUT_COLUMNS).dropna(subset=GROUP_KEYS))
+    summary = _split(rows) if params.medians == "split" else _plain(rows)
     return (summary.where(F.col("days_observed") >= params.min_days)
             .withColumn("month", month_name(F.col("month_num")))
             .select(*SUMMARY_KEYS, *STATISTICS, "days_observed"))

@@ -4,59 +4,101 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationhour.functions.periods import in_name_period
-from stationhour.operators.cleaning import clean, keep_observed
+from stationhour.operators.cleaning import clean
 from stationhour.operators.enrichment import enrich
-from stationhour.operators.files import pending_months
 from stationhour.operators.summary import INPUT_COLUMNS, station_hour_summary
-from stationhour.schemas import PERIOD, Params
+from stationhour.schemas import CLEAN_TYPES, PERIOD, Params
 from stationhour.session import write_shared
 from stationhour.sources import raw as raw_source
-from stationhour.sources.tables import scan_processed, write_months
+from stationhour.sources.tables import read_or_empty, remove_months, replace_months, scan_processed
 
 
 def month_pipeline(raw_rows: DataFrame, meta: DataFrame, calendar: DataFrame, params: Params = Params(),
                    on_missing: str = "drop_month") -> DataFrame:
-    """Clean, summarise and enrich raw rows of any number of months in one plan.
+    """Clean, summarise and enrich raw rows of any number of months; the raw rows are read once.
 
     The coverage gate reads the summary a second time, so the summary is written to the shared
     folder instead of being computed twice from the raw rows.
     """
-    observed = keep_observed(raw_rows, params.min_pct_obs)
-    summary = station_hour_summary(clean(raw_rows, calendar, params), params, observed)
+    summary = station_hour_summary(clean(raw_rows, calendar, params), params)
     if on_missing == "drop_month":
         summary = write_shared(summary, "summary")
     return enrich(summary, meta, on_missing)
 
 
+LANDED_KEYS = [*PERIOD, "file_name"]
+
+
+def landed_of(table: str) -> str:
+    """Where the cleaned rows behind a processed table are kept, by month and file."""
+    return f"{table.rstrip('/')}-landed"
+
+
+def land(cleaned: DataFrame, landed: str) -> None:
+    """Keep cleaned rows (with their file's name) by month and file; a file's rows replace what it landed before. Rows dated outside the
+    month in their file's name are left to the quarantine."""
+    own = cleaned.where(in_name_period(F.col("file_name"), F.col("date")))
+    (own.select(*INPUT_COLUMNS, "file_name").hint("rebalance", *LANDED_KEYS).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*LANDED_KEYS).parquet(landed))
+
+
+def recompute_months(spark: SparkSession, landed: str, table: str, periods: list[tuple[int, int]], meta: DataFrame,
+                     params: Params = Params(), on_missing: str = "drop_month", only: DataFrame | None = None) -> None:
+    """Recompute the given months of ``table`` from all rows landed for them, whichever way they came.
+
+    A month that has become empty or uncovered loses its partition. Only the folders of these months are
+    listed. ``only`` restricts the files (file_name).
+    """
+    folders = [p for p in (f"{landed}/year={y}/month_num={m}" for y, m in periods) if _exists(spark, p)]
+    if folders:
+        fields = {f.name: f for f in CLEAN_TYPES}
+        schema = T.StructType([*[fields[c] for c in INPUT_COLUMNS], T.StructField("file_name", T.StringType())])
+        rows = spark.read.option("basePath", landed).schema(schema).parquet(*folders)
+        if only is not None:
+            rows = rows.join(only.select("file_name").distinct(), "file_name", "left_semi")
+        summary = enrich(write_shared(station_hour_summary(rows, params), "summary"), meta, on_missing)
+        replace_months(summary, table, periods)
+    else:
+        remove_months(spark, table, periods)
+        spark.catalog.refreshByPath(table)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+FILES_SCHEMA = "file_name STRING, bytes LONG"
+
+
 def backfill(spark: SparkSession, raw_folder: str, table: str, meta: DataFrame, calendar: DataFrame,
              params: Params = Params(), *, on_missing: str = "drop_month", latest_only: bool = False,
              strict_file: bool = False) -> DataFrame:
-    """Process every month that has raw files but no partition in ``table``; returns the table.
+    """Process every raw file that ``table`` has not seen in its present size; returns the table.
 
-    All pending months run as one job. Cleaned rows are written to the shared folder first: gzip
-    text is read once and a lost executor does not bring it back. Rows whose own month differs
-    from the month in their file's name never replace a month.
+    Files are told apart by name and size in a ledger beside the table, so a late file of a month, or one that has grown, brings its
+    month up to date. Cleaned rows land beside the table (``landed_of``), where streams land theirs too; months with new files are
+    recomputed from all that has landed. gzip text is read once, and a run that breaks off is simply repeated.
     """
     files = raw_source.discover_files(spark, raw_folder)
-    pending = pending_months(files, scan_processed(spark, table))
-    # at most twelve periods a year of data: the list becomes a file name pattern
-    periods = [(r.year, r.month_num) for r in pending.select(*PERIOD).collect()]
-    if not periods:
-        return scan_processed(spark, table)
-    names = ",".join(f"{year:04d}_{month:02d}" for year, month in sorted(periods))
-    rows = raw_source.scan_raw(spark, raw_folder, origin=True, glob=f"*{{{names}}}*{{.txt,.gz}}")
     if latest_only:
-        latest = F.broadcast(raw_source.latest_files(files).select("file_name"))
-        rows = rows.join(latest, "file_name", "left_semi")
+        files = files.join(raw_source.latest_files(files).select("file_path"), "file_path", "left_semi")
+    ledger = f"{table.rstrip('/')}-files"
+    seen = read_or_empty(spark, ledger, T.StructType.fromDDL(FILES_SCHEMA))
+    pending = write_shared(files.join(seen, ["file_name", "bytes"], "left_anti"), "pending-files")
+    # a few files a month and district
+    listed = pending.select("file_path", *PERIOD).collect()
+    if not listed:
+        return scan_processed(spark, table)
+    paths, periods = [r.file_path for r in listed], sorted({(r.year, r.month_num) for r in listed})
+    rows = raw_source.scan_raw(spark, paths, origin=True)
     if strict_file:
-        rows = raw_source.without_bad_files(rows, raw_source.quarantine(spark, raw_folder, params))
-    wanted = F.broadcast(spark.createDataFrame(periods, "year INT, month_num INT"))
-    cleaned = (clean(rows, calendar, params).join(wanted, PERIOD, "left_semi")
-               .where(in_name_period(F.col("file_name"), F.col("date"))))
-    landed = write_shared(cleaned.select(*INPUT_COLUMNS), "clean-rows")
-    summary = write_shared(station_hour_summary(landed, params), "summary")
-    write_months(enrich(summary, meta, on_missing), table)
-    spark.catalog.refreshByPath(table)
+        bad = raw_source.quarantine(spark, paths, params).where(F.col("reason") != raw_source.ANOTHER_MONTH)
+        rows = raw_source.without_bad_files(rows, bad)
+    land(clean(rows, calendar, params), landed_of(table))
+    recompute_months(spark, landed_of(table), table, periods, meta, params, on_missing, files if latest_only else None)
+    pending.select("file_name", "bytes").write.mode("append").parquet(ledger)
     return scan_processed(spark, table)

@@ -1,4 +1,4 @@
-"""Whole reports as sets of lazily planned DataFrames."""
+"""Whole reports as sets of DataFrames."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from stationhour.operators import exploration, metrics, options
 from stationhour.operators.selection import BOTH, filter_selection
 from stationhour.schemas import Selection
+from stationhour.session import write_shared
 
 
 def filter_options(df: DataFrame) -> dict[str, DataFrame]:
@@ -17,14 +18,17 @@ def filter_options(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def dashboard(df: DataFrame, selection: Selection = Selection()) -> dict[str, DataFrame]:
-    """Key figures, map and charts of one selection; without routes only the global overview."""
+    """Key figures, map and charts of one selection; without routes only the global overview.
+
+    The selected rows are written once to the shared folder and every chart reads that table.
+    """
     if not selection.routes:
         points = metrics.station_map_global(df, selection)
         return {"kpis": metrics.kpis_global(df, selection), "map": points, "map_domain": metrics.map_domain(points)}
-    rows = filter_selection(df, selection)
+    rows = write_shared(filter_selection(df, selection), "selected-rows")
     points = metrics.station_map(rows)
-    two_way = [c.route for c in selection.effective_routes if c.direction == BOTH]
-    one_way = [c.route for c in selection.effective_routes if c.direction != BOTH]
+    two_way = [c.route for c in selection.routes if c.direction == BOTH]
+    one_way = [c.route for c in selection.routes if c.direction != BOTH]
     charts = {"kpis": metrics.kpis(rows), "map": points, "map_domain": metrics.map_domain(points),
               "year_index": options.year_index(rows), "line": metrics.route_month_line(rows),
               "speed_by_hour": metrics.speed_by_hour(rows), "download": rows}

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 LANES = range(1, 9)
 
-_INT_RAW = {"station", "district", "route", "samples", "pct_obs"}
 _TEXT_RAW = {"time_stamp_string", "direction", "type"}
 
 # Positional layout of a raw station-hour file (no header line).
@@ -19,13 +18,18 @@ RAW_COLUMNS = [
 ] + [f"{name}_{lane}" for lane in LANES for name in ("flow", "occ", "speed")]
 
 
+# whole numbers in the rows that operators see; as text they may read 1201.0
+INT_RAW = ["station", "district", "route", "samples"]
+
+
 def _raw_type(name: str) -> T.DataType:
     if name in _TEXT_RAW:
         return T.StringType()
-    return T.IntegerType() if name in _INT_RAW else T.DoubleType()
+    return T.DoubleType()
 
 
-RAW_SCHEMA = T.StructType([T.StructField(c, _raw_type(c)) for c in RAW_COLUMNS])
+RAW_TEXT_SCHEMA = T.StructType([T.StructField(c, _raw_type(c)) for c in RAW_COLUMNS])
+RAW_SCHEMA = T.StructType([T.StructField(c, T.IntegerType() if c in INT_RAW else _raw_type(c)) for c in RAW_COLUMNS])
 
 META_SCHEMA = T.StructType([
     T.StructField("station", T.IntegerType()),
@@ -38,14 +42,17 @@ META_SCHEMA = T.StructType([
     T.StructField("latitude", T.DoubleType()),
     T.StructField("longitude", T.DoubleType()),
 ])
+# Names that files and tables carry.
 META_KEYS = ["station", "route", "direction", "district"]
 META_VALUES = ["county", "state_pm", "abs_pm", "latitude", "longitude"]
 
+# Names that files and tables carry.
 CLEAN_COLUMNS = [
     "date", "year", "month", "month_num", "day_of_week", "station", "district", "route",
     "direction", "type", "hour", "pct_obs", "length", "flow", "speed", "lanes", "occupancy",
 ]
 
+# Names that files and tables carry.
 SUMMARY_KEYS = [
     "station", "district", "route", "direction", "type", "hour", "year", "month",
     "month_num", "lanes", "length",
@@ -56,6 +63,12 @@ STATISTICS = [f"{stat}_{suffix}" for suffix in MEASURES.values() for stat in ("m
 
 PERIOD = ["year", "month_num"]
 
+# the columns of cleaned rows that summaries read
+CLEAN_TYPES = (
+    [T.StructField(c, T.IntegerType()) for c in ("station", "district", "route", "hour", "year", "month_num", "lanes")]
+    + [T.StructField(c, T.StringType()) for c in ("direction", "type")]
+    + [T.StructField(c, T.DoubleType()) for c in ("length", "flow", "speed", "occupancy")])
+
 PROCESSED_SCHEMA = T.StructType(
     [T.StructField(c, T.IntegerType()) for c in ("station", "district", "route")]
     + [T.StructField(c, T.StringType()) for c in ("direction", "type")]
@@ -68,6 +81,7 @@ PROCESSED_SCHEMA = T.StructType(
     + [T.StructField("year", T.IntegerType()), T.StructField("month_num", T.IntegerType())]
 )
 
+# Names that files and tables carry.
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("file_type", T.StringType()),
     T.StructField("district", T.StringType()),
@@ -79,6 +93,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("download_url", T.StringType()),
 ])
 
+# Names that files and tables carry.
 LISTING_SCHEMA = T.StructType([
     T.StructField("data", T.MapType(T.StringType(), T.ArrayType(T.StructType([
         T.StructField("file_name", T.StringType()),
@@ -93,18 +108,17 @@ CATALOGUE_SCHEMA = T.StructType([
     T.StructField("form_data", T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))),
 ])
 
-MAX_YEARS = 5
-MAX_ROUTES = 3
-
 
 @dataclass(frozen=True)
 class Params:
     """Processing parameters of the batch and streaming summaries."""
 
-    min_pct_obs: int = 80
+    min_pct_obs: float = 80
     min_days: int = 4
     lane_rule: str = "first_gap"        # or "populated"
-    hot_rows: int | None = 1_000_000    # stations above this take the split median
+    # "buffered": the built-in median, a group's distinct values in one buffer; "split": from value counts spread over tasks, for
+    # stations with many millions of rows an hour and month. Both are exact and give the same figures.
+    medians: str = "buffered"
 
 
 @dataclass(frozen=True)
@@ -120,17 +134,19 @@ class RouteChoice:
 
 @dataclass(frozen=True)
 class Selection:
-    """Filter state of one report; empty years or months mean no filter on them."""
+    """Filter state of one report; empty years or months mean no filter on them.
+
+    A selection may be bounded: with ``max_years`` or ``max_routes`` a longer one is refused, never cut.
+    """
 
     years: tuple[int, ...] = ()
     months: tuple[int, ...] = ()
     hours: tuple[int, int] = (0, 23)
     routes: tuple[RouteChoice, ...] = field(default=())
+    max_years: int | None = None
+    max_routes: int | None = None
 
-    @property
-    def effective_years(self) -> tuple[int, ...]:
-        return tuple(self.years)[:MAX_YEARS]
-
-    @property
-    def effective_routes(self) -> tuple[RouteChoice, ...]:
-        return tuple(self.routes)[:MAX_ROUTES]
+    def __post_init__(self):
+        for name, limit in (("years", self.max_years), ("routes", self.max_routes)):
+            if limit is not None and len(getattr(self, name)) > limit:
+                raise ValueError(f"{len(getattr(self, name))} {name} chosen, at most {limit} are allowed")

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationhour.functions.periods import name_period, with_name_period
+from stationhour.functions.periods import in_name_period, name_period, with_name_period
 from stationhour.functions.scalar import local_timestamp, nan_to_null
-from stationhour.schemas import PERIOD, RAW_COLUMNS, RAW_SCHEMA, Params
+from stationhour.schemas import INT_RAW, PERIOD, RAW_COLUMNS, RAW_SCHEMA, RAW_TEXT_SCHEMA, Params
 from stationhour.session import write_shared
 
 RAW_GLOB = "*.{txt,gz}"
+ANOTHER_MONTH = "another month"
 
 
 def discover_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,6 +40,16 @@ def _with_origin(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"file_year": year, "file_month_num": month})
 
 
+def whole(value: Column) -> Column:
+    """A number with no fraction as INT, whether written 1201 or 1201.0; anything else is null."""
+    return F.when(value == F.floor(value), value).try_cast("int")
+
+
+def typed(rows: DataFrame) -> DataFrame:
+    """Raw text rows with whole numbers as INT and NaN as null. ``pct_obs`` stays as read, so that its filter reaches the scan."""
+    return nan_to_null(rows.withColumns({c: whole(F.col(c)) for c in INT_RAW}), keep=["pct_obs"])
+
+
 def scan_raw(spark: SparkSession, paths: str | Iterable[str], *, origin: bool = False,
              glob: str | None = None) -> DataFrame:
     """Headerless CSV, plain or gzip. Missing trailing fields are null, NaN is null.
@@ -47,20 +58,20 @@ def scan_raw(spark: SparkSession, paths: str | Iterable[str], *, origin: bool =
     Unused columns are pruned by the reader.
     """
     paths = paths if isinstance(paths, str) else list(paths)
-    reader = spark.read.schema(RAW_SCHEMA).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(RAW_TEXT_SCHEMA).option("mode", "PERMISSIVE")
     rows = reader.option("pathGlobFilter", glob or RAW_GLOB).csv(paths)
     if not origin:
-        return nan_to_null(rows)
+        return typed(rows)
     named = rows.select("*", F.col("_metadata.file_path").alias("file_path"),
                         F.col("_metadata.file_name").alias("file_name"))
-    return _with_origin(nan_to_null(named))
+    return _with_origin(typed(named))
 
 
 def quarantine(spark: SparkSession, paths: str | Iterable[str], params: Params = Params()) -> DataFrame:
     """Rows that a strict reader would refuse: (file_path, file_name, reason, record).
 
-    These are rows with too many fields or an unreadable number, and rows of sufficient quality
-    with an unreadable time stamp.
+    These are rows with too many fields, an unreadable number or a fraction where a whole number belongs, and rows of
+    sufficient quality with an unreadable time stamp or, in a file whose name holds a period, one of another month.
     """
     paths = paths if isinstance(paths, str) else list(paths)
     rows = (spark.read.option("pathGlobFilter", RAW_GLOB).text(paths)
@@ -69,11 +80,16 @@ def quarantine(spark: SparkSession, paths: str | Iterable[str], params: Params =
                     F.col("_metadata.file_name").alias("file_name")))
     text = [i for i, f in enumerate(RAW_SCHEMA) if f.dataType.typeName() == "string"]
     numbers = F.filter("fields", lambda value, i: ~i.isin(*text))
-    unreadable = F.exists(numbers, lambda value: (F.trim(value) != "") & value.try_cast("double").isNull())
+    integers = F.array(*[F.get("fields", F.lit(RAW_COLUMNS.index(c))) for c in INT_RAW])
+    unreadable = (F.exists(numbers, lambda value: (F.trim(value) != "") & value.try_cast("double").isNull())
+                  | F.exists(integers, lambda value: (F.trim(value) != "") & whole(value.try_cast("double")).isNull()))
     quality = F.get("fields", F.lit(RAW_COLUMNS.index("pct_obs"))).try_cast("double")
-    bad_stamp = (quality >= params.min_pct_obs) & local_timestamp(F.get("fields", F.lit(0))).isNull()
+    stamp = local_timestamp(F.get("fields", F.lit(0)))
+    used = (quality >= params.min_pct_obs) & ~F.isnan(quality)
+    foreign = used & name_period(F.col("file_name"))[1].isNotNull() & ~in_name_period(F.col("file_name"), F.to_date(stamp))
     reason = (F.when(F.size("fields") > len(RAW_COLUMNS), "too many fields")
-              .when(unreadable, "unreadable value").when(bad_stamp, "unreadable time stamp"))
+              .when(unreadable, "unreadable value").when(used & stamp.isNull(), "unreadable time stamp")
+              .when(foreign, ANOTHER_MONTH))
     return rows.select("file_path", "file_name", reason.alias("reason"), "record").where("reason IS NOT NULL")
 
 

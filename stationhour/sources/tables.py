@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException as SparkException
 
 from stationhour.functions.scalar import nan_to_null
+from stationhour.session import write_shared
+from stationhour.sources.raw import whole
 from stationhour.schemas import MANIFEST_SCHEMA, META_KEYS, META_SCHEMA, META_VALUES, PERIOD, PROCESSED_SCHEMA
 
 YEARLY_GLOB = "*_station_hour_processed.parquet"
@@ -17,9 +20,15 @@ def scan_meta(spark: SparkSession, path: str) -> DataFrame:
     """Station metadata CSV with a header; columns are found by name, not by position."""
     header = spark.read.option("header", True).csv(path)
     types, present = {f.name: f.dataType for f in META_SCHEMA}, set(header.columns)
+
+
+    def read(name: str) -> Column:
+        if types[name] == T.IntegerType():  # a column with gaps may have been written 59.0
+            return whole(F.col(name).try_cast("double"))
+        return F.col(name).try_cast(types[name])
+
     return nan_to_null(header.select(*[
-        F.col(c).try_cast(types[c]).alias(c) if c in present else F.lit(None).cast(types[c]).alias(c)
-        for c in META_KEYS + META_VALUES]))
+        (read(c) if c in present else F.lit(None).cast(types[c])).alias(c) for c in META_KEYS + META_VALUES]))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -51,20 +60,33 @@ def with_expected_columns(df: DataFrame, schema: T.StructType = PROCESSED_SCHEMA
 def scan_yearly_files(spark: SparkSession, folder: str, *, skip_corrupt: bool = True) -> DataFrame:
     """The older layout, one Parquet file per year named ``{year}_station_hour_processed.parquet``.
 
-    Columns are merged by name, a missing year comes from the file name, and other expected
-    columns are added as null. Unreadable files are skipped unless ``skip_corrupt`` is off. Without any
-    file there are no rows.
+    Files are read by groups of equal schema and cast to the processed table's types, so that a column may be INT in one year and
+    DOUBLE in another. A missing year comes from the file name, other expected columns are null, unknown ones drop out.
+    Unreadable files are skipped unless ``skip_corrupt`` is off. Without any file there are no rows.
     """
-    reader = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", skip_corrupt)
+    groups: dict[str, list[str]] = {}
+    # one path for each file, a few a year
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", YEARLY_GLOB)
     try:
-        rows = reader.parquet(f"{folder.rstrip('/')}/{YEARLY_GLOB}")
+        paths = [r.path for r in listed.load(folder).select("path").orderBy("path").collect()]
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], PROCESSED_SCHEMA)
-        raise
-    named = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)_[^/]*station_hour_processed\.parquet", 1).try_cast("int")
-    year = F.coalesce(F.col("year").cast("int"), named) if "year" in rows.columns else named
-    return with_expected_columns(rows.withColumn("year", year))
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        paths = []
+    for path in paths:
+        try:
+            groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+        except (AnalysisException, SparkException, Py4JJavaError):
+            if not skip_corrupt:
+                raise
+    result = spark.createDataFrame([], PROCESSED_SCHEMA)
+    for group in groups.values():
+        rows = spark.read.option("ignoreCorruptFiles", skip_corrupt).parquet(*group)
+        named = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)_[^/]*station_hour_processed\.parquet", 1).try_cast("int")
+        year = F.coalesce(F.col("year").cast("int"), named) if "year" in rows.columns else named
+        full = with_expected_columns(rows.withColumn("year", year))
+        result = result.unionByName(full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PROCESSED_SCHEMA]))
+    return result
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -93,3 +115,22 @@ def export_csv(df: DataFrame, path: str) -> None:
 def append_ledger(new_files: DataFrame, path: str) -> None:
     """Add rows to the ledger table."""
     new_files.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST_SCHEMA]).write.mode("append").parquet(path)
+
+
+def remove_months(spark: SparkSession, path: str, periods: list[tuple[int, int]]) -> None:
+    """Remove exactly the given (year, month_num) partitions, where they exist."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for year, month in periods:
+        partition = hadoop.Path(f"{path}/year={year}/month_num={month}")
+        if fs.exists(partition):
+            fs.delete(partition, True)
+
+
+def replace_months(df: DataFrame, path: str, periods: list[tuple[int, int]]) -> None:
+    """Make the given months of the table what ``df`` holds of them; a month without rows loses its partition."""
+    written = write_shared(df, "months")
+    write_months(written, path)
+    present = {tuple(r) for r in written.select(*PERIOD).distinct().collect()}  # at most twelve a year
+    remove_months(df.sparkSession, path, [p for p in periods if p not in present])
+    df.sparkSession.catalog.refreshByPath(path)

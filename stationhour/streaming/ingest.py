@@ -5,28 +5,27 @@ Each run takes the files that have arrived since the last one and stops.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stationhour.operators.cleaning import clean
-from stationhour.operators.enrichment import enrich
-from stationhour.operators.summary import station_hour_summary
-from stationhour.functions.scalar import nan_to_null
-from stationhour.schemas import PERIOD, RAW_SCHEMA, Params
+from stationhour.plans.months import land, landed_of, recompute_months
+from stationhour.schemas import PERIOD, RAW_TEXT_SCHEMA, Params
 from stationhour.session import write_shared
-from stationhour.sources.raw import RAW_GLOB
-from stationhour.sources.tables import write_months
+from stationhour.sources.raw import RAW_GLOB, typed
+
+LOG = logging.getLogger(__name__)
 
 
 def read_raw_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     """Raw files as they arrive, with the name of their file."""
-    reader = spark.readStream.schema(RAW_SCHEMA).option("mode", "PERMISSIVE").option("pathGlobFilter", RAW_GLOB)
+    reader = spark.readStream.schema(RAW_TEXT_SCHEMA).option("mode", "PERMISSIVE").option("pathGlobFilter", RAW_GLOB)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return nan_to_null(reader.csv(folder).select("*", F.col("_metadata.file_name").alias("file_name")))
+    return typed(reader.csv(folder).select("*", F.col("_metadata.file_name").alias("file_name")))
 
 
 def clean_stream(rows: DataFrame, calendar: DataFrame, params: Params = Params()) -> DataFrame:
@@ -40,34 +39,43 @@ def append_stream(rows: DataFrame, table: str, checkpoint: str) -> None:
      .outputMode("append").trigger(availableNow=True).start().awaitTermination())
 
 
-def upsert_stream(rows: DataFrame, landed: str, table: str, checkpoint: str, meta: DataFrame,
+def upsert_stream(rows: DataFrame, table: str, checkpoint: str, meta: DataFrame,
                   params: Params = Params(), *, on_missing: str = "drop_month",
-                  after_batch: Callable[[DataFrame, int], None] | None = None) -> None:
-    """Keep the processed table up to date from a stream of cleaned rows.
+                  after_batch: Callable[[DataFrame, int], None] | None = None,
+                  after_file: Callable[[str, int], None] | None = None) -> int:
+    """Keep the processed table up to date from a stream of cleaned rows with their file_name.
 
-    A micro-batch lands its rows under its own number, so a replay replaces them; then every month
-    it touched is recomputed from all landed rows and swapped in. ``after_batch`` receives the
-    touched periods; its errors do not stop the stream.
+    A micro-batch lands its files where ``backfill`` of this table lands its own, so a replay replaces them; then every month
+    it touched is recomputed from all that has landed and swapped in. ``after_batch`` receives the touched periods, ``after_file`` each file's
+    name; their errors are logged and do not stop the stream. Returns the number of such errors.
     """
-    spark = rows.sparkSession
+    spark, failures = rows.sparkSession, 0
+
+    def hook(call: Callable, *args) -> None:
+        nonlocal failures
+        try:
+            call(*args)
+        except Exception:  # a hook must not interrupt ingestion
+            failures += 1
+            LOG.exception("a hook failed in batch %s", args[-1])
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", *PERIOD)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*PERIOD, "batch_id").parquet(landed))
         spark_ = batch.sparkSession
-        stored = spark_.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(landed)
-        # partition columns only; at most twelve periods a year
-        touched = stored.where(F.col("batch_id") == batch_id).select(*PERIOD).distinct()
-        months = stored.join(F.broadcast(touched), PERIOD, "left_semi").drop("batch_id")
-        summary = write_shared(station_hour_summary(months, params), "stream-summary")
-        write_months(enrich(summary, meta, on_missing), table)
+        kept = write_shared(batch, "batch")
+        touched = kept.select(*PERIOD).distinct()
+        # at most twelve periods a year
+        periods = sorted({(r.year, r.month_num) for r in touched.collect()})
+        if not periods:
+            return
+        land(kept, landed_of(table))
+        recompute_months(spark_, landed_of(table), table, periods, meta, params, on_missing)
         if after_batch is not None:
-            try:
-                after_batch(touched, batch_id)
-            except Exception as error:  # a hook must not interrupt ingestion
-                print(f"after_batch failed in batch {batch_id}: {error}")
+            hook(after_batch, touched, batch_id)
+        if after_file is not None:
+            for r in kept.select("file_name").distinct().toLocalIterator():
+                hook(after_file, r.file_name, batch_id)
 
     (rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
     spark.catalog.refreshByPath(table)
+    return failures

@@ -28,6 +28,15 @@ def windowed_value_counts(events: DataFrame, time: str, keys: Sequence[str], val
                           *keys, "value", "n")
 
 
+def with_open_windows(emitted: DataFrame, events: DataFrame, time: str, keys: Sequence[str], value: str, window: str = "1 hour") -> DataFrame:
+    """Emitted counts and, from the landed events, those of the windows that no watermark has passed yet."""
+    last = emitted.agg(F.max("window_end")).first()[0]
+    counted = (events.withColumn(time, F.col(time).cast("timestamp"))
+               .groupBy(F.window(time, window), *keys, F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+               .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "value", "n"))
+    return emitted.unionByName(counted if last is None else counted.where(F.col("window_end") > F.lit(last)))
+
+
 def window_summary(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row count, mean and exact median per window and key from emitted counts."""
     group = [*WINDOW, *keys]

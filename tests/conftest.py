@@ -41,6 +41,7 @@ def raw_rows(spark):
             row = dict(row)
             for day in row.pop("days", [None]):
                 one = {**RAW_DEFAULTS, **row}
+                one["pct_obs"] = None if one["pct_obs"] is None else float(one["pct_obs"])
                 if day is not None:
                     one["time_stamp_string"] = day
                 full.append(tuple(one.get(c) for c in RAW_COLUMNS))

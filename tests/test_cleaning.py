@@ -60,7 +60,7 @@ def test_clean_plan_is_one_stage_with_pushdown(spark, raw_rows, calendar, tmp_pa
     raw_rows({"days": JANUARY}).write.parquet(path)
     plan = clean(spark.read.parquet(path), calendar)._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert "GreaterThanOrEqual(pct_obs,80)" in plan
+    assert "GreaterThanOrEqual(pct_obs,80.0)" in plan
     read = next(line for line in plan.splitlines() if line.startswith("ReadSchema"))
     assert "delay_35" not in read and "occ_1" not in read and "flow_8" not in read and "samples" not in read
     assert "BroadcastHashJoin LeftAnti" in plan and "Exchange hashpartitioning" not in plan and "Python" not in plan

@@ -77,6 +77,18 @@ def test_quarantine(spark, write_raw):
         {"time_stamp_string": "bad", "pct_obs": 10}, ",".join(write_raw.line({}).split(",")[:20])]})
     assert sorted(r.reason for r in raw.quarantine(spark, folder).collect()) == [
         "too many fields", "unreadable time stamp", "unreadable value"]
+    more = write_raw({"a_2024_01.txt": [{"station": 1201.0, "pct_obs": 87.5}, {"station": 1.5}, {"time_stamp_string": FEBRUARY[0]}, {"district": "NaN"}],
+                      "none.txt": [{"time_stamp_string": FEBRUARY[0]}]})
+    assert sorted((r.reason, r.file_name) for r in raw.quarantine(spark, more).collect()) == [
+        ("another month", "a_2024_01.txt"), ("unreadable value", "a_2024_01.txt"), ("unreadable value", "a_2024_01.txt")]
+    kept = raw.scan_raw(spark, more).where("pct_obs = 87.5").first()
+    assert kept.station == 1201
+
+
+def test_whole_numbers_in_metadata(spark, tmp_path):
+    (tmp_path / "meta.csv").write_text("station,route,direction,district,county,abs_pm\n1,5.0,N,12,59.0,1.5\n2,5,N,12,,2\n3,5,N,12,x,2\n")
+    found = {r.station: (r.route, r.county) for r in tables.scan_meta(spark, str(tmp_path / "meta.csv")).collect()}
+    assert found == {1: (5, 59), 2: (5, None), 3: (5, None)}
 
 
 def test_writing_a_month_replaces_only_that_month(spark, tmp_path):
@@ -98,9 +110,14 @@ def test_writing_a_month_replaces_only_that_month(spark, tmp_path):
 def test_yearly_files_of_the_older_layout(spark, tmp_path):
     pd.DataFrame({"station": [1], "month": ["May"], "avg_flow": [2.0]}).to_parquet(tmp_path / "2021_station_hour_processed.parquet")
     pd.DataFrame({"station": [2], "lanes": [3], "year": [2019]}).to_parquet(tmp_path / "2022_station_hour_processed.parquet")
+    pd.DataFrame({"station": [3.0], "county": [59.0], "year": [2020.0]}).to_parquet(tmp_path / "2020_station_hour_processed.parquet")
+    pd.DataFrame({"station": [4], "county": [7]}).to_parquet(tmp_path / "2018_station_hour_processed.parquet")
+    (tmp_path / "2017_station_hour_processed.parquet").write_text("not a table")
     (tmp_path / "notes.parquet").write_text("not a table")
     found = {r.station: r for r in tables.scan_yearly_files(spark, str(tmp_path)).collect()}
-    assert (found[1].year, found[2].year) == (2021, 2019)
+    assert (found[1].year, found[2].year, found[3].year, found[4].year) == (2021, 2019, 2020, 2018)
+    assert (found[3].county, found[4].county) == (59, 7)
+    assert tables.scan_yearly_files(spark, str(tmp_path)).schema == PROCESSED_SCHEMA
     assert found[1].lanes is None and found[2].month is None and found[1].latitude is None
     assert tables.scan_yearly_files(spark, str(tmp_path / "none")).count() == 0
 
@@ -193,18 +210,55 @@ def test_stream_equals_batch(spark, write_raw, calendar, meta, tmp_path):
         seen.append((batch_id, sorted(tuple(r) for r in periods.collect())))
         raise RuntimeError("a failing hook does not stop the stream")
 
-    paths = [str(tmp_path / n) for n in ("landed", "table", "mark")]
+    paths = [str(tmp_path / n) for n in ("table", "mark")]
+    names = []
 
     def run():
         rows = ingest.clean_stream(ingest.read_raw_stream(spark, folder, files_per_batch=1), calendar)
-        ingest.upsert_stream(rows, *paths, meta, after_batch=hook)
-        return rows_of(tables.scan_processed(spark, paths[1]))
+        failures = ingest.upsert_stream(rows, *paths, meta, after_batch=hook, after_file=lambda name, batch: names.append(name))
+        return rows_of(tables.scan_processed(spark, paths[0])), failures
 
     batch = rows_of(month_pipeline(raw.scan_raw(spark, folder), meta, calendar))
-    assert run() == batch and len(seen) == 3
-    assert run() == batch and len(seen) == 3      # nothing new
+    assert run() == (batch, 3) and len(seen) == 3 and sorted(names) == sorted(content)
+    assert run() == (batch, 0) and len(seen) == 3      # nothing new
     import pathlib
     extra = pathlib.Path(folder) / "d03_2024_02.txt"
     extra.write_text("\n".join(write_raw.line(r) for r in days(1, FEBRUARY)) + "\n")
-    assert run() == rows_of(month_pipeline(raw.scan_raw(spark, folder), meta, calendar)) and len(seen) == 4
+    assert run() == (rows_of(month_pipeline(raw.scan_raw(spark, folder), meta, calendar)), 1) and len(seen) == 4
     assert seen[-1][1] == [(2024, 2)]
+
+
+def stream(spark, folder, table, mark, meta, calendar):
+    rows = ingest.clean_stream(ingest.read_raw_stream(spark, folder, files_per_batch=1), calendar)
+    ingest.upsert_stream(rows, table, mark, meta)
+    return rows_of(tables.scan_processed(spark, table))
+
+
+def test_stream_over_a_backfilled_table_keeps_it(spark, write_raw, calendar, meta, tmp_path):
+    table = str(tmp_path / "table")
+    first = {"d12_2024_01.txt": days(1, JANUARY)}
+    backfill(spark, write_raw(first), table, meta, calendar)
+    late = {"d07_2024_01.txt": days(2, JANUARY, district=12)}
+    both = [(1, 2024, 1, 7, 100.0, 1.0), (2, 2024, 1, 7, 100.0, 2.0)]
+    assert stream(spark, write_raw(late), table, str(tmp_path / "mark"), meta, calendar) == both
+    assert rows_of(backfill(spark, write_raw({**first, **late}), table, meta, calendar)) == both
+
+
+def test_late_and_grown_files_are_loaded(spark, write_raw, calendar, meta, tmp_path):
+    table = str(tmp_path / "table")
+    one = {"d12_2024_01.txt": days(1, JANUARY[:4])}
+    assert [r[3] for r in rows_of(backfill(spark, write_raw(one), table, meta, calendar))] == [4]
+    grown = {"d12_2024_01.txt": days(1, JANUARY), "d07_2024_01.txt": days(2, JANUARY)}
+    assert [r[:4] for r in rows_of(backfill(spark, write_raw(grown), table, meta, calendar))] == [(1, 2024, 1, 7), (2, 2024, 1, 7)]
+
+
+def test_a_month_that_becomes_uncovered_goes(spark, write_raw, calendar, meta, tmp_path):
+    table, other = str(tmp_path / "table"), str(tmp_path / "other")
+    content = {"d12_2024_01.txt": days(1, JANUARY), "d12_2024_02.txt": days(1, FEBRUARY)}
+    late = {"e12_2024_01.txt": days(9, JANUARY)}
+    folder = write_raw(content)
+    backfill(spark, folder, table, meta, calendar)
+    backfill(spark, folder, other, meta, calendar)
+    left = [(1, 2024, 2, 5, 100.0, 1.0)]
+    assert rows_of(backfill(spark, write_raw({**content, **late}), table, meta, calendar)) == left
+    assert stream(spark, write_raw(late), other, str(tmp_path / "mark"), meta, calendar) == left

@@ -59,10 +59,28 @@ def test_selection_rules(small):
     assert pick(small, RouteChoice(22, lane_type="OR")) == [4]            # no post miles on this route
     assert pick(small, RouteChoice(55)) == [6]                            # neither type nor direction
     assert pick(small, RouteChoice(5), RouteChoice(55)) == [1, 6]
-    assert pick(small, RouteChoice(99), RouteChoice(98), RouteChoice(97), RouteChoice(5)) == []   # first three count
+    assert pick(small, RouteChoice(99), RouteChoice(98), RouteChoice(97), RouteChoice(5), RouteChoice(55)) == [1, 6]
     assert pick(small, RouteChoice(5), hours=(8, 9), months=(2,)) == [1]
     assert pick(small, RouteChoice(5), hours=(9, 10)) == []
-    assert pick(small, RouteChoice(5), years=(2018, 2019, 2020, 2021, 2022, 2024)) == []          # first five count
+    assert pick(small, RouteChoice(5), years=(2018, 2019, 2020, 2021, 2022, 2024)) == [1]
+    with pytest.raises(ValueError):
+        Selection(years=(2018, 2019, 2020), max_years=2)
+    with pytest.raises(ValueError):
+        Selection(routes=(RouteChoice(5), RouteChoice(22)), max_routes=1)
+
+
+def test_selection_plan_is_lazy(small, spark, tmp_path):
+    small.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    spark.sparkContext.setJobGroup("selection", "planning")
+    found = selection.filter_selection(df, Selection(routes=(RouteChoice(5),)))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("selection")
+    assert stations(found) == [1]
+
+
+def test_map_plan_has_one_shuffle(small):
+    plan = metrics.station_map_global(small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
 
 
 def test_station_keeps_rows_without_post_mile_if_another_has_one(spark):
@@ -83,6 +101,8 @@ def test_options(small):
     assert [(r.route, r.axis, r.default_direction) for r in got["directions"]] == [(5, "NS", "N"), (22, "EW", "E")]
     assert [r.station for r in got["stations"]] == [1, 3, 6, 2]
     assert tuple(options.hours(small.where("false")).first()) == (0, 23)
+    unlocated = options.stations(small.withColumn("abs_pm", F.lit(None).cast("double"))).collect()
+    assert [(r.station, r.abs_pm) for r in unlocated] == [(i, None) for i in range(1, 7)]
     assert options.year_index(small).orderBy("year").collect()[1].color_index == 1
 
 
@@ -115,6 +135,9 @@ def test_line_falls_back_per_route(small):
     assert line[5, 2024, 1] == (True, 10.0) and line[5, 2024, 3] == (True, None)
     assert line[22, 2024, 1] == (True, 11.0)
     assert line[55, 2023, 3] == (False, 13.0)
+    later = small.unionByName(small.where("route = 5 AND station = 2").withColumns({"year": F.lit(2025), "lanes": F.lit(None).cast("int")}))
+    line_later = {(r.route, r.year, r.month_num): (r.per_lane, r.line_value) for r in metrics.route_month_line(later).collect()}
+    assert all(line_later[5, 2025, m] == (True, None) for m in range(1, 13))     # a year without lane counts stays, empty
     without = metrics.route_month_line(small.drop("lanes"))
     assert months_of(without, "line_value")[5, 2024, 1] == 40.0
     assert (55, 2023, 3) not in months_of(metrics.route_month_per_lane(small), "line_value")
@@ -160,6 +183,9 @@ def test_exploration(small):
     assert [r.year for r in part if r.part == "head"] == [2023, 2023] and len(part) == 4
     box = exploration.top_routes_box(small, 1).first()
     assert (box.q1, box.median, box.q3) == (57.5, 60.5, 63.25)
+    far = small.limit(1).drop("median_speed").crossJoin(small.sparkSession.createDataFrame([(0.0,), (0.0,), (0.0,), (100.0,)], "median_speed DOUBLE"))
+    box = exploration.top_routes_box(far).first()
+    assert (box.whisker_low, box.q1, box.median, box.q3, box.whisker_high) == (0.0, 0.0, 0.0, 25.0, 25.0)
 
 
 def test_whole_reports(small):

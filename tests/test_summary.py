@@ -16,8 +16,8 @@ from stationhour.plans.months import month_pipeline
 from stationhour.sources.tables import scan_meta
 from stationhour.schemas import META_SCHEMA, Params
 
-PLAIN = Params(hot_rows=None)
-SPLIT = Params(hot_rows=1)
+PLAIN = Params()
+SPLIT = Params(medians="split")
 
 
 def by_station(df):
@@ -62,22 +62,32 @@ def test_split_medians_equal_built_in_and_pandas(random_rows, calendar):
     rows = clean(random_rows, calendar)
     keys = ["station", "hour", "month_num"]
     plain = station_hour_summary(rows, PLAIN).toPandas().sort_values(keys).reset_index(drop=True)
-    for hot_rows in (1, 300):
-        split = station_hour_summary(rows, Params(hot_rows=hot_rows)).toPandas().sort_values(keys).reset_index(drop=True)
-        pd.testing.assert_frame_equal(plain, split)
-    frame = rows.toPandas()
-    grouped = frame.groupby(keys)
-    expected = grouped.agg(median_flow=("flow", "median"), avg_flow=("flow", "mean"), sd_flow=("flow", "std"),
-                           median_speed=("speed", "median"), median_occup=("occupancy", "median"),
-                           days_observed=("flow", "size")).reset_index()
-    expected = expected[expected.days_observed >= 4].reset_index(drop=True)
-    pd.testing.assert_frame_equal(plain[expected.columns], expected, check_dtype=False)
-
-
-def test_only_hot_stations_take_the_split_path(random_rows, calendar, spark):
-    rows = clean(random_rows, calendar)
-    assert "measure" not in station_hour_summary(rows)._jdf.queryExecution().optimizedPlan().toString()
-    assert "measure" in station_hour_summary(rows, Params(hot_rows=300))._jdf.queryExecution().optimizedPlan().toString()
+    split = station_hour_summary(rows, SPLIT).toPandas().sort_values(keys).reset_index(drop=True)
+    pd.testing.assert_frame_equal(plain, split)
+    values = {k: part for k, part in rows.toPandas().groupby(keys) if len(part) >= 4}
+    assert set(values) == set(plain[keys].itertuples(index=False, name=None))
+    for row in plain.itertuples():
+        part = values[row.station, row.hour, row.month_num]
+        assert row.days_observed == len(part)
+        for column, suffix in (("flow", "flow"), ("speed", "speed"), ("occupancy", "occup")):
+            known = part[column].dropna().to_numpy()
+            np.testing.assert_allclose(getattr(row, f"median_{suffix}"), np.median(known))
+            np.testing.assert_allclose(getattr(row, f"avg_{suffix}"), np.mean(known))
+            np.testing.assert_allclose(getattr(row, f"sd_{suffix}"), np.std(known, ddof=1))
+
+
+def test_both_medians_treat_nan_as_null(spark, raw_rows, calendar):
+    rows = raw_rows(*[{"time_stamp_string": t, "flow": f} for t, f in zip(JANUARY, (1.0, 2.0, 4.0, float("nan")))])
+    for params in (PLAIN, SPLIT):
+        found = station_hour_summary(clean(rows, calendar, params), params).first()
+        assert (found.median_flow, found.days_observed) == (2.0, 4) and found.avg_flow == pytest.approx(7 / 3)
+    with pytest.raises(ValueError):
+        station_hour_summary(clean(rows, calendar), Params(medians="guess"))
+
+
+def test_gate_judges_each_district(raw_rows, calendar, meta):
+    rows = raw_rows({"station": 1, "days": JANUARY}, {"station": 9, "district": 7, "days": JANUARY})
+    assert [r.station for r in month_pipeline(rows, meta, calendar).collect()] == [1]
 
 
 @pytest.mark.parametrize("fractions", [(0.25, 0.5, 0.75), (0.0, 0.9, 1.0)])
@@ -140,5 +150,5 @@ def test_summary_plan(spark, random_rows, calendar, meta, tmp_path):
     rows = clean(spark.read.parquet(f"{tmp_path}/rows"), calendar)
     plan = enrichment.add_metadata(station_hour_summary(rows, PLAIN), scan_meta(spark, f"{tmp_path}/meta"))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange hashpartitioning") == 1 and "partial_percentile" in text
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan parquet") == 1 and "partial_percentile" in text
     assert "BroadcastHashJoin" in text and "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
