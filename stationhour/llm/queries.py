@@ -69,7 +69,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op7_suffix_dedup")
+@query("op7_suffix_dedup", r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+m AS (SELECT k, min(doc_id) AS least FROM g GROUP BY k HAVING min(doc_id) < max(doc_id)),
+f AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM g JOIN m USING (k) WHERE doc_id > least),
+r AS (SELECT doc_id, i, sum(CASE WHEN i <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM f),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM r GROUP BY doc_id, run),
+t AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM s),
+p AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
+             string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS kept FROM t JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN p USING (doc_id)
+""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
