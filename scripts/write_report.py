@@ -1,7 +1,7 @@
 """Write the report frames of one selection as Parquet folders.
 
 usage: write_report.py TABLE OUTPUT [--year Y ...] [--month M ...] [--hours LOW HIGH]
-                       [--route ROUTE[:TYPE[:DIRECTION]] ...] [--exploratory]
+                       [--route ROUTE[:TYPE[:DIRECTION[:LOW-HIGH[:STATION,...]]]] ...] [--exploratory]
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ from stationhour.sources.tables import export_csv, scan_processed  # noqa: E402
 
 
 def route_choice(text: str) -> RouteChoice:
-    route, lane_type, direction = (text.split(":") + [None, None])[:3]
-    return RouteChoice(int(route), lane_type or None, direction or None)
+    route, lane_type, direction, segment, stations = (text.split(":") + [""] * 4)[:5]
+    low, _, high = segment.partition("-")
+    return RouteChoice(int(route), lane_type or None, direction or None, (float(low), float(high)) if segment else None,
+                       tuple(int(s) for s in stations.split(",") if s))
 
 
 def main() -> None:
