@@ -14,6 +14,7 @@ from stationhour.functions import periods, scalar
 from stationhour.operators import cleaning, enrichment, exploration, files, metrics, options, selection
 from stationhour.operators.summary import station_hour_summary
 from stationhour.plans.manifest import pending_files, record_new_files
+from stationhour.plans.monthly import monthly_round
 from stationhour.plans.months import backfill, month_pipeline
 from stationhour.schemas import RouteChoice, Selection
 from stationhour.session import shared_path
@@ -206,6 +207,13 @@ def _(i: Inputs) -> DataFrame:
     return found.unionByName(again)
 
 
+@query("monthly_round", f"{_MANIFEST} WHERE year = '2025' AND month = 'May'")
+def _(i: Inputs) -> DataFrame:
+    scopes = i.manifest.agg(F.collect_set("file_type").alias("file_types"), F.collect_set("district").alias("districts"))
+    held = i.manifest.select(F.lit("raw").alias("kind"), "file_name", "year", "month")
+    return monthly_round(i.responses, scopes, BASE_URL, _ledger_path(i), held, AS_OF)[0]
+
+
 _KINDS = "CASE file_type WHEN 'station_hour' THEN 'raw' WHEN 'station_5min' THEN 'processed' ELSE 'other' END"
 _RETENTION = f"""(SELECT kind, file_name, year, month, day AS file_date, months_ago, action,
     CASE WHEN action = 'upload' AND kind = 'raw' THEN 'raw-rolling/' || strftime(day, '%Y-%m') || '/' || file_name

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import FEBRUARY, JANUARY
 from stationhour.operators import files
 from stationhour.plans.manifest import record_new_files
+from stationhour.plans.monthly import monthly_round
 from stationhour.plans.months import backfill, month_pipeline
 from stationhour.schemas import MANIFEST_SCHEMA, META_SCHEMA, PROCESSED_SCHEMA
 from stationhour.sources import documents, raw, tables
@@ -154,6 +155,18 @@ def test_new_files_go_by_id(spark, tmp_path):
     assert documents.flatten_listing(responses, ["June"]).count() == 0
 
 
+def test_monthly_round(spark, tmp_path):
+    listing = '{"data": {"May": [{"file_name": "d12_2024_05", "file_id": "1", "bytes": "1,000", "url": "/u"}], "June": [{"file_name": "d12_2024_06", "file_id": "2", "bytes": "1", "url": "/v"}]}}'
+    responses = spark.createDataFrame([("station_hour", "12", "2024", listing)], "file_type STRING, district STRING, year STRING, json STRING")
+    scopes = spark.createDataFrame([(["station_hour"], ["12"])], "file_types ARRAY<STRING>, districts ARRAY<STRING>")
+    held = spark.createDataFrame([("raw", "old", "2020", "May"), ("processed", "p", "2024", "May")], "kind STRING, file_name STRING, year STRING, month STRING")
+    found, decided = monthly_round(responses, scopes, "https://h.example", str(tmp_path / "ledger"), held, "2024-06-15")
+    assert [r.file_id for r in found.collect()] == ["1"]
+    assert {r.file_name: r.action for r in decided.collect()} == {"old": "skip", "p": "upload", "d12_2024_05": "upload"}
+    again, _ = monthly_round(responses, scopes, "https://h.example", str(tmp_path / "ledger"), held, "2024-06-15")
+    assert again.count() == 0
+
+
 def test_page_catalogue(spark):
     page = """<html><script>var a = 1;</script><SCRIPT type="text/javascript">
       YAHOO.bts.Data = {labels: {station_hour: "Station Hour"},
