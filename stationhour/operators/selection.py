@@ -75,29 +75,25 @@ def _flags(df: DataFrame, selection: Selection) -> DataFrame:
         F.max(pm.isNotNull()).alias("has_pm"), F.max(in_segment & in_list).alias("in_segment"), F.max(in_list).alias("in_list"))
 
 
-def resolve_choices(flags: DataFrame) -> DataFrame:
-    """One row per route that has data: its lane type and direction (null = both).
+def _matching(flags: DataFrame) -> DataFrame:
+    """The combinations that match their route's lane type and direction.
 
     Lane type defaults to ML if present, else HV, else the alphabetically first. Direction defaults to N on a
     north-south route and E on an east-west one; a route with neither has no direction filter.
     """
-    by_type = flags.groupBy("route", "want_type", "want_direction", "lane_type").agg(
-        F.max(F.col("letter").isin("N", "S")).alias("north_south"), F.max(F.col("letter").isin("E", "W")).alias("east_west"))
-    wanted = by_type.where(F.col("want_type").isNull() | (F.col("lane_type") == F.upper("want_type")))
-    first = F.struct(lane_type_rank(F.col("lane_type")).alias("rank"), "lane_type", "north_south", "east_west")
-    chosen = wanted.groupBy("route", "want_direction").agg(F.min(first).alias("pick"))
-    axis_default = F.when(F.col("pick.north_south"), "N").when(F.col("pick.east_west"), "E")
-    on_axis = (F.when(F.col("pick.north_south"), F.col("want_direction").isin("N", "S"))
-               .when(F.col("pick.east_west"), F.col("want_direction").isin("E", "W")))
+    route = W.partitionBy("route")
+    wanted = F.col("want_type").isNull() | (F.col("lane_type") == F.upper("want_type"))
+    first = F.when(wanted, F.struct(lane_type_rank(F.col("lane_type")).alias("rank"), "lane_type"))
+    chosen = (flags.withColumn("pick", F.min(first).over(route))
+              .where(F.col("pick").isNotNull() & F.col("lane_type").eqNullSafe(F.col("pick.lane_type")))
+              .withColumns({"north_south": F.max(F.col("letter").isin("N", "S")).over(route),
+                            "east_west": F.max(F.col("letter").isin("E", "W")).over(route)}))
+    axis_default = F.when(F.col("north_south"), "N").when(F.col("east_west"), "E")
+    on_axis = (F.when(F.col("north_south"), F.col("want_direction").isin("N", "S"))
+               .when(F.col("east_west"), F.col("want_direction").isin("E", "W")))
     direction = (F.when(F.col("want_direction") == BOTH, F.lit(None))
                  .when(on_axis, F.col("want_direction")).otherwise(axis_default))
-    return chosen.select("route", F.col("pick.lane_type").alias("chosen_type"), direction.alias("chosen_letter"))
-
-
-def _matching(flags: DataFrame) -> DataFrame:
-    """The combinations that match their route's lane type and direction. One row per chosen route is broadcast."""
-    return flags.join(F.broadcast(resolve_choices(flags)), "route").where(
-        F.col("lane_type").eqNullSafe(F.col("chosen_type")) & (F.col("chosen_letter").isNull() | (F.col("letter") == F.col("chosen_letter"))))
+    return chosen.where(direction.isNull() | (F.col("letter") == direction))
 
 
 def _rows_of(df: DataFrame, selection: Selection, kept: DataFrame) -> DataFrame:

@@ -76,6 +76,8 @@ def test_selection_plan_is_lazy(small, spark, tmp_path):
     found = selection.filter_selection(df, Selection(routes=(RouteChoice(5),)))
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("selection")
     assert stations(found) == [1]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2 and "Cartesian" not in plan
 
 
 def test_map_plan_has_one_shuffle(small):
