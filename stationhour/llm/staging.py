@@ -46,11 +46,13 @@ def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = 64 << 20) -> S
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(1, -(-total // (tasks * chunk_bytes)))
     chunks = tasks * parts
+    # beyond Spark's limit a bucket holds several chunks, which are grouped apart all the same
+    buckets = min(chunks, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
     name = f"staged_{uuid.uuid4().hex}"
     numbered = (docs.withColumn(row, F.monotonically_increasing_id())
                 .withColumn(chunk, (F.spark_partition_id() * parts + F.col(row) % parts).cast("int")))
     (numbered.write.option("path", shared_path(spark, "staged")).option("compression", "zstd")
-     .bucketBy(chunks, chunk).saveAsTable(name))
+     .bucketBy(buckets, chunk).saveAsTable(name))
     return Staged(spark.table(name), chunk, row, text, chunks)
 
 
