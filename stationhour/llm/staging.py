@@ -38,7 +38,7 @@ class Staged:
         return max(256, self.chunks)
 
 
-def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = 64 << 20) -> Staged:
+def stage(docs: DataFrame, text: str = "text", chunk_bytes: int = 16 << 20) -> Staged:
     """Write ``docs`` (a scan, so that its tasks are known) in chunks of about ``chunk_bytes`` of text at most."""
     spark = docs.sparkSession
     chunk, row = free_name(docs.columns, "__chunk"), free_name(docs.columns, "__row")
