@@ -174,6 +174,21 @@ def test_packing(messy, small):
         assert sum(lengths) >= 0.97 * sum(padded)
 
 
+def test_ids_of_every_low_character():
+    """Every code point below U+0300, alone and between letters, digits, blanks and signs, gives the ids of ``tokenizers``."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(VOCABULARY)
+    t.encode_special_tokens = True
+    odd = [chr(c) for c in range(0x300)]
+    texts = odd + [f"ab{c}cd {c}x 1{c}2 {c}{c} '{c} ,{c}. don't{c}s\n{c}" for c in odd] + ["".join(odd[i:i + 64]) for i in range(0, 0x300, 64)] + ["ə schwa ʃ"]
+    raw = [x.encode() for x in texts]
+    ids, at = packing.encoder_of(VOCABULARY).documents(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    for x, a, b in zip(texts, at[:-1], at[1:], strict=True):
+        assert ids[a:b].tolist() == t.encode(x, add_special_tokens=False).ids + [0], ascii(x)
+
+
 def test_window_choice_is_optimal():
     import numpy as np
 
