@@ -11,6 +11,7 @@ for each block. Nothing of the corpus is shuffled or collected.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,14 @@ _LOWER[65:91] += 32
 
 
 def _tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words, A-Z lower-cased, and each document's part of them."""
-    data = _LOWER[data]
+    """Hashes of the words, case folded by Unicode, and each document's part of them."""
+    if len(data) and data.max() >= 0x80:  # folding can change the bytes of a text; bytes that are no UTF-8 stay
+        raw = data.tobytes()
+        texts = [raw[a:b].decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
+                 for a, b in pairwise(bounds.tolist())]
+        data, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    else:
+        data = _LOWER[data]
     start, end, at = V.words(data, bounds)
     return V.word_hashes(data, start, end), at
 
@@ -125,7 +132,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 13, share:
                  block_bytes: int = 4 << 20) -> DataFrame:
     """One row per document and test item that overlap: doc_id, item_id, matched_words, first_word, overlap_words.
 
-    An overlap is made of stretches of ``least`` consecutive words (the whole item if it is shorter), A-Z in lower case, in each
+    An overlap is made of stretches of ``least`` consecutive words (the whole item if it is shorter), case folded by Unicode, in each
     of which at least ``share`` are equal place by place. Items of fewer than 8 words hold no seed and are not searched. Null
     and empty texts overlap with nothing; null ids are carried (a null item id as -1); repeated rows are reported
     for each row. An empty benchmark gives an empty result. Longer overlaps

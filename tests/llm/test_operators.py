@@ -239,6 +239,20 @@ def test_seeds_find_substitutions(spark, messy, empty):
     assert decontamination.contaminated(empty, tests).count() == 0
 
 
+def test_capitals_beyond_ascii(spark):
+    """A copy in capitals, with letters that one byte does not hold and letters that capitals write as two."""
+    item = ("Über die Straße fährt ein älterer Zug später über Köln zurück größer müßig garçon déjà élève forêt hôtel "
+            "señor mañana corazón ὁδός λόγος").split()
+    rows = [(1, "x y z " + " ".join(item).upper() + " w"), (2, " ".join(item[:13]).upper()), (3, "\n".join(item[8:])), (4, " ".join(item[:9]).upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # bytes that are no UTF-8 in another text, and in the passage's neighbourhood
+    odd = spark.sql("select 5L doc_id, cast(concat(x'FF20C320', cast('%s' as binary)) as string) text" % " ".join(item).upper())
+    tests = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.matched_words, r.first_word, r.overlap_words) for r in decontamination.contaminated(docs.union(odd), tests).collect()}
+    assert got == {1: (23, 3, 23), 2: (13, 0, 13), 3: (15, 0, 15), 5: (23, 2, 23)}
+    assert [r.doc_id for r in decontamination.decontaminate(docs, tests).collect()] == [4]
+
+
 def test_masks_meet_two_substitutions():
     from itertools import combinations
 
