@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a fixed mask over token positions: positions it leaves out may differ. Seeds of the test items and of all
+A seed is a fixed mask over token positions: positions it leaves out may differ. The masks follow from the length of an
+item and the substitutions it allows, so that every allowed overlap holds a seed. Seeds of the test items and of all
 training texts are hashed and joined; around every hit the item and the text are laid side by side and
 the overlap is verified token by token, substitutions allowed.
 
@@ -11,7 +12,7 @@ for each block. Nothing of the corpus is shuffled or collected.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import pairwise
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from stationhour.llm import vectors as V
 
 # Token positions that a seed looks at. Any 13 tokens with at most 2 substitutions hold one of them whole.
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
+# Lengths that masks of short items are made for. An item has the masks of the last that fits into it.
+LENGTHS = (1, 2, 3, 4, 5, 8, 10)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -38,14 +41,35 @@ def _tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return V.word_hashes(data, start, end), at
 
 
-def _seeds(tokens: np.ndarray, bounds: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
+def allowed(words: int, share: float) -> int:
+    """How many of ``words`` may differ where ``share`` of them must be equal."""
+    return words - int(np.ceil(share * words - 1e-9))
+
+
+def masks_of(length: int, least: int, share: float) -> tuple[tuple[int, ...], ...]:
+    """Masks for items of ``length`` words: each overlap holds one of them whole.
+
+    In items of ``least`` words and more they may stand anywhere, in shorter ones at the item's start. With k substitutions, the
+    words are cut into k + 2 parts; some two parts are whole, and each two parts are a mask.
+    """
+    words = min(length, least)
+    gone = allowed(words, share)
+    if length >= least and words >= 13 and gone <= 2:
+        return MASKS
+    if length < least:
+        words = max([n for n in LENGTHS if n <= words])
+    gone = min(gone, words - 1)
+    parts = np.array_split(np.arange(words), min(gone + 2, words))
+    return tuple(tuple(np.concatenate(x).tolist()) for x in combinations(parts, len(parts) - gone))
+
+
+def _seeds(tokens: np.ndarray, bounds: np.ndarray, mask: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """(hash, first position) of one mask at every place where it fits into a document."""
-    mask = MASKS[which]
     span = mask[-1] + 1
     n = len(tokens) - span + 1
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    total = np.full(n, which, np.uint64)
+    total = np.zeros(n, np.uint64)
     for i, at in enumerate(mask):
         total += tokens[at:at + n] * V.power(1, len(mask) + 1)[i + 1]
     at = np.flatnonzero(V.window_starts(bounds, len(tokens), span))
@@ -55,7 +79,7 @@ def _seeds(tokens: np.ndarray, bounds: np.ndarray, which: int) -> tuple[np.ndarr
 class Items:
     """One block of test items, indexed by their seeds."""
 
-    def __init__(self, ids: list[int], texts: list[str | None]):
+    def __init__(self, ids: list[int], texts: list[str | None], least: int, share: float):
         data, sizes = [], []
         for t in texts:
             data.append((t or "").encode())
@@ -63,32 +87,45 @@ class Items:
         bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         self.ids = np.array(ids, np.int64)
         self.tokens, self.bounds = _tokens(np.frombuffer(b"".join(data), np.uint8), bounds)
-        found = [_seeds(self.tokens, self.bounds, w) for w in range(len(MASKS))]
-        seeds, places = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(seeds, kind="stable")
-        self.seeds, self.places = seeds[order], places[order]
-
-    def overlaps(self, data: np.ndarray, bounds: np.ndarray, least: int, share: float, reach: int = 64):
+        self.least, self.share = least, share
+        words = np.diff(self.bounds)
+        sizes = np.minimum(words, least)
+        wanted: dict[tuple[int, ...], set[int]] = {}
+        for n in np.unique(sizes[sizes > 0]).tolist():
+            for mask in masks_of(n, least, share):
+                wanted.setdefault(mask, set()).add(n)
+        self.index = []  # of each mask: its sorted seeds and their places
+        for mask, lengths in wanted.items():
+            seeds, places = _seeds(self.tokens, self.bounds, mask)
+            item = np.searchsorted(self.bounds, places, "right") - 1
+            own = np.isin(sizes[item], list(lengths)) & ((words[item] >= least) | (places == self.bounds[item]))
+            seeds, places = seeds[own], places[own]
+            order = np.argsort(seeds, kind="stable")
+            self.index.append((mask, seeds[order], places[order]))
+
+    def overlaps(self, data: np.ndarray, bounds: np.ndarray, reach: int = 64):
         """(row, item, matched, first word, words) of verified overlaps, the best of each row and item."""
         empty = (np.empty(0, np.int64),) * 5
         tokens, at = _tokens(data, bounds)
-        hit_at, hit_item = [], []
-        for which in range(len(MASKS)):
-            seeds, place = _seeds(tokens, at, which)
-            first, last = np.searchsorted(self.seeds, seeds), np.searchsorted(self.seeds, seeds, "right")
+        hit_at, hit_item = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for mask, known, places in self.index:
+            seeds, place = _seeds(tokens, at, mask)
+            first, last = np.searchsorted(known, seeds), np.searchsorted(known, seeds, "right")
             hit = np.flatnonzero(last > first)
             many = last[hit] - first[hit]
             hit_at.append(np.repeat(place[hit], many))
-            hit_item.append(self.places[V.ragged(first[hit], many)])
+            hit_item.append(places[V.ragged(first[hit], many)])
         where, there = np.concatenate(hit_at), np.concatenate(hit_item)
         if not len(where):
             return empty
         row = np.searchsorted(at, where, "right") - 1
         item = np.searchsorted(self.bounds, there, "right") - 1
-        # hits on one diagonal within ``reach`` tokens are one alignment
-        key = np.unique(np.stack([row, item, where - there, where // reach]), axis=1, return_index=True)[1]
+        # hits on one diagonal within ``reach`` tokens are one alignment, seen from the first of them
+        key = np.lexsort((where, where - there, item, row))
+        same = np.stack([row, item, where - there, where // reach])[:, key]
+        key = key[np.append(True, (same[:, 1:] != same[:, :-1]).any(axis=0))]
         where, there, row, item = where[key], there[key], row[key], item[key]
-        parts = [self._verify(tokens, at, where[i:i + 16384], there[i:i + 16384], row[i:i + 16384], item[i:i + 16384], least, share, reach)
+        parts = [self._verify(tokens, at, where[i:i + 16384], there[i:i + 16384], row[i:i + 16384], item[i:i + 16384], reach)
                  for i in range(0, len(where), 16384)]
         row, item, matched, first, words = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((first, -words, -matched, item, row))
@@ -96,8 +133,9 @@ class Items:
         order = order[keep]
         return row[order], item[order], matched[order], first[order], words[order]
 
-    def _verify(self, tokens, at, where, there, row, item, least: int, share: float, reach: int):
+    def _verify(self, tokens, at, where, there, row, item, reach: int):
         """Overlaps along the diagonals of hits: all windows of ``least`` words with enough equal ones, united."""
+        least, share = self.least, self.share
         steps = np.arange(-reach, 2 * reach)
         x, y = where[:, None] + steps, there[:, None] + steps
         inside = (x >= at[row][:, None]) & (x < at[row + 1][:, None]) & (y >= self.bounds[item][:, None]) & (y < self.bounds[item + 1][:, None])
@@ -114,7 +152,7 @@ class Items:
         return row[hit], item[hit], matched, where[hit] + steps[first] - at[row[hit]], last - first
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Items]:
+def _blocks(benchmark: DataFrame, block_bytes: int, least: int, share: float) -> Iterator[Items]:
     """The items in blocks of about ``block_bytes`` of text; the driver holds one at a time."""
     ids, texts, size = [], [], 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
@@ -122,10 +160,10 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Items]:
         texts.append(r.text)
         size += len(r.text or "")
         if size >= block_bytes:
-            yield Items(ids, texts)
+            yield Items(ids, texts, least, share)
             ids, texts, size = [], [], 0
     if ids:
-        yield Items(ids, texts)
+        yield Items(ids, texts, least, share)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 13, share: float = 0.8,
@@ -133,7 +171,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 13, share:
     """One row per document and test item that overlap: doc_id, item_id, matched_words, first_word, overlap_words.
 
     An overlap is made of stretches of ``least`` consecutive words (the whole item if it is shorter), case folded by Unicode, in each
-    of which at least ``share`` are equal place by place. Items of fewer than 8 words hold no seed and are not searched. Null
+    of which at least ``share`` are equal place by place; short items are searched at every place, also those of one word. Null
     and empty texts overlap with nothing; null ids are carried (a null item id as -1); repeated rows are reported
     for each row. An empty benchmark gives an empty result. Longer overlaps
     are reported within 128 words after and 64 before a seed.
@@ -146,7 +184,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 13, share:
             for batch in batches:
                 table = pa.Table.from_batches([batch])
                 for a, b, data, bounds in V.slices(table, "text"):
-                    row, item, *rest = items.overlaps(data, bounds, least, share)
+                    row, item, *rest = items.overlaps(data, bounds)
                     if len(row):
                         own = table.column("doc_id").slice(a, b - a).take(pa.array(row)).combine_chunks()
                         yield pa.RecordBatch.from_arrays([own, *map(pa.array, [items.ids[item], *rest])], names=names)
@@ -154,7 +192,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 13, share:
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = docs.sparkSession.createDataFrame([], schema)
-    for items in _blocks(benchmark, block_bytes):
+    for items in _blocks(benchmark, block_bytes, least, share):
         out = out.unionByName(docs.mapInArrow(scan(items), schema))
     return out
 
@@ -169,11 +207,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, least: int = 13, share:
                 table = pa.Table.from_batches([batch])
                 clean = np.ones(table.num_rows, bool)
                 for a, b, data, bounds in V.slices(table, "text"):
-                    clean[a + items.overlaps(data, bounds, least, share)[0]] = False
+                    clean[a + items.overlaps(data, bounds)[0]] = False
                 kept = table.filter(pa.array(clean))
                 yield from kept.to_batches()
         return run
 
-    for items in _blocks(benchmark, block_bytes):
+    for items in _blocks(benchmark, block_bytes, least, share):
         docs = docs.mapInArrow(scan(items), docs.schema)
     return docs

@@ -260,6 +260,42 @@ def test_masks_meet_two_substitutions():
         assert any(all(p + o not in gone for o in m) for m in decontamination.MASKS for p in range(13 - m[-1]))
 
 
+def _pieces_of(texts, bench, **given):
+    import numpy as np
+
+    raw = [t.encode() for t in texts]
+    items = decontamination.Items(list(range(len(bench))), bench, given.get("least", 13), given.get("share", 0.8))
+    row, item, matched, first, words = items.overlaps(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    return {(r, i): (m, f, w) for r, i, m, f, w in zip(*(x.tolist() for x in (row, item, matched, first, words)), strict=True)}
+
+
+@pytest.mark.parametrize("least, share", [(13, 0.8), (20, 0.8), (13, 0.6), (4, 0.5)])
+def test_short_items_meet_all_substitutions(least, share):
+    """All substitutions that the share allows, and one more, in items of every length up to ``least``; items of all lengths in one block."""
+    from itertools import combinations
+
+    bench = [" ".join(f"w{n}x{j}" for j in range(n)) for n in range(1, least + 1)] + ["", None]
+    for n in range(1, least + 1):
+        most = decontamination.allowed(n, share)
+        for k in (range(most + 2) if n <= 13 else (most, most + 1)):
+            gone = list(combinations(range(n), k))
+            if len(gone) > 400:
+                gone = random.Random(n).sample(gone, 400)
+            texts = [" ".join(["before"] * 3 + ["y" if j in g else f"W{n}x{j}" for j in range(n)] + ["after"] * 2) for g in gone]
+            expected = {(i, n - 1): (n - k, 3, n) for i in range(len(gone))} if k <= most else {}
+            assert _pieces_of(texts, bench, least=least, share=share) == expected, (n, k)
+
+
+def test_short_items_in_tables(spark):
+    tests = spark.createDataFrame([(1, "What is it?"), (2, "one two three four five six seven"), (3, "Paris"), (4, None), (5, "")], "item_id long, text string")
+    rows = [(1, "he asked what is it? again"), (2, "what is\nit?"), (3, "what is it"), (4, "so one two THREE x five six seven so"), (5, "one two x four x six seven"),
+            (6, "paris"), (7, "in paris, once"), (8, "what"), (9, "is it?"), (10, None), (11, "what is this it?")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = sorted((r.doc_id, r.item_id, r.matched_words, r.first_word) for r in decontamination.contaminated(docs, tests).collect())
+    assert got == [(1, 1, 3, 2), (2, 1, 3, 0), (4, 2, 6, 1), (6, 3, 1, 0)]
+    assert sorted(r.doc_id for r in decontamination.decontaminate(docs, tests).collect()) == [3, 5, 7, 8, 9, 10, 11]
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
