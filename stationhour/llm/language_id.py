@@ -22,6 +22,7 @@ from stationhour.llm import vectors as V
 from stationhour.llm.staging import free_name
 from stationhour.session import write_shared
 
+# What texts are held against where none declares a language.
 LANGUAGES = ("de", "en", "es", "fr")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -49,7 +50,7 @@ def normal_language(declared: Column) -> Column:
 
 
 def learn(docs: DataFrame, text: str, declared: str, languages: Sequence[str], buckets: int) -> np.ndarray:
-    """Log probabilities of the trigrams, a row for each language; from every text that declares it."""
+    """Counts of the trigrams, a row for each language; from every text that declares it."""
     languages = list(languages)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,21 +72,53 @@ def learn(docs: DataFrame, text: str, declared: str, languages: Sequence[str], b
     table = np.zeros((len(languages), buckets))
     for r in sums.collect():  # one row a language
         table[r.number] = np.frombuffer(r.counts, np.int64)
-    return np.log((table + 0.5) / (table.sum(axis=1, keepdims=True) + 0.5 * buckets))
+    return table
+
+
+def even_out(counts: np.ndarray) -> np.ndarray:
+    """Probabilities of the trigrams from their counts."""
+    return (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * counts.shape[1])
+
+
+def distinct(counts: np.ndarray, texts: Sequence[int], least: float = 0.1, rounds: int = 50) -> list[int]:
+    """Rows that no mixture of the other rows explains: languages, without other names of them and declarations on texts of all kinds.
+
+    Smaller rows are tried first. The distance is in nats a trigram, less what chance makes of it in a row of so many trigrams
+    and ``texts``, each of which repeats words of its own.
+    """
+    part = even_out(counts)
+    kept = [i for i in range(len(counts)) if counts[i].any()]
+    for i in sorted(kept, key=lambda i: counts[i].sum()):
+        others = part[[j for j in kept if j != i]]
+        if not len(others):
+            break
+        at = np.flatnonzero(counts[i])
+        own, others = counts[i, at] / counts[i].sum(), others[:, at]
+        share = np.full(len(others), 1 / len(others))
+        for _ in range(rounds):
+            share = share * (others @ (own / (share @ others)))
+        if (own * np.log(own / (share @ others))).sum() - (len(at) - 1) / (2 * counts[i].sum()) - 3 / texts[i] < least:
+            kept.remove(i)
+    return kept
+
+
+def declared_languages(docs: DataFrame, declared: str, texts: int = 5) -> dict[str, int]:
+    """Values that at least ``texts`` rows declare, in order, and by how many rows; tags of two or three letters, a row each."""
+    found = docs.filter(F.col(declared).isNotNull()).groupBy(declared).count().filter(F.col("count") >= texts)
+    return dict(sorted(tuple(r) for r in found.collect()))
 
 
 def identify(docs: DataFrame, text: str = "text", declared: Column | None = None, suffix: Column | None = None,
-             host: Column | None = None, languages: Sequence[str] = LANGUAGES, buckets: int = 1 << 14, strength: float = 10.0,
+             host: Column | None = None, languages: Sequence[str] | None = None, buckets: int = 1 << 14, strength: float = 10.0,
              temper: float = 0.34, least: float = 0.5, noise: float = 1e-3) -> DataFrame:
     """``docs`` with predicted_lang, confidence (its posterior) and accepted.
 
     ``declared``, ``suffix`` and ``host`` are columns with further evidence, null where there is none; ``strength`` is how many
     texts a parent's prior weighs, ``temper`` scales the text's evidence as trigrams overlap, ``noise`` is the background's prior. Null, empty and letterless texts carry no text
-    evidence and are rejected with the language their other evidence favours. Declared values outside ``languages`` count as one
-    more value. Repeated rows get equal answers. Input columns with the names of the result are replaced; rows are kept as they are, repeated
+    evidence and are rejected with the language their other evidence favours. ``languages`` are learnt if not given: the declared
+    values of at least five texts which no mixture of the others explains. Other declared values count as one more value. Repeated rows get equal answers. Input columns with the names of the result are replaced; rows are kept as they are, repeated
     ones too. Where no text declares a language, all are taken as equal.
     """
-    languages = list(languages)
     made = {"predicted_lang", "confidence", "accepted"}
     columns = [c for c in docs.columns if c.lower() not in made]
     d, s, h, like, n = (free_name(docs.columns, x) for x in ("__declared", "__suffix", "__host", "__like", "__grams"))
@@ -93,7 +126,12 @@ def identify(docs: DataFrame, text: str = "text", declared: Column | None = None
     given = docs.withColumns({d: normal_language(declared if declared is not None else null),
                               s: (suffix if suffix is not None else null).cast("string"),
                               h: (host if host is not None else null).cast("string")}).select(*columns, d, s, h)
-    model = learn(given, text, d, languages, buckets)
+    texts = declared_languages(given, d) if languages is None else {}
+    found = list(texts if languages is None else languages)
+    counts = learn(given, text, d, found or LANGUAGES, buckets)
+    rows = range(len(found)) if languages is not None else distinct(counts, list(texts.values()))
+    languages = [found[i] for i in rows] or list(LANGUAGES)
+    model = np.log(even_out(counts[list(rows)] if len(rows) else counts if not found else np.zeros((len(LANGUAGES), buckets))))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema)
     even, names = -np.log(buckets), [*given.columns, like, n]
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stationhour.llm import compression_quality, decontamination, html_text, jaccard_join, language_id, packing, quality_rules, sharding
 from stationhour.llm.substring_dedup import remove_repeated_words
 from stationhour.llm.suffix_dedup import remove_repeated_bytes
+from stationhour.session import write_shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,9 +97,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    out = language_id.identify(docs, declared=F.col("lang"), host=F.col("source"))
-    return out.select("doc_id", F.col("lang").alias("declared_lang"), "predicted_lang", "confidence", F.col("accepted").alias("kept"))
+    # rows of both tables: documents have a column for their language and a source, pages a markup attribute and an address
+    nothing = F.lit(None).cast("string")
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), "text", F.col("lang").alias("declared"), nothing.alias("suffix"),
+        F.col("source").alias("host"))
+    pages = table(spark, sf_dir, "pages")
+    evidence = dict(zip(("declared", "suffix", "host"), language_id.page_evidence(F.col("html"), F.col("url")), strict=True))
+    texts = write_shared(html_text.extract(pages.select("page_id", "html", *[c.alias(x) for x, c in evidence.items()])), "page_texts")
+    pages = texts.select(F.lit(None).cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id"), "text", *evidence)
+    out = language_id.identify(docs.unionByName(pages), declared=F.col("declared"), suffix=F.col("suffix"), host=F.col("host"))
+    return out.select("doc_id", F.col("declared").alias("declared_lang"), "predicted_lang", "confidence", F.col("accepted").alias("kept"), "page_id")
 
 
 @query("op10_html_extraction")

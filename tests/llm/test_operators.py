@@ -351,6 +351,31 @@ def test_language_by_text_alone_after_learning(small, spark):
     assert sum(truth[r.doc_id] == r.predicted_lang for r in rows) >= 0.97 * len(rows)
 
 
+def test_languages_are_learnt(small, spark):
+    """A fifth language is learnt from its declarations; another name of a language and one stray declaration are not languages."""
+    random.seed(7)
+    words = ["".join(random.choice("kaeiouwzptln") for _ in range(random.randint(2, 9))) for _ in range(400)]
+    more = [(10**6 + i, " ".join(random.choices(words, k=80)), "xk" if i < 24 else None) for i in range(30)]
+    stray = small.withColumn("lang", F.when((F.col("lang") == "fr") & (F.col("doc_id") % 3 == 0), F.lit("fra")).otherwise(F.col("lang")))
+    docs = stray.select("doc_id", "text", "lang").union(spark.createDataFrame(more, "doc_id long, text string, lang string"))
+    got = {r.doc_id: r for r in language_id.identify(docs, declared=F.col("lang")).collect()}
+    assert all(got[i].predicted_lang == "xk" and got[i].accepted for i, _, _ in more)
+    truth = {r.doc_id: r.lang for r in small.collect()}
+    assert sum(got[i].predicted_lang == x for i, x in truth.items()) >= 0.97 * len(truth)
+    assert {r.predicted_lang for r in got.values()} == {"de", "en", "es", "fr", "xk"}
+
+
+def test_query_answers_documents_and_pages(spark):
+    from stationhour.llm.queries import QUERIES
+
+    rows = QUERIES["op9_language_id"](spark, SMALL).collect()
+    for name in ("documents", "pages"):
+        key = "doc_id" if name == "documents" else "page_id"
+        own = [r for r in rows if r[key] is not None]
+        assert Counter(r[key] for r in own) == Counter(r[0] for r in spark.read.parquet(f"{SMALL}/{name}.parquet").select(key).collect())
+        assert sum(r.declared_lang == r.predicted_lang for r in own if r.declared_lang) >= 0.9 * len(own)
+
+
 def test_page_evidence(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     plain = html_text.extract(pages.withColumn("source_html", F.col("html"))).select(
