@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stationhour.llm import compression_quality, decontamination, html_text, jaccard_join, language_id, packing, quality_rules, sharding
+from stationhour.llm import (compression_quality, decontamination, embedding_whitening, html_text, jaccard_join, language_id, merkle, packing,
+                             quality_rules, sharding, simhash)
 from stationhour.llm.substring_dedup import remove_repeated_words
 from stationhour.llm.suffix_dedup import remove_repeated_bytes
 from stationhour.session import write_shared
@@ -118,3 +120,65 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_jaccard_join")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
+# crc32 of the decimal doc_id, bit by bit
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+         lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda z, _: xor(z >> 1, 3988292384 * (z & 1)))), 4294967295)"""
+
+
+@query("op11_merkle_manifest", f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, source, n_chars, text,
+         {_CRC32} % 3 = 0 AS changed
+  FROM documents),
+e AS (SELECT doc_id, lang, pos, changed, text,
+             coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM d),
+leaf AS (SELECT doc_id, lang, pos, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                sha256(head || coalesce(CASE WHEN changed THEN strlen(low) || ':' || low ELSE strlen(text) || ':' || text END, '-')) AS shown FROM e),
+up AS (SELECT 0 AS level, lang, pos, leaf AS node, count(*) OVER (PARTITION BY lang) AS n FROM leaf
+       UNION ALL
+       SELECT level + 1, lang, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (n + 7) // 8 FROM up WHERE n > 1 GROUP BY level, lang, n, pos // 8),
+subs AS (SELECT lang, node AS subroot, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS level, pos, subroot AS node, n FROM subs
+        UNION ALL
+        SELECT level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY level, n, pos // 8),
+pairs AS (
+  SELECT l.doc_id, u.level, string_agg(u.node, '' ORDER BY u.pos) FILTER (u.pos < l.pos // (8 ** u.level)::BIGINT) AS a,
+         string_agg(u.node, '' ORDER BY u.pos) FILTER (u.pos > l.pos // (8 ** u.level)::BIGINT) AS b
+  FROM leaf l JOIN up u ON u.lang IS NOT DISTINCT FROM l.lang AND u.n > 1 AND u.pos // 8 = l.pos // (8 ** (u.level + 1))::BIGINT GROUP BY l.doc_id, u.level
+  UNION ALL
+  SELECT l.doc_id, s.height + u.level, string_agg(u.node, '' ORDER BY u.pos) FILTER (u.pos < s.pos // (8 ** u.level)::BIGINT),
+         string_agg(u.node, '' ORDER BY u.pos) FILTER (u.pos > s.pos // (8 ** u.level)::BIGINT)
+  FROM leaf l JOIN subs s ON s.lang IS NOT DISTINCT FROM l.lang JOIN top u ON u.n > 1 AND u.pos // 8 = s.pos // (8 ** (u.level + 1))::BIGINT
+  GROUP BY l.doc_id, s.height, u.level),
+path AS (SELECT doc_id, list([coalesce(a, ''), coalesce(b, '')] ORDER BY level) AS p FROM pairs GROUP BY doc_id),
+fold AS (SELECT l.doc_id, 0 AS i, l.shown AS node, p FROM leaf l LEFT JOIN path USING (doc_id)
+         UNION ALL SELECT doc_id, i + 1, sha256(p[i + 1][1] || node || p[i + 1][2]), p FROM fold WHERE i < len(p)),
+whole AS (SELECT node AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(flatten(f.p), ''), '')) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM leaf JOIN subs s ON s.lang IS NOT DISTINCT FROM leaf.lang JOIN fold f USING (doc_id) CROSS JOIN whole
+WHERE f.i = coalesce(len(f.p), 0)
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    low = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(changed, merkle.leaf_digest([low if f == "text" else F.col(f) for f in fields]))
+    tree = merkle.manifest(table(spark, sf_dir, "documents"), fields, group="lang", key="doc_id", carry={"tampered": tampered})
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return tree.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"),
+                       (folded == F.col("root")).alias("verified"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embedding_whitening.whiten(table(spark, sf_dir, "embeddings"), count=16, scale=64.0, shift=1_000_000)
+    return out.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+@query("op13_simhash_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, bits=2)
