@@ -56,7 +56,7 @@ class FitList:
 def _dimension(vectors: DataFrame) -> int:
     """The most frequent length, of equally frequent ones the largest."""
     found = (vectors.select(F.size("v").alias("d")).filter("d > 0").groupBy("d").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), F.desc("d")).first())
-    return found.d if found else 0
+    return found.d if found else 1  # no vector has it
 
 
 def fit_list(vectors: DataFrame, scale: float, shift: int) -> FitList:
