@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationhour.session import shared_path
@@ -22,13 +22,14 @@ def _rename(spark, folder: str, name_of, suffix: str) -> None:
             fs.rename(part, jvm.org.apache.hadoop.fs.Path(root, name_of(label.split("=", 1)[1], i)))
 
 
-def land_raw(rows: DataFrame) -> str:
-    """Headerless gzip CSV files ``d{district}_text_station_hour_{yyyy_mm}.txt.gz`` of raw rows."""
+def land_raw(rows: DataFrame, filed_as: Column | None = None) -> str:
+    """Headerless gzip CSV files ``d{district}_text_station_hour_{yyyy_mm}.txt.gz`` of raw rows. ``filed_as`` is the period (yyyy_mm) in the name of a
+    row's file where that is not the row's own."""
     spark = rows.sparkSession
     folder = shared_path(spark, "landed-raw")
     stamp = F.col("time_stamp_string")
     label = F.concat_ws("-", F.lpad(F.col("district").cast("string"), 2, "0"),
-                        F.concat_ws("_", F.substring(stamp, 7, 4), F.substring(stamp, 1, 2)))
+                        F.coalesce(F.lit(None) if filed_as is None else filed_as, F.concat_ws("_", F.substring(stamp, 7, 4), F.substring(stamp, 1, 2))))
     (rows.withColumn("label", label).hint("rebalance", "label")
      .write.partitionBy("label").option("compression", "gzip").csv(folder))
 

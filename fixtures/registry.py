@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures.adapters import AS_OF, BASE_URL, Inputs
-from fixtures.landing import land_yearly
+from fixtures.landing import land_raw, land_yearly
 from fixtures.sql import with_inputs
 from stationhour.functions import periods, scalar
-from stationhour.operators import cleaning, enrichment, exploration, files, metrics, options, selection
+from stationhour.operators import cleaning, enrichment, exploration, files, metrics, options, partials, selection
 from stationhour.operators.summary import station_hour_summary
-from stationhour.plans.manifest import pending_files, record_new_files
+from stationhour.plans.manifest import list_new_files, pending_files, record_fetched
 from stationhour.plans.monthly import monthly_round
 from stationhour.plans.months import backfill, month_pipeline
 from stationhour.schemas import RouteChoice, Selection
 from stationhour.session import shared_path
-from stationhour.sources import documents, raw, tables
+from stationhour.sources import documents, raw, tables, versions
 from stationhour.streaming import ingest, windows
 
 MAKERS: dict[str, Callable[[Inputs], DataFrame]] = {}
@@ -201,12 +201,25 @@ def _(i: Inputs) -> DataFrame:
 @query("manifest_pipeline", f"{_MANIFEST} WHERE CAST(year AS INT) > 2022")
 def _(i: Inputs) -> DataFrame:
     path = _ledger_path(i)
-    found = record_new_files(i.responses, _requests(i), path)
+    found = list_new_files(i.responses, _requests(i), path)
+    record_fetched(i.spark, found, path)
     again = pending_files(i.responses, _requests(i), tables.scan_ledger(i.spark, path))
     # nothing is pending once it has been recorded
     return found.unionByName(again)
 
 
+@query("manifest_confirmed", f"""{_MANIFEST.replace('SELECT', 'SELECT 1 AS round,')} WHERE CAST(year AS INT) > 2022
+  UNION ALL {_MANIFEST.replace('SELECT', 'SELECT 2 AS round,')} WHERE CAST(year AS INT) > 2022 AND file_type = 'station_day'""")
+def _(i: Inputs) -> DataFrame:
+    path = _ledger_path(i)
+    first = list_new_files(i.responses, _requests(i), path)
+    # daily files fail to come, the others are reported twice
+    fetched = first.withColumn("ok", F.col("file_type") != "station_day")
+    record_fetched(i.spark, fetched.unionByName(fetched), path)
+    second = list_new_files(i.responses, _requests(i), path)
+    return first.withColumn("round", F.lit(1)).unionByName(second.withColumn("round", F.lit(2)))
+
+
 @query("monthly_round", f"{_MANIFEST} WHERE year = '2025' AND month = 'May'")
 def _(i: Inputs) -> DataFrame:
     scopes = i.manifest.agg(F.collect_set("file_type").alias("file_types"), F.collect_set("district").alias("districts"))
@@ -214,6 +227,21 @@ def _(i: Inputs) -> DataFrame:
     return monthly_round(i.responses, scopes, BASE_URL, _ledger_path(i), held, AS_OF)[0]
 
 
+@query("monthly_round_retention", f"""SELECT kind, file_name, year, month, file_date, months_ago, action, key,
+    months_ago > 1 AND (action = 'skip' OR uploaded) AS delete_local, action = 'skip' AS lost
+  FROM (SELECT *, CASE WHEN action = 'upload' THEN 'raw-rolling/' || strftime(file_date, '%Y-%m') || '/' || file_name END AS key
+        FROM (SELECT *, CASE WHEN months_ago <= 12 THEN 'upload' ELSE 'skip' END AS action
+              FROM (SELECT 'raw' AS kind, file_name, year, month, make_date(CAST(year AS INT), month_num, 1) AS file_date, district <> '7' AS uploaded,
+                      CAST(floor(date_diff('day', make_date(CAST(year AS INT), month_num, 1), DATE '{AS_OF}') / 30.0) AS INT) AS months_ago FROM files)))""")
+def _(i: Inputs) -> DataFrame:
+    # the files of May 2025 are still to be fetched; uploads from district 7 fail
+    scopes = i.manifest.agg(F.collect_set("file_type").alias("file_types"), F.collect_set("district").alias("districts"))
+    every = i.manifest.select(F.lit("raw").alias("kind"), "file_name", "year", "month", "district")
+    held = every.where("NOT (year = '2025' AND month = 'May')")
+    tried = files.retention(every, AS_OF).where("key IS NOT NULL").select("key", (F.col("district") != "7").alias("ok"))
+    return monthly_round(i.responses, scopes, BASE_URL, _ledger_path(i), held, AS_OF, outcomes=tried)[1]
+
+
 _KINDS = "CASE file_type WHEN 'station_hour' THEN 'raw' WHEN 'station_5min' THEN 'processed' ELSE 'other' END"
 _RETENTION = f"""(SELECT kind, file_name, year, month, day AS file_date, months_ago, action,
     CASE WHEN action = 'upload' AND kind = 'raw' THEN 'raw-rolling/' || strftime(day, '%Y-%m') || '/' || file_name
@@ -411,6 +439,34 @@ def _(i: Inputs) -> DataFrame:
     return rounded(backfill(i.spark, folder, table, i.meta, i.calendar), *SD)
 
 
+@query("changed_files", _rounded_sql("enriched WHERE year <> 2020"))
+def _(i: Inputs) -> DataFrame:
+    """A stream loads files with wrong flows, a backfill the same files corrected, those of 2020 without usable rows; each holds rows of another month."""
+    table, mark = (shared_path(i.spark, n) for n in ("changed-table", "changed-mark"))
+    stamp = F.to_date(F.substring("time_stamp_string", 1, 10), "MM/dd/yyyy")
+    filed_as = F.date_format(F.add_months(stamp, F.col("samples")), "yyyy_MM")
+    foreign = i.raw_l.where("flow_1 IS NULL").withColumn("samples", F.lit(1))  # filed a month too late
+    own = i.raw_l.withColumn("samples", F.lit(0))
+    wrong = own.unionByName(foreign).withColumn("flow", F.col("flow") + 1)
+    right = own.unionByName(foreign).withColumn("pct_obs", F.when(F.year(stamp) == 2020, 10.0).otherwise(F.col("pct_obs")))
+    ingest.upsert_stream(i.spark, land_raw(wrong, filed_as), table, mark, i.meta, i.calendar)
+    return rounded(backfill(i.spark, land_raw(right, filed_as), table, i.meta, i.calendar), *SD)
+
+
+@query("merged_states", _rounded_sql("summ"))
+def _(i: Inputs) -> DataFrame:
+    """Summaries of thirteen parts of the rows, merged."""
+    parts = i.clean.withColumn("file", F.pmod(F.xxhash64(*i.clean.columns), F.lit(13)).cast("string"))
+    return rounded(partials.summary_of_states(partials.file_states(parts), i.params), *SD)
+
+
+@query("published_periods", "SELECT DISTINCT year, month_num FROM enriched WHERE year <> 2021")
+def _(i: Inputs) -> DataFrame:
+    path = _processed(i)
+    tables.remove_months(i.spark, path, [(2021, m) for m in range(1, 13)])
+    return versions.periods(i.spark, path)
+
+
 @query("year_status", """SELECT y.year, array_to_string(list_sort(list(m.month) FILTER (WHERE p.month_num IS NOT NULL)), ',') AS processed,
   coalesce(array_to_string(list(m.month ORDER BY m.month_num) FILTER (WHERE p.month_num IS NULL), ','), '') AS missing
   FROM (SELECT DISTINCT year FROM summ) y CROSS JOIN mon m
@@ -579,6 +635,17 @@ def _(i: Inputs) -> DataFrame:
     return rounded(metrics.route_month_per_lane(i.processed), "line_value")
 
 
+@query("route_month_perlane_gaps", """SELECT y.route, y.year, m.month_num, m.month, v.line_value FROM mon m CROSS JOIN
+  (SELECT DISTINCT route, year FROM enriched WHERE avg_flow IS NOT NULL) y LEFT JOIN (
+  SELECT route, year, month_num, round(median(avg_flow / lanes), 4) AS line_value FROM enriched
+  WHERE avg_flow IS NOT NULL AND NOT (route = 22 AND year = 2021) GROUP BY ALL) v
+  ON v.route = y.route AND v.year = y.year AND v.month_num = m.month_num""")
+def _(i: Inputs) -> DataFrame:
+    # no lane counts on route 22 in 2021; its months stay
+    rows = i.processed.withColumn("lanes", F.when(~((F.col("route") == 22) & (F.col("year") == 2021)), F.col("lanes")))
+    return rounded(metrics.route_month_per_lane(rows), "line_value")
+
+
 @query("route_month_median_flow", """SELECT y.route, y.year, m.month_num, m.month, y.route <> 22 AS per_lane, v.line_value FROM mon m CROSS JOIN
   (SELECT DISTINCT route, year FROM enriched WHERE avg_flow IS NOT NULL) y LEFT JOIN (
   SELECT route, year, month_num, round(median(CASE WHEN route = 22 THEN avg_flow ELSE avg_flow / lanes END), 4) AS line_value
@@ -738,7 +805,7 @@ def _(i: Inputs) -> DataFrame:
 @query("stream_upsert", _rounded_sql("enriched_e"))
 def _(i: Inputs) -> DataFrame:
     table, mark = (shared_path(i.spark, n) for n in ("stream-table", "stream-mark"))
-    ingest.upsert_stream(_streamed_clean(i), table, mark, i.meta)
+    ingest.upsert_stream(i.spark, i.landed_e, table, mark, i.meta, i.calendar, files_per_batch=1)
     return rounded(tables.scan_processed(i.spark, table), *SD)
 
 

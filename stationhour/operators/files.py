@@ -38,7 +38,8 @@ def manifest_totals(manifest: DataFrame) -> DataFrame:
 
 
 def processed_periods(processed: DataFrame) -> DataFrame:
-    """Distinct (year, month_num) of the processed table; reads no column of the files."""
+    """Distinct (year, month_num) of a processed table. ``sources.versions.periods`` has them of a published one without opening a file, and may
+    stand for the table here and below."""
     return processed.select(*PERIOD).distinct()
 
 
@@ -70,12 +71,15 @@ def object_key(file_type: Column, year: Column, day: Column, file_name: Column)
 
 
 def retention(files: DataFrame, as_of: str, *, rolling_months: int = 12, retention_days: int = 30,
-              upload_enabled: bool = True, upload_raw: bool = True) -> DataFrame:
+              upload_enabled: bool = True, upload_raw: bool = True, outcomes: DataFrame | None = None) -> DataFrame:
     """Decide per file (kind, file_name, year, month name) what happens to it on ``as_of``.
 
     action: upload, skip (raw file beyond the rolling window), disabled, invalid (raw file without
     a usable period) or unknown (other kind). ``key`` is set for uploads. ``delete_local`` holds
     once an upload succeeded or was skipped for age; ``lost`` marks files deleted without a copy.
+
+    ``outcomes`` (key, ok) says which uploads have been tried, the last word on a key being one that succeeded: a file whose upload failed, or is not reported, is kept.
+    Without it every upload counts as done.
     """
     today = F.lit(as_of).cast("date")
     day = period_date(F.col("year"), F.col("month"))
@@ -89,9 +93,11 @@ def retention(files: DataFrame, as_of: str, *, rolling_months: int = 12, retenti
     year = F.coalesce(F.col("year").cast("string"), F.year(today).cast("string"))
     decided = aged.withColumn("action", action)
     upload = F.col("action") == "upload"
-    delete = raw & F.col("action").isin("upload", "skip") & (F.col("months_ago") > retention_days / 30)
-    return decided.withColumns({
-        "key": F.when(upload, object_key(F.col("kind"), year, F.col("file_date"), F.col("file_name"))),
-        "delete_local": F.coalesce(delete, F.lit(False)),
-        "lost": F.coalesce(delete & ~upload, F.lit(False)),
-    })
+    decided = decided.withColumn("key", F.when(upload, object_key(F.col("kind"), year, F.col("file_date"), F.col("file_name"))))
+    done = F.lit(True)
+    if outcomes is not None:
+        known = outcomes.where("key IS NOT NULL").groupBy("key").agg(F.max(F.coalesce("ok", F.lit(False))).alias("uploaded"))
+        decided, done = decided.join(known, "key", "left"), F.coalesce("uploaded", F.lit(False))
+    delete = raw & ((upload & done) | (F.col("action") == "skip")) & (F.col("months_ago") > retention_days / 30)
+    return decided.select(*aged.columns, "action", "key", F.coalesce(delete, F.lit(False)).alias("delete_local"),
+                          F.coalesce(delete & ~upload, F.lit(False)).alias("lost"))

@@ -100,10 +100,11 @@ def route_month_two_way(df: DataFrame, dense: bool = True) -> DataFrame:
 
 
 def route_month_per_lane(df: DataFrame, dense: bool = True) -> DataFrame:
-    """Median flow per lane per route, year and month; absent months are null."""
-    rows = _route_rows(df.withColumn("per_lane", flow_per_lane(df.columns)), "per_lane")
-    medians = grouped_medians(rows, ROUTE_MONTH, {"line_value": F.col("per_lane")})
-    return _by_month(medians, dense)
+    """Median flow per lane per route, year and month; absent months are null. Every year with flow on the route has its months, also
+    one without any lane count."""
+    rows = _route_rows(df.withColumn("per_lane", flow_per_lane(df.columns)), "avg_flow")
+    medians = grouped_medians(rows, ROUTE_MONTH, {"line_value": F.col("per_lane"), "flow": F.col("avg_flow")}).drop("flow")
+    return _by_month(medians if dense else medians.where("line_value IS NOT NULL"), dense)
 
 
 def route_month_line(df: DataFrame, dense: bool = True) -> DataFrame:

@@ -44,7 +44,11 @@ def station_hour_summary(clean_rows: DataFrame, params: Params = Params()) -> Da
     if params.medians not in ("buffered", "split"):
         raise ValueError(f"unknown medians: {params.medians}")
     rows = nan_to_null(clean_rows.select(*INPUT_COLUMNS).dropna(subset=GROUP_KEYS))
-    summary = _split(rows) if params.medians == "split" else _plain(rows)
+    return finished(_split(rows) if params.medians == "split" else _plain(rows), params)
+
+
+def finished(summary: DataFrame, params: Params) -> DataFrame:
+    """Groups of at least ``min_days`` rows in the summary's layout."""
     return (summary.where(F.col("days_observed") >= params.min_days)
             .withColumn("month", month_name(F.col("month_num")))
             .select(*SUMMARY_KEYS, *STATISTICS, "days_observed"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterable
+from datetime import datetime
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +20,64 @@ RAW_GLOB = "*.{txt,gz}"
 ANOTHER_MONTH = "another month"
 
 
+def root_of(spark: SparkSession, folder: str) -> str:
+    """The path of ``folder``, of a pattern the part before its first wildcard, without scheme and authority."""
+    fixed = "/".join(takewhile(lambda part: not re.search(r"[*?{\[]", part), folder.rstrip("/").split("/"))) or "/"
+    path = spark._jvm.org.apache.hadoop.fs.Path(fixed)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath().rstrip("/")
+
+
+def file_id(path: Column, root: str) -> Column:
+    """What a file goes by: its path below ``root``, or its name where it is the root itself. Files of one name in two folders differ;
+    a file that is sent again does not, also below another root."""
+    local = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.when(local.startswith(root + "/"), F.substr(local, F.lit(len(root) + 2))).otherwise(F.element_at(F.split(local, "/"), -1))
+
+
+def decoded(path: Column) -> Column:
+    """A path as listings have it, from the escaped one of a row's metadata."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def with_file_ids(listed: DataFrame, root: str) -> DataFrame:
+    """From a listing (path, modificationTime, length): file, file_path, file_name, bytes, modified, year, month_num, month. Files whose name
+    holds no valid period drop out."""
+    named = listed.select(file_id(F.col("path"), root).alias("file"), F.col("path").alias("file_path"),
+                          F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("bytes"),
+                          F.col("modificationTime").alias("modified"))
+    return with_name_period(named).where("month_num IS NOT NULL")
+
+
 def discover_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw files below ``folder`` as (file_path, file_name, bytes, year, month_num, month).
+    """Raw files below ``folder`` as (file, file_path, file_name, bytes, modified, year, month_num, month).
 
     Only the listing is read, not the content. Files whose name holds no valid period drop out.
     """
-    listed = (spark.read.format("binaryFile").option("pathGlobFilter", RAW_GLOB).load(folder)
-              .select(F.col("path").alias("file_path"),
-                      F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                      F.col("length").alias("bytes")))
-    return with_name_period(listed).where("month_num IS NOT NULL").orderBy("file_path")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", RAW_GLOB).load(folder)
+    return with_file_ids(listed, root_of(spark, folder)).orderBy("file_path")
+
+
+EMPTY = hashlib.sha256(b"").hexdigest()
+
+
+def emptied_files(spark: SparkSession, folder: str, known: Iterable[tuple]) -> list[dict]:
+    """Those of the ``known`` files (file, file_name, year, month_num) that are there without a byte, as a listing. Spark's listings leave such files
+    out; each file is looked up by its name."""
+    root, hadoop = root_of(spark, folder), spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(folder.split("*")[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for file, name, year, month in known:
+        path = fs.makeQualified(hadoop.Path(f"{root}/{file}"))
+        if fs.exists(path) and fs.getFileStatus(path).getLen() == 0:
+            changed = datetime.fromtimestamp(fs.getFileStatus(path).getModificationTime() / 1000)
+            found.append({"file": file, "file_path": path.toString(), "file_name": name, "bytes": 0, "modified": changed, "year": year, "month_num": month})
+    return found
+
+
+def digests(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """(file_path, digest): SHA-256 of each file's content as it is stored."""
+    content = spark.read.format("binaryFile").load(list(paths))
+    return content.select(F.col("path").alias("file_path"), F.sha2("content", 256).alias("digest"))
 
 
 def latest_files(files: DataFrame) -> DataFrame:

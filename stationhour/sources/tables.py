@@ -9,7 +9,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException as SparkException
 
 from stationhour.functions.scalar import nan_to_null
-from stationhour.session import write_shared
+from stationhour.sources import versions
 from stationhour.sources.raw import whole
 from stationhour.schemas import MANIFEST_SCHEMA, META_KEYS, META_SCHEMA, META_VALUES, PERIOD, PROCESSED_SCHEMA
 
@@ -46,8 +46,8 @@ def scan_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_processed(spark: SparkSession, path: str) -> DataFrame:
-    """The processed table, partitioned by year and month_num."""
-    return read_or_empty(spark, path, PROCESSED_SCHEMA)
+    """The latest snapshot of the processed table, partitioned by year and month_num."""
+    return versions.read(spark, path, PROCESSED_SCHEMA)
 
 
 def with_expected_columns(df: DataFrame, schema: T.StructType = PROCESSED_SCHEMA) -> DataFrame:
@@ -98,13 +98,9 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
 
 
 def write_months(df: DataFrame, path: str) -> None:
-    """Replace exactly the (year, month_num) partitions present in ``df``.
-
-    The rebalance hint sizes files at run time: it splits a month that holds much of the data and
-    packs small ones, so no month is forced through one task.
-    """
-    (df.hint("rebalance", *PERIOD).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PERIOD).parquet(path))
+    """Replace exactly the (year, month_num) partitions present in ``df``, all at once."""
+    version, present = versions.write_version(df, path)
+    versions.publish(df.sparkSession, path, lambda now: versions.with_months(now, version, present, landed=False))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -118,19 +114,12 @@ def append_ledger(new_files: DataFrame, path: str) -> None:
 
 
 def remove_months(spark: SparkSession, path: str, periods: list[tuple[int, int]]) -> None:
-    """Remove exactly the given (year, month_num) partitions, where they exist."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for year, month in periods:
-        partition = hadoop.Path(f"{path}/year={year}/month_num={month}")
-        if fs.exists(partition):
-            fs.delete(partition, True)
+    """Remove exactly the given (year, month_num) partitions, where they exist, all at once."""
+    versions.publish(spark, path, lambda now: versions.with_months(now, versions.PLAIN, [], periods, landed=False))
 
 
 def replace_months(df: DataFrame, path: str, periods: list[tuple[int, int]]) -> None:
-    """Make the given months of the table what ``df`` holds of them; a month without rows loses its partition."""
-    written = write_shared(df, "months")
-    write_months(written, path)
-    present = {tuple(r) for r in written.select(*PERIOD).distinct().collect()}  # at most twelve a year
-    remove_months(df.sparkSession, path, [p for p in periods if p not in present])
-    df.sparkSession.catalog.refreshByPath(path)
+    """Make the given months of the table what ``df`` holds of them, all at once; a month without rows loses its partition."""
+    version, present = versions.write_version(df, path)
+    kept = [p for p in present if p in set(periods)]
+    versions.publish(df.sparkSession, path, lambda now: versions.with_months(now, version, kept, periods, landed=False))

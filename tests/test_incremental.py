@@ -1,16 +1,22 @@
 from __future__ import annotations
 
+import os
+import pathlib
+import shutil
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import FEBRUARY, JANUARY
 from stationhour.operators import files
-from stationhour.plans.manifest import record_new_files
+from stationhour.plans.manifest import list_new_files, record_fetched
 from stationhour.plans.monthly import monthly_round
-from stationhour.plans.months import backfill, month_pipeline
+from stationhour.plans import months
+from stationhour.plans.delivery import deliver
+from stationhour.plans.months import backfill, known_files, month_pipeline
 from stationhour.schemas import MANIFEST_SCHEMA, META_SCHEMA, PROCESSED_SCHEMA
-from stationhour.sources import documents, raw, tables
+from stationhour.sources import documents, raw, tables, versions
 from stationhour.streaming import ingest
 
 
@@ -97,10 +103,8 @@ def test_writing_a_month_replaces_only_that_month(spark, tmp_path):
     empty = tables.scan_processed(spark, table)
     assert empty.count() == 0 and empty.schema == PROCESSED_SCHEMA
 
-    def months(*rows):
-        return tables.with_expected_columns(spark.createDataFrame(rows, "station INT, year INT, month_num INT"))
-    tables.write_months(months((1, 2024, 1), (2, 2024, 2), (3, 2023, 1)), table)
-    tables.write_months(months((9, 2024, 1)), table)
+    tables.write_months(processed(spark, (1, 2024, 1), (2, 2024, 2), (3, 2023, 1)), table)
+    tables.write_months(processed(spark, (9, 2024, 1)), table)
     got = tables.scan_processed(spark, table)
     assert sorted((r.station, r.year, r.month_num) for r in got.collect()) == [(2, 2024, 2), (3, 2023, 1), (9, 2024, 1)]
     plan = got.where("year = 2024 AND month_num = 1 AND hour = 7").select("avg_flow")._jdf.queryExecution().explainString(
@@ -149,9 +153,14 @@ def test_new_files_go_by_id(spark, tmp_path):
                                   "file_types ARRAY<STRING>, districts ARRAY<STRING>, start_year INT, end_year INT"), "https://h.example")
     assert requests.count() == 4 and "https://h.example/?srq=clearinghouse&district_id=12&yy=2023&type=other&returnformat=text" in {
         r.url for r in requests.collect()}
-    first = record_new_files(responses, requests, path).collect()
-    assert [(r.file_id, r.megabites, r.month) for r in first] == [("1", 49.5, "May")]
-    assert record_new_files(responses, requests, path).count() == 0 and tables.scan_ledger(spark, path).count() == 1
+    first = list_new_files(responses, requests, path)
+    assert [(r.file_id, r.megabites, r.month) for r in first.collect()] == [("1", 49.5, "May")]
+    # what has not been fetched stays pending; reports that come twice are recorded once
+    assert record_fetched(spark, first.withColumn("ok", F.lit(False)), path).count() == 0
+    assert record_fetched(spark, first.withColumn("ok", F.lit(None).cast("boolean")), path).count() == 0
+    assert list_new_files(responses, requests, path).count() == 1
+    assert record_fetched(spark, first.unionByName(first), path).count() == 1 and record_fetched(spark, first, path).count() == 0
+    assert list_new_files(responses, requests, path).count() == 0 and tables.scan_ledger(spark, path).count() == 1
     assert documents.flatten_listing(responses, ["June"]).count() == 0
 
 
@@ -164,7 +173,10 @@ def test_monthly_round(spark, tmp_path):
     assert [r.file_id for r in found.collect()] == ["1"]
     assert {r.file_name: r.action for r in decided.collect()} == {"old": "skip", "p": "upload", "d12_2024_05": "upload"}
     again, _ = monthly_round(responses, scopes, "https://h.example", str(tmp_path / "ledger"), held, "2024-06-15")
-    assert again.count() == 0
+    assert again.count() == 1
+    record_fetched(spark, again, str(tmp_path / "ledger"))
+    last, _ = monthly_round(responses, scopes, "https://h.example", str(tmp_path / "ledger"), held, "2024-06-15")
+    assert last.count() == 0
 
 
 def test_page_catalogue(spark):
@@ -227,14 +239,12 @@ def test_stream_equals_batch(spark, write_raw, calendar, meta, tmp_path):
     names = []
 
     def run():
-        rows = ingest.clean_stream(ingest.read_raw_stream(spark, folder, files_per_batch=1), calendar)
-        failures = ingest.upsert_stream(rows, *paths, meta, after_batch=hook, after_file=lambda name, batch: names.append(name))
+        failures = ingest.upsert_stream(spark, folder, *paths, meta, calendar, files_per_batch=1, after_batch=hook, after_file=lambda f: names.append(f.file_name))
         return rows_of(tables.scan_processed(spark, paths[0])), failures
 
     batch = rows_of(month_pipeline(raw.scan_raw(spark, folder), meta, calendar))
     assert run() == (batch, 3) and len(seen) == 3 and sorted(names) == sorted(content)
     assert run() == (batch, 0) and len(seen) == 3      # nothing new
-    import pathlib
     extra = pathlib.Path(folder) / "d03_2024_02.txt"
     extra.write_text("\n".join(write_raw.line(r) for r in days(1, FEBRUARY)) + "\n")
     assert run() == (rows_of(month_pipeline(raw.scan_raw(spark, folder), meta, calendar)), 1) and len(seen) == 4
@@ -242,8 +252,7 @@ def test_stream_equals_batch(spark, write_raw, calendar, meta, tmp_path):
 
 
 def stream(spark, folder, table, mark, meta, calendar):
-    rows = ingest.clean_stream(ingest.read_raw_stream(spark, folder, files_per_batch=1), calendar)
-    ingest.upsert_stream(rows, table, mark, meta)
+    ingest.upsert_stream(spark, folder, table, mark, meta, calendar, files_per_batch=1)
     return rows_of(tables.scan_processed(spark, table))
 
 
@@ -275,3 +284,252 @@ def test_a_month_that_becomes_uncovered_goes(spark, write_raw, calendar, meta, t
     left = [(1, 2024, 2, 5, 100.0, 1.0)]
     assert rows_of(backfill(spark, write_raw({**content, **late}), table, meta, calendar)) == left
     assert stream(spark, write_raw(late), other, str(tmp_path / "mark"), meta, calendar) == left
+
+
+# ---------------------------------------------------------------- published tables and changing files
+
+def processed(spark, *rows):
+    return tables.with_expected_columns(spark.createDataFrame(rows, "station INT, year INT, month_num INT"))
+
+
+def stations(df):
+    return sorted((r.station, r.year, r.month_num) for r in df.collect())
+
+
+def test_a_reader_sees_the_old_or_the_new_month(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    tables.write_months(processed(spark, (1, 2024, 1), (2, 2024, 2)), table)
+    before = tables.scan_processed(spark, table)
+    seen = []
+    real = versions.Folder.create
+
+    def between(self, *args):  # rows are written, the snapshot is not
+        seen.append(stations(tables.scan_processed(spark, table)))
+        return real(self, *args)
+    monkeypatch.setattr(versions.Folder, "create", between)
+    tables.replace_months(processed(spark, (9, 2024, 1)), table, [(2024, 1), (2024, 2)])
+    assert seen == [[(1, 2024, 1), (2, 2024, 2)]]
+    assert stations(tables.scan_processed(spark, table)) == [(9, 2024, 1)]
+    assert stations(before) == [(1, 2024, 1), (2, 2024, 2)]  # planned before, read after
+
+
+def test_a_run_that_breaks_off_leaves_the_old_table(spark, write_raw, calendar, meta, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    content = {"d12_2024_01.txt": days(1, JANUARY)}
+    first = rows_of(backfill(spark, write_raw(content), table, meta, calendar))
+    late = {**content, "d07_2024_01.txt": days(2, JANUARY), "d12_2024_02.txt": days(1, FEBRUARY)}
+    folder = write_raw(late)
+
+    def fail(*_, **__):
+        raise OSError("the executor's rack burns")
+    for name in ("write_version", "publish"):  # before the rows are complete; between rows and snapshot
+        with monkeypatch.context() as broken:
+            broken.setattr(versions, name, fail)
+            with pytest.raises(OSError):
+                backfill(spark, folder, table, meta, calendar)
+        assert rows_of(tables.scan_processed(spark, table)) == first
+    fresh = rows_of(backfill(spark, folder, str(tmp_path / "fresh"), meta, calendar))
+    assert rows_of(backfill(spark, folder, table, meta, calendar)) == fresh and len(fresh) == 3
+
+
+def test_two_publications_at_once(spark, write_raw, calendar, meta, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    tables.write_months(processed(spark, (1, 2024, 1)), table)
+    real, met = versions.Folder.create, []
+
+    def overtaken(self, *args):  # another run takes the number first
+        if not met:
+            met.append(1)
+            tables.write_months(processed(spark, (2, 2024, 2)), table)
+        return real(self, *args)
+    with monkeypatch.context() as m:
+        m.setattr(versions.Folder, "create", overtaken)
+        tables.write_months(processed(spark, (3, 2024, 3)), table)
+    assert stations(tables.scan_processed(spark, table)) == [(1, 2024, 1), (2, 2024, 2), (3, 2024, 3)]
+    met.clear()
+    load = str(tmp_path / "load")
+    backfill(spark, write_raw({"d12_2024_01.txt": days(1, JANUARY)}), load, meta, calendar)
+
+    def other(self, *args):
+        if not met:
+            met.append(1)
+            tables.write_months(processed(spark, (2, 2020, 2)), load)
+        return real(self, *args)
+    folder = write_raw({"d12_2024_02.txt": days(1, FEBRUARY)})
+    with monkeypatch.context() as m:  # a load rests on what it has read and does not pass over another run
+        m.setattr(versions.Folder, "create", other)
+        with pytest.raises(versions.Conflict):
+            backfill(spark, folder, load, meta, calendar)
+    assert sorted(r[1:3] for r in rows_of(backfill(spark, folder, load, meta, calendar))) == [(2020, 2), (2024, 1), (2024, 2)]
+
+
+def test_plain_tables_are_taken_over(spark, tmp_path):
+    table = str(tmp_path / "t")
+    processed(spark, (1, 2024, 1), (2, 2024, 2)).write.partitionBy("year", "month_num").parquet(table)
+    assert stations(tables.scan_processed(spark, table)) == [(1, 2024, 1), (2, 2024, 2)]
+    tables.write_months(processed(spark, (3, 2024, 2)), table)
+    assert stations(tables.scan_processed(spark, table)) == [(1, 2024, 1), (3, 2024, 2)]
+    tables.remove_months(spark, table, [(2024, 1)])
+    assert stations(tables.scan_processed(spark, table)) == [(3, 2024, 2)]
+    assert [tuple(r) for r in versions.periods(spark, table).collect()] == [(2024, 2)]
+
+
+def test_expired_versions_go(spark, write_raw, calendar, meta, tmp_path):
+    table = str(tmp_path / "t")
+    for station in (1, 2, 3):
+        tables.write_months(processed(spark, (station, 2024, 1), (station, 2020 + station, 2)), table)
+    assert versions.expire(spark, table, keep=1, hours=24) == 0  # too young
+    tables.write_months(processed(spark, (4, 2024, 1)), table)
+    now = stations(tables.scan_processed(spark, table))
+    versions.write_version(processed(spark, (7, 2024, 1)), table)  # a run that broke off
+    assert versions.expire(spark, table, keep=1, hours=-1) == 4
+    assert stations(tables.scan_processed(spark, table)) == now == [(1, 2021, 2), (2, 2022, 2), (3, 2023, 2), (4, 2024, 1)]
+    changing = str(tmp_path / "c")
+    for flow in (1.0, 2.0):
+        backfill(spark, write_raw({"d12_2024_01.txt": days(1, JANUARY, flow=flow)}), changing, meta, calendar)
+    versions.expire(spark, changing, keep=1, hours=-1)
+    assert [r[4] for r in rows_of(backfill(spark, write_raw({"d12_2024_02.txt": days(1, FEBRUARY)}), changing, meta, calendar))] == [2.0, 100.0]
+
+
+def test_periods_come_without_opening_files(spark, tmp_path):
+    table = str(tmp_path / "t")
+    tables.write_months(processed(spark, (1, 2024, 1), (2, 2023, 12)), table)
+    found = versions.periods(spark, table)
+    assert "FileScan" not in found._jdf.queryExecution().toString()
+    assert {r.year: r.processed_months for r in files.year_status(found).collect()} == {2024: ["January"], 2023: ["December"]}
+    available = spark.createDataFrame([(2024, 1, "January"), (2024, 2, "February")], "year INT, month_num INT, month STRING")
+    assert [r.month_num for r in files.pending_months(available, found).collect()] == [2]
+
+
+def test_no_month_is_lost_to_a_foreign_row(spark, write_raw, calendar, meta, tmp_path):
+    """A file's rows of another month neither replace nor remove that month."""
+    for load in ("stream", "backfill"):
+        table = str(tmp_path / load)
+        tables.write_months(processed(spark, (1, 2024, 1)), table)
+        folder = write_raw({"d12_2024_02.txt": days(2, FEBRUARY) + days(2, JANUARY[:1])})
+        got = (stream(spark, folder, table, str(tmp_path / "mark"), meta, calendar) if load == "stream"
+               else rows_of(backfill(spark, folder, table, meta, calendar)))
+        assert [r[:3] for r in got] == [(1, 2024, 1), (2, 2024, 2)]
+
+
+def test_a_month_without_its_files_is_not_replaced_by_a_part(spark, write_raw, calendar, meta, tmp_path):
+    late = {"d07_2024_01.txt": days(2, JANUARY, district=12)}
+    for kind in ("published", "plain"):
+        table = str(tmp_path / kind)
+        if kind == "published":
+            tables.write_months(processed(spark, (1, 2024, 1)), table)
+        else:
+            processed(spark, (1, 2024, 1)).write.partitionBy("year", "month_num").parquet(table)
+        with pytest.raises(ValueError, match="written without their files"):
+            backfill(spark, write_raw(late), table, meta, calendar)
+        with pytest.raises(Exception, match="written without their files"):
+            stream(spark, write_raw(late), table, str(tmp_path / f"mark-{kind}"), meta, calendar)
+        assert stations(tables.scan_processed(spark, table)) == [(1, 2024, 1)]
+
+
+def _touch(folder, name, lines, write_raw, seconds=5):
+    """Write a file anew, with another time stamp."""
+    path = pathlib.Path(folder) / name
+    path.write_text("\n".join(write_raw.line(r) for r in lines) + "\n" if lines else "")
+    stat = path.stat()
+    os.utime(path, (stat.st_atime, stat.st_mtime + seconds))
+
+
+def test_corrected_emptied_and_resent_files(spark, write_raw, calendar, meta, tmp_path):
+    """Stream, backfill and a fresh load agree after every change; a file of equal size is read again, an equal one is not."""
+    content = {"d12_2024_01.txt": days(1, JANUARY, flow=100.0), "d07_2024_01.txt": days(2, JANUARY, district=12), "d12_2024_02.txt": days(1, FEBRUARY)}
+    folder = write_raw(content)
+    by_stream, by_backfill, mark = str(tmp_path / "s"), str(tmp_path / "b"), str(tmp_path / "mark")
+    changes = [
+        None,
+        ("d12_2024_01.txt", days(1, JANUARY, flow=200.0)),                      # same size
+        ("d12_2024_01.txt", days(1, JANUARY, flow=200.0)),                      # the same again
+        ("d07_2024_01.txt", days(2, JANUARY, district=12, pct_obs=9)),          # no clean row left
+        ("d12_2024_02.txt", []),                                                # nothing left
+        ("d12_2024_02.txt", days(1, FEBRUARY) + days(2, FEBRUARY))]
+    loads = []
+    for step, change in enumerate(changes):
+        if change:
+            _touch(folder, *change, write_raw, seconds=5 * step)
+        fresh = rows_of(backfill(spark, folder, str(tmp_path / f"fresh{step}"), meta, calendar))
+        assert rows_of(backfill(spark, folder, by_backfill, meta, calendar)) == fresh
+        assert stream(spark, folder, by_stream, mark, meta, calendar) == fresh
+        known = {r.file: (r.rows, r.load) for r in known_files(spark, by_backfill).collect()}
+        assert len(known) == 3
+        loads.append(known)
+    assert loads[1] == loads[2] and loads[0]["d12_2024_01.txt"] != loads[1]["d12_2024_01.txt"]
+    assert loads[3]["d07_2024_01.txt"][0] == 0 and loads[4]["d12_2024_02.txt"][0] == 0
+    assert [r[:3] for r in rows_of(tables.scan_processed(spark, by_stream))] == [(1, 2024, 1), (1, 2024, 2), (2, 2024, 2)]
+
+
+def test_verify_reads_files_of_unchanged_size_and_time(spark, write_raw, calendar, meta, tmp_path):
+    folder, table = write_raw({"d12_2024_01.txt": days(1, JANUARY, flow=100.0)}), str(tmp_path / "t")
+    backfill(spark, folder, table, meta, calendar)
+    path = pathlib.Path(folder) / "d12_2024_01.txt"
+    stat = path.stat()
+    path.write_text(path.read_text().replace("100.0", "300.0"))
+    os.utime(path, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert rows_of(backfill(spark, folder, table, meta, calendar))[0][4] == 100.0
+    assert rows_of(backfill(spark, folder, table, meta, calendar, verify=True))[0][4] == 300.0
+
+
+def test_files_of_one_name_in_two_folders(spark, write_raw, calendar, meta, tmp_path):
+    root = tmp_path / "raw"
+    for name, station in (("north", 1), ("south +%20", 2)):
+        shutil.copytree(write_raw({"d12_2024_01.txt": days(station, JANUARY)}), root / name)
+    got = rows_of(backfill(spark, f"{root}/*", str(tmp_path / "t"), meta, calendar))
+    assert [r[0] for r in got] == [1, 2]
+    assert sorted(r.file for r in known_files(spark, str(tmp_path / "t")).collect()) == ["north/d12_2024_01.txt", "south +%20/d12_2024_01.txt"]
+    assert pathlib.Path(raw.root_of(spark, f"{root}/*")) == root
+
+
+def test_lists_of_files_are_put_together(spark, write_raw, calendar, meta, tmp_path, monkeypatch):
+    monkeypatch.setattr(months, "LISTS", 2)
+    table = str(tmp_path / "t")
+    for m in range(1, 6):
+        backfill(spark, write_raw({f"d12_2024_{m:02d}.txt": days(1, [f"{m:02d}/{d:02d}/2024 08:00:00" for d in range(5, 20)])}), table, meta, calendar)
+    assert len(versions.latest(spark, table).ledgers) <= 2
+    assert known_files(spark, table).count() == 5 and len(rows_of(tables.scan_processed(spark, table))) == 5
+
+
+def test_a_late_file_needs_no_other_file_and_no_other_month(spark, write_raw, calendar, meta, tmp_path):
+    table = str(tmp_path / "t")
+    first = {"d12_2024_01.txt": days(1, JANUARY) + days(2, JANUARY[:3]), "d12_2024_02.txt": days(1, FEBRUARY)}
+    folder = write_raw(first)
+    backfill(spark, folder, table, meta, calendar)
+    shutil.rmtree(folder)  # a folder of this test
+    late = {"d07_2024_01.txt": days(2, JANUARY[3:], flow=30.0) + days(2, JANUARY[3:4], flow=None)}
+    merged = rows_of(backfill(spark, write_raw(late), table, meta, calendar))
+    assert merged == rows_of(backfill(spark, write_raw({**first, **late}), str(tmp_path / "fresh"), meta, calendar))
+    found = months.states_of(spark, table, known_files(spark, table), [(2024, 1)])
+    read = [f for f in found.inputFiles() if "/_files/" not in f]
+    assert len(read) >= 2 and all("/_states/" in f and "month_num=1/" in f for f in read)
+    assert "date" not in found.columns and found.count() == 3  # a state for each group and file, not a row for each day
+
+
+def test_the_hook_gets_every_file_in_the_end(spark, write_raw, calendar, meta, tmp_path):
+    table, mark = str(tmp_path / "t"), str(tmp_path / "mark")
+    folder = write_raw({"d12_2024_02.txt": days(1, FEBRUARY), "d12_2024_01.txt": days(1, JANUARY), "d07_2024_01.txt": []})
+    tries, taken = {}, []
+
+    def hook(file):
+        tries[file.file] = tries.get(file.file, 0) + 1
+        if file.file == "d12_2024_01.txt" and tries[file.file] < 3:
+            raise OSError("not now")
+        taken.append((file.file, file.rows, file.bytes > 1))
+
+    run = lambda: ingest.upsert_stream(spark, folder, table, mark, meta, calendar, after_file=hook)
+    assert run() == 1 and taken == [("d07_2024_01.txt", 0, False), ("d12_2024_02.txt", 5, True)]
+    assert run() == 1 and len(taken) == 2
+    assert deliver(spark, table, hook) == (1, 0) and taken[2:] == [("d12_2024_01.txt", 7, True)]
+    assert run() == 0 and deliver(spark, table, hook) == (0, 0) and len(taken) == 3
+    _touch(folder, "d12_2024_02.txt", days(1, FEBRUARY, flow=1.0), write_raw)
+    assert run() == 0 and taken[3:] == [("d12_2024_02.txt", 5, True)]  # a new version
+
+
+@pytest.mark.parametrize("ok, expected", [(True, True), (False, False), (None, False), ("unreported", False)])
+def test_a_failed_upload_keeps_the_file(spark, ok, expected):
+    held = spark.createDataFrame([("raw", "f", "2025", "July"), ("raw", "old", "2020", "May")], "kind STRING, file_name STRING, year STRING, month STRING")
+    outcomes = spark.createDataFrame([] if ok == "unreported" else [("raw-rolling/2025-07/f", ok), ("raw-rolling/2025-07/f", False), (None, True)], "key STRING, ok BOOLEAN")
+    got = {r.file_name: (r.action, r.delete_local, r.lost) for r in files.retention(held, "2025-10-15", outcomes=outcomes).collect()}
+    assert got == {"f": ("upload", expected, False), "old": ("skip", True, True)}
