@@ -23,6 +23,8 @@ from stationhour.llm.staging import free_name
 from stationhour.session import write_shared
 
 BLOCK_BYTES = 1 << 20
+TASK_BYTES = 8 << 20  # of distinct rows in a task of a pass; more where that would make over MOST_TASKS
+MOST_TASKS = 4096
 _EXACT = 1 << 62  # sums of squares are 64-bit numbers below this estimate
 _ROUNDING = 1e-12
 
@@ -69,29 +71,32 @@ def fit_list(vectors: DataFrame, scale: float, shift: int) -> FitList:
             yield pa.RecordBatch.from_arrays([pa.array(_pack(rows), pa.binary())], names=["x"])
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {4: [], 8: []}
         for batch in batches:
-            held: dict[int, list[bytes]] = {4: [], 8: []}
             for x in batch.column(0).to_pylist():
                 own = held[len(x) // dims]
                 own.append(x)
                 if len(own) * len(x) >= BLOCK_BYTES:
                     yield emit(len(x) // dims, own)
                     own.clear()
-            for width, own in held.items():
-                if own:
-                    yield emit(width, own)
+        for width, own in held.items():
+            if own:
+                yield emit(width, own)
 
     def emit(width: int, rows: list[bytes]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([width], pa.int32()), pa.array([b"".join(rows)], pa.large_binary())], names=["width", "rows"])
 
-    distinct = vectors.mapInArrow(pack, "x binary").distinct()
-    blocks = write_shared(distinct.mapInArrow(block, "width int, rows binary"), "whitening_blocks")
+    # the tasks of a pass follow from the bytes, not from how the table was dealt
+    distinct = write_shared(vectors.mapInArrow(pack, "x binary").distinct(), "whitening_rows")
+    total = distinct.agg(F.sum(F.octet_length("x"))).first()[0] or 0
+    tasks = min(MOST_TASKS, 1 + total // TASK_BYTES)
+    blocks = write_shared(distinct.coalesce(tasks).mapInArrow(block, "width int, rows binary"), "whitening_blocks")
 
-    def add(x: np.ndarray) -> dict[str, list]:
-        return {"s": [str(sum(map(int, c))) if _large(x) else str(int(c.sum())) for c in x.T], "n": [str(len(x))]}
+    def add(x: np.ndarray) -> dict[str, np.ndarray]:
+        return {"s": x.astype(object).sum(axis=0) if _large(x) else x.sum(axis=0).astype(object), "n": np.array([len(x)], object)}
 
-    out = _summed(blocks, dims, add, "decimal(38,0)", lambda v: int(v))
-    return FitList(blocks, dims, int(out.get(("n", 0), 0)), np.array([int(out.get(("s", i), 0)) for i in range(dims)], object))
+    out = _summed(blocks, dims, add, exact=True)
+    return FitList(blocks, dims, int(out["n"][0]) if out else 0, np.array([int(v) for v in out["s"]], object) if out else np.zeros(dims, object))
 
 
 def _large(x: np.ndarray) -> bool:
@@ -102,22 +107,27 @@ def _rows(width: int, data: bytes, dims: int) -> np.ndarray:
     return np.frombuffer(data, "<i4" if width == 4 else "<i8").reshape(-1, dims).astype(np.int64)
 
 
-def _summed(blocks: DataFrame, dims: int, of: Callable[[np.ndarray], dict[str, list]], kind: str, read: Callable) -> dict[tuple[str, int], object]:
-    """Sums over all blocks of what ``of`` says of one block; one number an entry comes back."""
-    text = kind.startswith("decimal")
+def _summed(blocks: DataFrame, dims: int, of: Callable[[np.ndarray], dict[str, np.ndarray]], exact: bool = False) -> dict[str, np.ndarray]:
+    """Sums over all blocks of what ``of`` says of one block, added up in each task and then over the tasks; ``exact`` for whole numbers."""
+    kind = "string" if exact else "double"
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, np.ndarray] = {}
         for batch in batches:
             for width, data in zip(batch.column(0), batch.column(1), strict=True):
-                found = of(_rows(width.as_py(), data.as_py(), dims))
-                flat = [(name, i, v) for name, values in found.items() for i, v in enumerate(values)]
-                names, places, values = zip(*flat, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(places, pa.int32()), pa.array(values, pa.string() if text else pa.float64())],
-                                                 names=["name", "place", "value"])
+                for name, values in of(_rows(width.as_py(), data.as_py(), dims)).items():
+                    total[name] = total[name] + values if name in total else values
+        for name, values in total.items():
+            flat = [str(v) for v in values] if exact else values.tolist()
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(flat)), pa.array(range(len(flat)), pa.int32()),
+                                              pa.array(flat, pa.string() if exact else pa.float64())], names=["name", "place", "value"])
 
-    rows = blocks.mapInArrow(each, f"name string, place int, value {'string' if text else 'double'}")
-    total = rows.groupBy("name", "place").agg(F.sum(F.col("value").cast(kind)).alias("value"))
-    return {(r.name, r.place): read(r.value) for r in total.collect()}
+    rows = blocks.mapInArrow(each, f"name string, place int, value {kind}")
+    value = F.sum(F.col("value").cast("decimal(38,0)")) if exact else F.sum("value")
+    found: dict[str, dict[int, object]] = {}
+    for r in rows.groupBy("name", "place").agg(value.alias("value")).collect():
+        found.setdefault(r.name, {})[r.place] = r.value
+    return {name: np.array([values[i] for i in range(len(values))], object if exact else np.float64) for name, values in found.items()}
 
 
 def _centred(x: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:
@@ -156,12 +166,12 @@ def bidiagonalise(fit: FitList, steps: int | None = None, seed: int = 5) -> tupl
 
     def products(p: np.ndarray) -> tuple[np.ndarray, float]:
         """``X'(X p)`` and the squared length of ``X p``."""
-        def of(x: np.ndarray) -> dict[str, list]:
+        def of(x: np.ndarray) -> dict[str, np.ndarray]:
             rows = _centred(x, n, sums)
             w = rows @ p
-            return {"t": (rows.T @ w).tolist(), "square": [float(w @ w)]}
-        found = _summed(fit.blocks, dims, of, "double", float)
-        return np.array([found.get(("t", i), 0.0) for i in range(dims)]), found.get(("square", 0), 0.0)
+            return {"t": rows.T @ w, "square": np.array([w @ w])}
+        found = _summed(fit.blocks, dims, of)
+        return found["t"], float(found["square"][0])
 
     rng = np.random.default_rng(seed)
     most = min(dims, steps or dims)
@@ -215,15 +225,17 @@ def components(fit: FitList, count: int, steps: int | None = None) -> Components
     vectors = vectors / np.linalg.norm(vectors, axis=0) if len(keep) else vectors
     vectors = vectors * np.where(vectors[np.abs(vectors).argmax(axis=0), range(len(keep))] < 0, -1.0, 1.0) if len(keep) else vectors
 
-    def of(x: np.ndarray) -> dict[str, list]:
+    def of(x: np.ndarray) -> dict[str, np.ndarray]:
         rows = _centred(x, n, sums)
         white = rows @ vectors / np.sqrt(values)
-        return {"trace": [float((rows * rows).sum())], "mean": white.sum(axis=0).tolist(), "white": (white.T @ white).ravel().tolist()}
-
-    found, k = _summed(fit.blocks, dims, of, "double", float), len(keep)
-    mean = np.array([found[("mean", i)] for i in range(k)]) / n
-    spread = np.array([found[("white", i)] for i in range(k * k)]).reshape(k, k) / n - np.outer(mean, mean)
-    return Components(vectors, values, found[("trace", 0)] / n, float(np.abs(spread - np.eye(k)).max(initial=0.0)))
+        return {"trace": np.array([(rows * rows).sum()]), "mean": white.sum(axis=0), "white": (white.T @ white).ravel()}
+
+    if not keep:
+        return Components(vectors, values, 0.0, 0.0)
+    found, k = _summed(fit.blocks, dims, of), len(keep)
+    mean = found["mean"] / n
+    spread = found["white"].reshape(k, k) / n - np.outer(mean, mean)
+    return Components(vectors, values, float(found["trace"][0]) / n, float(np.abs(spread - np.eye(k)).max(initial=0.0)))
 
 
 def whiten(rows: DataFrame, count: int = 16, vector: str = "embedding", scale: float = 64.0, shift: int = 1_000_000, steps: int | None = None) -> DataFrame:
