@@ -817,9 +817,7 @@ def _(i: Inputs) -> DataFrame:
     cents = events.withColumn("value", F.round(F.col("value") * 100).cast("int"))
     counts = windows.windowed_value_counts(cents, "ts", ["event_type"], "value")
     table = shared_path(i.spark, "stream-counts")
-    ingest.append_stream(counts, table, shared_path(i.spark, "stream-mark"))
-    emitted = i.spark.read.schema(counts.schema).parquet(table)
-    cents_now = i.table("events").withColumn("value", F.round(F.col("value") * 100).cast("int"))
-    whole = windows.with_open_windows(emitted, cents_now, "ts", ["event_type"], "value")
+    windows.upsert_counts(counts, table, shared_path(i.spark, "stream-mark"))
+    whole = windows.current_counts(i.spark, table, counts.schema)
     return windows.window_summary(whole, ["event_type"]).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "rows", "mean_value", "median_value")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationhour.functions.quantiles import quantiles_of_counts
+from stationhour.functions.quantiles import refined_quantiles
 from stationhour.operators.summary import GROUP_KEYS, INPUT_COLUMNS, finished
 from stationhour.functions.scalar import nan_to_null
 from stationhour.schemas import CLEAN_TYPES, MEASURES, Params
@@ -90,6 +90,6 @@ def summary_of_states(states: DataFrame, params: Params = Params()) -> DataFrame
         pairs = F.array(*[F.struct(F.lit(s).alias("measure"), F.col(f"{s}_values").alias("values")) for s in MEASURES.values()])
         counts = (states.select(*GROUP_KEYS, F.explode(pairs).alias("p")).select(*GROUP_KEYS, "p.measure", F.explode("p.values").alias("value"))
                   .groupBy(*GROUP_KEYS, "measure", "value").agg(F.count(F.lit(1)).alias("n")))
-        medians = quantiles_of_counts(counts, GROUP_KEYS, {f"median_{s}": (s, 0.5) for s in MEASURES.values()})
+        medians = refined_quantiles(counts, GROUP_KEYS, {f"median_{s}": (s, 0.5) for s in MEASURES.values()})
         summary = summary.join(medians, GROUP_KEYS, "left")
     return finished(summary, params)

@@ -29,7 +29,7 @@ def _plain(rows: DataFrame) -> DataFrame:
 
 def _split(rows: DataFrame) -> DataFrame:
     medians = grouped_medians(rows, GROUP_KEYS, {
-        f"median_{suffix}": F.col(column) for column, suffix in MEASURES.items()})
+        f"median_{suffix}": F.col(column) for column, suffix in MEASURES.items()}, refine=True)
     return rows.groupBy(*GROUP_KEYS).agg(*_moments()).join(medians, GROUP_KEYS, "left")
 
 
@@ -39,7 +39,7 @@ def station_hour_summary(clean_rows: DataFrame, params: Params = Params()) -> Da
 
     Rows with a null key drop out; NaN counts as null. ``params.medians`` chooses between two exact ways: "buffered" keeps a
     group's distinct values in one buffer (a detector has some thirty rows an hour and month), in one shuffle; "split" counts
-    values first and spreads them, for stations whose groups outgrow a task.
+    values first and narrows their ranges step by step (a few jobs), for stations whose groups outgrow a task.
     """
     if params.medians not in ("buffered", "split"):
         raise ValueError(f"unknown medians: {params.medians}")

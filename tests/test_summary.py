@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from conftest import FEBRUARY, JANUARY
 from stationhour.functions.numbering import number_rows
-from stationhour.functions.quantiles import grouped_quantiles, value_bucket
+from stationhour.functions.quantiles import grouped_quantiles, quantiles_of_counts, refined_quantiles, value_bucket, value_counts
 from stationhour.functions.scalar import nan_to_null
 from stationhour.operators import enrichment
 from stationhour.operators.cleaning import clean
+from stationhour.operators.partials import STATE_SCHEMA, file_states, summary_of_states
 from stationhour.operators.summary import station_hour_summary
 from stationhour.plans.months import month_pipeline
 from stationhour.sources.tables import scan_meta
-from stationhour.schemas import META_SCHEMA, Params
+from stationhour.schemas import META_SCHEMA, STATISTICS, SUMMARY_KEYS, Params
 
 PLAIN = Params()
 SPLIT = Params(medians="split")
@@ -152,3 +153,64 @@ def test_summary_plan(spark, random_rows, calendar, meta, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan parquet") == 1 and "partial_percentile" in text
     assert "BroadcastHashJoin" in text and "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+# ---------------------------------------------------------------- narrowed ranges and merged states
+
+QUARTILES = {"low": ("flow", 0.25), "mid": ("flow", 0.5), "high": ("speed", 0.9), "least": ("speed", 0.0), "most": ("flow", 1.0)}
+
+
+@pytest.mark.parametrize("buckets, bound", [(2, 1), (7, 3), (1024, 4096)])
+def test_refined_quantiles_match_numpy(spark, buckets, bound):
+    rng = np.random.default_rng(2)
+    rows = [(g, float(v), s) for g in range(4) for v, s in zip(
+        [rng.normal(60, 1e-9, 50), rng.lognormal(0, 30, 50), np.repeat([1.0, -5.0], 25), rng.integers(-3, 3, 50) * 1e300][g], rng.random(50).tolist(), strict=True)]
+    rows += [(9, 5.0, None), (8, None, None), (None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "g INT, flow DOUBLE, speed DOUBLE")
+    counts = value_counts(df, ["g"], {"flow": F.col("flow"), "speed": F.col("speed")})
+    got = {r.g: r for r in refined_quantiles(counts, ["g"], QUARTILES, buckets=buckets, bound=bound).collect()}
+    plain = {r.g: r for r in quantiles_of_counts(counts, ["g"], QUARTILES).collect()}
+    assert set(got) == set(plain) == {0, 1, 2, 3, 9}
+    for g, row in got.items():
+        for name, (column, fraction) in QUARTILES.items():
+            values = sorted(v for v in ((r[1] if column == "flow" else r[2]) for r in rows if r[0] == g) if v is not None)
+            if not values:
+                assert row[name] is None
+                continue
+            at = fraction * (len(values) - 1)
+            a, b = values[int(np.floor(at))], values[int(np.ceil(at))]
+            want = a if a == b else a * (1 - (at - np.floor(at))) + b * (at - np.floor(at))
+            assert row[name] == want == plain[g][name]
+
+
+def test_crowded_values_are_not_ordered_in_one_task(spark):
+    """Many distinct values near 60: the last step orders no more than the bound."""
+    values = spark.range(300_000).select(F.lit(1).alias("g"), (60 + F.col("id") * 1e-12).alias("value"), F.lit("speed").alias("measure"), F.lit(1).cast("long").alias("n"))
+    got = refined_quantiles(values, ["g"], {"m": ("speed", 0.5)}, buckets=64, bound=100)
+    assert got.first().m == pytest.approx(60 + 149_999.5e-12, abs=1e-12)
+    ordered = value_counts(values.withColumn("v", F.col("value")), ["g"], {"speed": F.col("v")}).groupBy("g", value_bucket(F.col("value"))).count()
+    assert ordered.count() == 1  # one bucket of the plain way has them all
+
+
+@pytest.mark.parametrize("params", [PLAIN, SPLIT])
+def test_merged_states_equal_the_summary(spark, random_rows, calendar, params):
+    rows = clean(random_rows, calendar).withColumn("file", F.concat(F.lit("f"), F.pmod(F.xxhash64("date", "flow"), F.lit(5)).cast("string")))
+    want = {tuple(r[k] for k in SUMMARY_KEYS): r for r in station_hour_summary(rows, params).collect()}
+    states = file_states(rows, params)
+    got = {tuple(r[k] for k in SUMMARY_KEYS): r for r in summary_of_states(states, params).collect()}
+    assert set(got) == set(want) and len(got) > 20
+    for key, r in got.items():
+        assert r.days_observed == want[key].days_observed
+        for name in STATISTICS:
+            assert r[name] == (pytest.approx(want[key][name], rel=1e-9, abs=1e-9) if want[key][name] is not None else None)
+    assert states.schema.names == STATE_SCHEMA.names
+
+
+def test_states_of_large_values_close_together(spark, calendar, raw_rows):
+    """Squared deviations are merged pair by pair, not from sums of squares."""
+    rows = raw_rows(*[{"station": 1, "time_stamp_string": t, "flow": 1e9 + i} for i, t in enumerate(JANUARY)])
+    parts = clean(rows, calendar).withColumn("file", F.col("flow").cast("string"))
+    found = summary_of_states(file_states(parts)).first()
+    assert found.sd_flow == pytest.approx(np.std(np.arange(len(JANUARY)), ddof=1), rel=1e-12) and found.median_flow == 1e9 + (len(JANUARY) - 1) / 2
+    nothing = summary_of_states(file_states(parts.withColumn("flow", F.lit(None).cast("double")))).first()
+    assert (nothing.avg_flow, nothing.sd_flow, nothing.median_flow, nothing.days_observed) == (None, None, None, len(JANUARY))
