@@ -51,6 +51,55 @@ def kpis_global(df: DataFrame, selection: Selection = Selection()) -> DataFrame:
                        F.coalesce("k.routes", F.lit(0)).alias("routes"), "k.avg_speed", "k.avg_flow")
 
 
+# the charts that sums and counts are enough for, and the columns that each of them groups by
+CHART_SETS = {"figures": ["station", "route"], "bars": [*ROUTE_MONTH, "letter"], "hours": ["hour", "year"]}
+
+
+def chart_sums(df: DataFrame) -> DataFrame:
+    """Sums and counts of flow and speed for key figures, monthly bars and speed by hour, from one scan: a row for each group of each of ``CHART_SETS``,
+    whose name is in ``chart``."""
+    speed, flow = to_number(F.col("avg_speed")), to_number(F.col("avg_flow"))
+    rows = df.withColumns({"letter": direction_letter(), "speed": speed, "flow": flow})
+    keys = list(dict.fromkeys(c for columns in CHART_SETS.values() for c in columns))
+    sums = rows.groupingSets([[F.col(c) for c in columns] for columns in CHART_SETS.values()], *keys).agg(
+        F.grouping_id().alias("absent"), F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_n"),
+        F.sum("flow").alias("flow_sum"), F.count("flow").alias("flow_n"))
+    bits = {name: sum(1 << i for i, c in enumerate(reversed(keys)) if c not in columns) for name, columns in CHART_SETS.items()}
+    chart = F.coalesce(*[F.when(F.col("absent") == n, F.lit(name)) for name, n in bits.items()])
+    return sums.select(chart.alias("chart"), *keys, "speed_sum", "speed_n", "flow_sum", "flow_n")
+
+
+def _of_chart(sums: DataFrame, name: str) -> DataFrame:
+    return sums.where(F.col("chart") == name).select(*CHART_SETS[name], "speed_sum", "speed_n", "flow_sum", "flow_n")
+
+
+def kpis_of_sums(sums: DataFrame) -> DataFrame:
+    """As ``kpis``."""
+    return _of_chart(sums, "figures").agg(*_total_figures())
+
+
+def speed_by_hour_of_sums(sums: DataFrame) -> DataFrame:
+    """As ``speed_by_hour``."""
+    known = _of_chart(sums, "hours").where("speed_n > 0").dropna(subset=["hour", "year"])
+    return known.select("hour", "year", (F.col("speed_sum") / F.col("speed_n")).alias("avg_speed"))
+
+
+def route_month_one_way_of_sums(sums: DataFrame, dense: bool = True) -> DataFrame:
+    """As ``route_month_one_way``."""
+    rows = _route_rows(_of_chart(sums, "bars")).groupBy(*ROUTE_MONTH).agg(F.sum("flow_sum").alias("s"), F.sum("flow_n").alias("n"))
+    return _by_month(rows.where("n > 0").select(*ROUTE_MONTH, (F.col("s") / F.col("n")).alias("bar_value")), dense)
+
+
+def route_month_two_way_of_sums(sums: DataFrame, dense: bool = True) -> DataFrame:
+    """As ``route_month_two_way``."""
+    rows = _of_chart(sums, "bars").dropna(subset=["route"])
+    measured = (F.col("flow_n") > 0) & F.col("year").isNotNull() & F.col("month_num").isNotNull()
+    mean_of = lambda letter: F.max(F.when(measured & (F.col("letter") == letter), F.col("flow_sum") / F.col("flow_n")))
+    means = rows.groupBy(*ROUTE_MONTH).agg(*[mean_of(letter).alias(letter) for letter in "NSEW"],
+                                           F.max(F.col("letter").isin("N", "S")).alias("north_south"), F.max(measured).alias("measured"))
+    return _two_way(means, dense)
+
+
 def every_route_month(values: DataFrame) -> DataFrame:
     """Complete each (route, year) present to twelve months; months without values are null.
 
@@ -89,6 +138,10 @@ def route_month_two_way(df: DataFrame, dense: bool = True) -> DataFrame:
         *[mean_of(letter).alias(letter) for letter in "NSEW"],
         F.max(F.col("letter").isin("N", "S")).alias("north_south"),
         F.max(measured).alias("measured"))
+    return _two_way(means, dense)
+
+
+def _two_way(means: DataFrame, dense: bool) -> DataFrame:
     # twelve rows per route and year: the switch is a property of the whole route
     switched = (means.withColumn("north_south", F.max("north_south").over(W.partitionBy("route")))
                 .where("measured"))
@@ -100,10 +153,13 @@ def route_month_two_way(df: DataFrame, dense: bool = True) -> DataFrame:
 
 
 def route_month_per_lane(df: DataFrame, dense: bool = True) -> DataFrame:
-    """Median flow per lane per route, year and month; absent months are null. Every year with flow on the route has its months, also
-    one without any lane count."""
+    """Median flow per lane per route, year and month; absent months are null. A route with any lane count has the months of every year with
+    flow, also of one without; a route without any has no line."""
     rows = _route_rows(df.withColumn("per_lane", flow_per_lane(df.columns)), "avg_flow")
-    medians = grouped_medians(rows, ROUTE_MONTH, {"line_value": F.col("per_lane"), "flow": F.col("avg_flow")}).drop("flow")
+    medians = grouped_medians(rows, ROUTE_MONTH, {"line_value": F.col("per_lane"), "flow": F.col("avg_flow")})
+    # twelve rows per route and year
+    any_lane = F.max(F.col("line_value").isNotNull()).over(W.partitionBy("route"))
+    medians = medians.withColumn("any_lane", any_lane).where("any_lane").select(*ROUTE_MONTH, "line_value")
     return _by_month(medians if dense else medians.where("line_value IS NOT NULL"), dense)
 
 

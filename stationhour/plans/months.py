@@ -111,10 +111,11 @@ def load_files(spark: SparkSession, listed: DataFrame, table: str, meta: DataFra
         raise ValueError(f"{table} holds months that were written without their files: {foreign}; load these files into a new table, or remove the months")
     given: dict[str, int] = {}
     if paths := [r["file_path"] for r in fresh if r["bytes"]]:
-        rows = raw_source.scan_raw(spark, paths, origin=True)
         if strict_file:
-            bad = raw_source.quarantine(spark, paths, params).where(F.col("reason") != raw_source.ANOTHER_MONTH)
-            rows = raw_source.without_bad_files(rows, bad)
+            rows, rejected = raw_source.scan_checked(spark, paths, params)
+            rows = raw_source.without_bad_files(rows, rejected.where(F.col("reason") != raw_source.ANOTHER_MONTH))
+        else:
+            rows = raw_source.scan_raw(spark, paths, origin=True)
         own = clean(rows, calendar, params).where(in_name_period(F.col("file_name"), F.col("date")))
         own = own.withColumn("file", raw_source.file_id(raw_source.decoded(F.col("file_path")), root))
         file_states(own, params).hint("rebalance", *PERIOD).write.partitionBy(*PERIOD).parquet(f"{base}/_states/load={load}")

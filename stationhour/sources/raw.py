@@ -119,17 +119,9 @@ def scan_raw(spark: SparkSession, paths: str | Iterable[str], *, origin: bool =
     return _with_origin(typed(named))
 
 
-def quarantine(spark: SparkSession, paths: str | Iterable[str], params: Params = Params()) -> DataFrame:
-    """Rows that a strict reader would refuse: (file_path, file_name, reason, record).
-
-    These are rows with too many fields, an unreadable number or a fraction where a whole number belongs, and rows of
-    sufficient quality with an unreadable time stamp or, in a file whose name holds a period, one of another month.
-    """
-    paths = paths if isinstance(paths, str) else list(paths)
-    rows = (spark.read.option("pathGlobFilter", RAW_GLOB).text(paths)
-            .select(F.col("value").alias("record"), F.split("value", ",").alias("fields"),
-                    F.col("_metadata.file_path").alias("file_path"),
-                    F.col("_metadata.file_name").alias("file_name")))
+def _with_reason(rows: DataFrame, params: Params) -> DataFrame:
+    """Lines (record, file_path, file_name) with their fields and the reason why a strict reader would refuse them, null of good ones."""
+    rows = rows.withColumn("fields", F.split("record", ","))
     text = [i for i, f in enumerate(RAW_SCHEMA) if f.dataType.typeName() == "string"]
     numbers = F.filter("fields", lambda value, i: ~i.isin(*text))
     integers = F.array(*[F.get("fields", F.lit(RAW_COLUMNS.index(c))) for c in INT_RAW])
@@ -142,7 +134,37 @@ def quarantine(spark: SparkSession, paths: str | Iterable[str], params: Params =
     reason = (F.when(F.size("fields") > len(RAW_COLUMNS), "too many fields")
               .when(unreadable, "unreadable value").when(used & stamp.isNull(), "unreadable time stamp")
               .when(foreign, ANOTHER_MONTH))
-    return rows.select("file_path", "file_name", reason.alias("reason"), "record").where("reason IS NOT NULL")
+    return rows.withColumn("reason", reason)
+
+
+def _lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    paths = paths if isinstance(paths, str) else list(paths)
+    return (spark.read.option("pathGlobFilter", RAW_GLOB).text(paths)
+            .select(F.col("value").alias("record"), F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name")))
+
+
+def quarantine(spark: SparkSession, paths: str | Iterable[str], params: Params = Params()) -> DataFrame:
+    """Rows that a strict reader would refuse: (file_path, file_name, reason, record).
+
+    These are rows with too many fields, an unreadable number or a fraction where a whole number belongs, and rows of
+    sufficient quality with an unreadable time stamp or, in a file whose name holds a period, one of another month.
+    """
+    return _with_reason(_lines(spark, paths), params).select("file_path", "file_name", "reason", "record").where("reason IS NOT NULL")
+
+
+def scan_checked(spark: SparkSession, paths: str | Iterable[str], params: Params = Params()) -> tuple[DataFrame, DataFrame]:
+    """(typed rows as ``scan_raw`` gives them with their origin, rejected rows as ``quarantine`` does) from one pass over the text.
+
+    Each line is parsed once and written with its typed columns and, if it is refused, with reason and record; both results read what was written. A line is
+    cut at every comma, so this is for files without quoted fields.
+    """
+    lines = _with_reason(_lines(spark, paths).where("record <> ''"), params)
+    kinds = {f.name: f.dataType for f in RAW_TEXT_SCHEMA}
+    values = [F.nullif(F.get("fields", F.lit(i)), F.lit("")).try_cast(kinds[c]).alias(c) for i, c in enumerate(RAW_COLUMNS)]
+    refused = F.col("reason").isNotNull()
+    checked = write_shared(lines.select(*values, "file_path", "file_name", "reason", F.when(refused, F.col("record")).alias("record")), "checked-lines")
+    rows = _with_origin(typed(checked.drop("reason", "record")))
+    return rows, checked.where(refused).select("file_path", "file_name", "reason", "record")
 
 
 def without_bad_files(rows: DataFrame, bad: DataFrame) -> DataFrame:

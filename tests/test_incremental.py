@@ -533,3 +533,20 @@ def test_a_failed_upload_keeps_the_file(spark, ok, expected):
     outcomes = spark.createDataFrame([] if ok == "unreported" else [("raw-rolling/2025-07/f", ok), ("raw-rolling/2025-07/f", False), (None, True)], "key STRING, ok BOOLEAN")
     got = {r.file_name: (r.action, r.delete_local, r.lost) for r in files.retention(held, "2025-10-15", outcomes=outcomes).collect()}
     assert got == {"f": ("upload", expected, False), "old": ("skip", True, True)}
+
+
+def test_one_pass_gives_rows_and_rejected_lines(spark, write_raw):
+    folder = write_raw({
+        "a_2024_01.txt.gz": [{}, write_raw.line({}) + ",1", {"flow": "abc"}, {"time_stamp_string": "bad"}, {"station": 1201.0, "pct_obs": 87.5}, {"station": 1.5},
+                             {"speed": "NaN", "length": None, "type": None}, {"time_stamp_string": FEBRUARY[0]}, ",".join(write_raw.line({}).split(",")[:20]), ""],
+        "none.txt": [{"district": "NaN", "flow": " 7 "}]})
+    rows, rejected = raw.scan_checked(spark, folder)
+    columns = sorted(rows.columns)
+    plain = raw.scan_raw(spark, folder, origin=True)
+    assert sorted(plain.columns) == columns and {f.name: f.dataType for f in plain.schema} == {f.name: f.dataType for f in rows.schema}
+    text = lambda df: sorted(str([r[c] for c in columns]) for r in df.collect())
+    assert text(rows) == text(plain)
+    assert sorted(map(str, rejected.collect())) == sorted(map(str, raw.quarantine(spark, folder).collect())) and rejected.count() == 6
+    for df in (rows, rejected):  # the text was read for the written lines alone
+        plan = df._jdf.queryExecution().toString()
+        assert "parquet" in plan and "Format: Text" not in plan and "Format: CSV" not in plan

@@ -205,3 +205,24 @@ def test_no_python_in_any_plan(small):
     for name, frame in frames.items():
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Cartesian" not in plan and "BroadcastNestedLoop" not in plan, name
+
+
+def test_charts_of_one_aggregate_equal_the_single_ones(spark, small):
+    odd = small.limit(20).withColumns({"route": F.lit(None).cast("int"), "avg_flow": F.lit(None).cast("double")})
+    odd = odd.unionByName(small.limit(20).withColumns({"year": F.lit(None).cast("int"), "avg_speed": F.lit(float("nan"))}))
+    odd = odd.unionByName(small.where("route = 22").withColumns({"direction": F.lit("N"), "avg_flow": F.lit(None).cast("double")}).limit(3))
+    every = small.unionByName(odd.select(*small.columns))
+    sums = metrics.chart_sums(every)
+    pairs = [(metrics.kpis, metrics.kpis_of_sums), (metrics.speed_by_hour, metrics.speed_by_hour_of_sums),
+             (metrics.route_month_one_way, metrics.route_month_one_way_of_sums), (metrics.route_month_two_way, metrics.route_month_two_way_of_sums)]
+    for plain, merged in pairs:
+        a, b = plain(every), merged(sums)
+        assert a.columns == b.columns
+        keys = [c for c in a.columns if c not in ("avg_speed", "avg_flow", "bar_value")]
+        left, right = ({tuple(r[k] for k in keys): r for r in df.collect()} for df in (a, b))
+        assert set(left) == set(right) and left
+        for key, r in left.items():
+            for c in set(a.columns) - set(keys):
+                assert right[key][c] == (pytest.approx(r[c], rel=1e-12, nan_ok=True) if r[c] is not None else None)
+    scans = sums._jdf.queryExecution().executedPlan().toString()
+    assert scans.count("Expand") == 1
