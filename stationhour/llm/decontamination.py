@@ -6,7 +6,7 @@ training texts are hashed and joined; around every hit the item and the text are
 the overlap is verified token by token, substitutions allowed.
 
 The test items are the stated query set: they go to the tasks in blocks of bounded size, one scan of the corpus
-for each block. Nothing of the corpus is shuffled or collected.
+for each block; the plan, and so the driver, holds all blocks. Nothing of the corpus is shuffled or collected.
 """
 
 from __future__ import annotations
@@ -103,8 +103,9 @@ class Items:
             order = np.argsort(seeds, kind="stable")
             self.index.append((mask, seeds[order], places[order]))
 
-    def overlaps(self, data: np.ndarray, bounds: np.ndarray, reach: int = 64):
-        """(row, item, matched, first word, words) of verified overlaps, the best of each row and item."""
+    def overlaps(self, data: np.ndarray, bounds: np.ndarray, cells: int = 1 << 22):
+        """(row, item, matched, first word, words) of verified overlaps, the best of each row and item. ``cells`` bounds the words that are laid side by side at
+        a time; one alignment is never cut."""
         empty = (np.empty(0, np.int64),) * 5
         tokens, at = _tokens(data, bounds)
         hit_at, hit_item = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -120,40 +121,43 @@ class Items:
             return empty
         row = np.searchsorted(at, where, "right") - 1
         item = np.searchsorted(self.bounds, there, "right") - 1
-        # hits on one diagonal within ``reach`` tokens are one alignment, seen from the first of them
-        key = np.lexsort((where, where - there, item, row))
-        same = np.stack([row, item, where - there, where // reach])[:, key]
+        # hits on one diagonal are one alignment
+        key = np.lexsort((where - there, item, row))
+        same = np.stack([row, item, where - there])[:, key]
         key = key[np.append(True, (same[:, 1:] != same[:, :-1]).any(axis=0))]
         where, there, row, item = where[key], there[key], row[key], item[key]
-        parts = [self._verify(tokens, at, where[i:i + 16384], there[i:i + 16384], row[i:i + 16384], item[i:i + 16384], reach)
-                 for i in range(0, len(where), 16384)]
+        back = np.minimum(where - at[row], there - self.bounds[item])
+        size = np.minimum(at[row + 1] - where, self.bounds[item + 1] - there) + back
+        part = np.cumsum(size) // cells
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        parts = [self._verify(tokens, at, (where - back)[a:b], (there - back)[a:b], size[a:b], row[a:b], item[a:b]) for a, b in pairwise(cuts)]
         row, item, matched, first, words = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((first, -words, -matched, item, row))
         keep = np.append(True, (row[order][1:] != row[order][:-1]) | (item[order][1:] != item[order][:-1]))[:len(order)]
         order = order[keep]
         return row[order], item[order], matched[order], first[order], words[order]
 
-    def _verify(self, tokens, at, where, there, row, item, reach: int):
-        """Overlaps along the diagonals of hits: all windows of ``least`` words with enough equal ones, united."""
-        least, share = self.least, self.share
-        steps = np.arange(-reach, 2 * reach)
-        x, y = where[:, None] + steps, there[:, None] + steps
-        inside = (x >= at[row][:, None]) & (x < at[row + 1][:, None]) & (y >= self.bounds[item][:, None]) & (y < self.bounds[item + 1][:, None])
-        equal = inside & (tokens[np.clip(x, 0, len(tokens) - 1)] == self.tokens[np.clip(y, 0, len(self.tokens) - 1)])
-        sums = [np.concatenate([np.zeros((len(where), 1), np.int16), np.cumsum(m, axis=1, dtype=np.int16)], axis=1) for m in (inside, equal)]
-        needed = np.minimum(least, np.diff(self.bounds)[item])
-        end = np.minimum(np.arange(len(steps)) + needed[:, None], len(steps))
-        held, alike = (np.take_along_axis(c, end, axis=1) - c[:, :-1] for c in sums)
-        good = (held == needed[:, None]) & (alike >= np.ceil(share * needed - 1e-9)[:, None])
-        hit = np.flatnonzero(good.any(axis=1))
-        first = good[hit].argmax(axis=1)
-        last = len(steps) - 1 - good[hit][:, ::-1].argmax(axis=1) + needed[hit]
-        matched = (sums[1][hit, last] - sums[1][hit, first]).astype(np.int64)
-        return row[hit], item[hit], matched, where[hit] + steps[first] - at[row[hit]], last - first
+    def _verify(self, tokens, at, x, y, size, row, item):
+        """Overlaps along whole alignments, which begin at the words ``x`` and ``y`` and have ``size`` words: all windows of ``least`` words with enough
+        equal ones, united."""
+        equal = tokens[V.ragged(x, size)] == self.tokens[V.ragged(y, size)]
+        alike = np.concatenate([[0], np.cumsum(equal)])
+        edge = np.concatenate([[0], np.cumsum(size)])
+        needed = np.minimum(self.least, np.diff(self.bounds)[item])
+        window = np.repeat(needed, size)
+        begin = np.arange(len(equal))
+        end = begin + window
+        inside = end <= np.repeat(edge[1:], size)
+        good = np.flatnonzero(inside & (alike[np.minimum(end, len(equal))] - alike[begin] >= np.ceil(self.share * window - 1e-9)))
+        of = np.searchsorted(edge, good, "right") - 1
+        hit, one = np.unique(of, return_index=True)
+        first = good[one]
+        last = good[(np.append(one[1:], len(good)) - 1)[:len(hit)]] + needed[hit]
+        return row[hit], item[hit], (alike[last] - alike[first]).astype(np.int64), x[hit] + first - edge[hit] - at[row[hit]], last - first
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int, least: int, share: float) -> Iterator[Items]:
-    """The items in blocks of about ``block_bytes`` of text; the driver holds one at a time."""
+    """The items in blocks of about ``block_bytes`` of text."""
     ids, texts, size = [], [], 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
         ids.append(-1 if r.item_id is None else r.item_id)
@@ -173,8 +177,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 13, share:
     An overlap is made of stretches of ``least`` consecutive words (the whole item if it is shorter), case folded by Unicode, in each
     of which at least ``share`` are equal place by place; short items are searched at every place, also those of one word. Null
     and empty texts overlap with nothing; null ids are carried (a null item id as -1); repeated rows are reported
-    for each row. An empty benchmark gives an empty result. Longer overlaps
-    are reported within 128 words after and 64 before a seed.
+    for each row. An empty benchmark gives an empty result. An overlap of any length is reported whole, from the first to the last such stretch of one
+    alignment; of several alignments of a text and an item the one with most equal words.
     """
     schema = "doc_id long, item_id long, matched_words long, first_word long, overlap_words long"
     names = [x.split()[0] for x in schema.split(", ")]
