@@ -45,6 +45,36 @@ def test_stages(spark, tmp_path):
         rows = got
 
 
+ODD = [(1, "A clean text of the usual kind, which is long enough to tell its language by the words that it is made of.", "en", "s"), (2, None, "en", "s"), (3, "", None, None),
+       (4, "  ", "en", "s"), (5, "1 2 3", "en", "s"), (None, "Another text without any id that is also long enough to tell what language it is.", "en", None),
+       (6, "The very same words again and again in this long text. " * 3000, "en", "s"), (7, "Twice the same row of the table, word for word and id for id, as it may come.", "en", "s"),
+       (7, "Twice the same row of the table, word for word and id for id, as it may come.", "en", "s")]
+
+
+def odd(spark, rows=ODD):
+    full = [(i, t, lang, source, len(t or ""), "theirs", 0.5, "mine", 9) for i, t, lang, source in rows]
+    return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long, accepted string, Confidence double, chunk string, `row` int")
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_handle_odd_rows(spark, tmp_path, name, stage):
+    odd(spark).repartition(2).write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    out = stage(spark, docs, SMALL)
+    rows = out.collect()
+    empty = stage(spark, docs.filter("doc_id = -1"), SMALL)
+    assert empty.count() == 0
+    if name == "packing":
+        assert {r.doc_id for r in rows} == {i for i, *_ in ODD} and sum(r.doc_id == 7 and r.start == 0 for r in rows) == 2
+        return
+    assert out.columns == docs.columns == empty.columns
+    assert all((r.accepted, r.Confidence, r.chunk, r["row"]) == ("theirs", 0.5, "mine", 9) for r in rows)
+    ids = sorted(str(r.doc_id) for r in rows)
+    every = sorted(str(i) for i, *_ in ODD)
+    kept = {"language_id": ["1", "6", "7", "7", "None"], "jaccard_join": sorted(set(every))}.get(name, every)
+    assert ids == kept
+
+
 def test_queries_are_registered():
     numbers = {n.split("_")[0] for n in QUERIES}
-    assert {f"op{i}" for i in range(1, 11)} <= numbers
+    assert {f"op{i}" for i in range(1, 14)} <= numbers
