@@ -14,6 +14,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from stationhour.session import write_shared
+
 
 @dataclass(frozen=True)
 class Model:
@@ -78,7 +80,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, dictionary: i
         level: int = 3, sample_bytes: int = 24 << 20) -> Model:
     """Learn from at most ``per_class`` labelled rows of each class, held-out rows left out.
 
-    The sample is the rows with the smallest hashes of their ids, of whole texts, up to ``sample_bytes`` of text a class. Half
+    The sample is the rows with the smallest hashes of their ids, of whole texts, up to ``sample_bytes`` of text a class; a text that does
+    not fit any more is passed over. Of a repeated id one text counts. Half
     of them make the dictionaries, the other half the calibration, so that a dictionary never scores its own text.
     Rows without a label, id or text are no use here. Without rows of both classes every score is 0.5.
     """
@@ -87,14 +90,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, dictionary: i
         order = F.xxhash64(F.lit(label), "doc_id")
         chosen = (labels.filter((F.col("quality") == label) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id").distinct()
                   .orderBy(order, "doc_id").limit(per_class))
-        rows = docs.join(F.broadcast(chosen), "doc_id").filter(F.col("text").isNotNull()).select(order.alias("h"), "doc_id", "text")
-        got, size = [], 0
-        for r in sorted(rows.toLocalIterator()):
-            size += len(r.text)
-            if size > sample_bytes:
-                break
-            got.append(r.text.encode())
-        texts[label] = got
+        # one text of an id, however often the id is repeated
+        rows = write_shared(docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).filter("text IS NOT NULL"), "labelled_texts")
+        picked, left = [], sample_bytes
+        for r in rows.select(order.alias("h"), "doc_id", F.octet_length("text").alias("size")).orderBy("h", "doc_id").collect():  # numbers, per_class at most
+            if r["size"] <= left:
+                picked.append((len(picked), r.doc_id))
+                left -= r["size"]
+        places = docs.sparkSession.createDataFrame(picked, f"place int, doc_id {docs.schema['doc_id'].dataType.simpleString()}")
+        texts[label] = [r.text.encode() for r in rows.join(F.broadcast(places), "doc_id").orderBy("place").select("text").collect()]
     bad, good = texts[0], texts[1]
     if len(bad) < 2 or len(good) < 2:
         return Model(b"", b"", 0.0, 0.0, block, level)
