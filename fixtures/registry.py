@@ -314,6 +314,21 @@ def _(i: Inputs) -> DataFrame:
         F.array_join(F.map_keys(own), ",").alias("district_keys"))
 
 
+@query("page_leaves", """SELECT page_id, unnest(['labels,p' || page_id, 'labels,site', 'form_data,reid_raw,all',
+    'form_data,ft_' || (page_id % 5) || ',' || (1 + page_id % 12) || ',name', 'form_data,ft_' || (page_id % 5) || ',' || (1 + page_id % 12) || ',open']) AS path,
+  unnest(['page', 'freeway', 'all', 'first', CASE WHEN page_id % 2 = 0 THEN 'true' ELSE 'false' END]) AS value FROM pages WHERE page_id % 7 <> 0""")
+def _(i: Inputs) -> DataFrame:
+    """Catalogues with a level more than the fixed layout has; every seventh is not JSON."""
+    number = F.col("page_id")
+    literal = F.format_string(
+        '\n<script type="text/javascript">\n  YAHOO.bts.Data = {labels: {p%d: "page", site: "freeway"},\n'
+        '   form_data: {reid_raw: {all: "all"}, ft_%d: {%d: {name: "first", open: %s%s}}}}\n</script>\n',
+        number, number % 5, 1 + number % 12, F.when(number % 2 == 0, "true").otherwise("false"), F.when(number % 7 == 0, ' "').otherwise(""))
+    pages = i.table("pages").select("page_id", F.concat("html", literal).alias("html"))
+    leaves = documents.variant_leaves(documents.page_variants(pages).drop("html"))
+    return leaves.select("page_id", F.array_join("path", ",").alias("path"), "value")
+
+
 @query("file_type_options", "SELECT DISTINCT 'ft_' || (page_id % 5) AS file_type FROM pages UNION SELECT 'reid_raw' FROM pages")
 def _(i: Inputs) -> DataFrame:
     return documents.file_types(documents.page_catalogues(_pages(i)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The two labels that reports show.
 PEAK_LABEL = "Peak (7-9, 16-18)"
 OFF_PEAK_LABEL = "Off-peak"
 

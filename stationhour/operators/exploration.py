@@ -103,6 +103,11 @@ def peak_off_peak(df: DataFrame) -> DataFrame:
     return df.groupBy(peak_bucket(F.col("hour")).alias("period")).agg(F.avg("median_speed").alias("avg_median_speed"))
 
 
+# How the summary words its figures.
+FLOW_TEXT = "%.0f vehicles/hour"
+SPEED_TEXT = "%.1f mph"
+
+
 def data_summary(df: DataFrame, k: int = 5) -> DataFrame:
     """One row: distinct stations, mean flow and speed (also as text), top routes as text."""
     figures = df.agg(F.count_distinct("station").alias("total_stations"),
@@ -114,8 +119,8 @@ def data_summary(df: DataFrame, k: int = 5) -> DataFrame:
     both = figures.unionByName(ranked.select(names.alias("top_routes")), allowMissingColumns=True)
     one = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return one.select("total_stations",
-                      F.when(F.col("flow").isNotNull(), F.format_string("%.0f vehicles/hour", F.rint("flow"))).alias("average_flow"),
-                      F.when(F.col("speed").isNotNull(), F.format_string("%.1f mph", F.col("speed"))).alias("average_speed"),
+                      F.when(F.col("flow").isNotNull(), F.format_string(FLOW_TEXT, F.rint("flow"))).alias("average_flow"),
+                      F.when(F.col("speed").isNotNull(), F.format_string(SPEED_TEXT, F.col("speed"))).alias("average_speed"),
                       "top_routes")
 
 

@@ -21,6 +21,9 @@ def build_session(app: str = "stationhour", master: str | None = None, partition
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # the summary has many small groups per task; keep hashing instead of sorting them
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+        # months and files are given as paths: list some hundred on the driver, more in some tasks instead of one task each
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": "256",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     }
     if partitions:
         settings["spark.sql.shuffle.partitions"] = str(partitions)

@@ -74,3 +74,32 @@ def page_catalogues(pages: DataFrame, html: str = "html", variable: str = PAGE_V
     """Add ``labels`` and ``form_data`` found in each page; null where there is none."""
     found = pages.withColumn("catalogue", parse_catalogue(page_object_json(F.col(html), variable)))
     return found.select(*pages.columns, "catalogue.labels", "catalogue.form_data")
+
+
+def page_variants(pages: DataFrame, html: str = "html", variable: str = PAGE_VARIABLE, column: str = "catalogue") -> DataFrame:
+    """Add the whole object found in each page as a VARIANT, whatever its depth; null where there is none or it is not JSON."""
+    return pages.withColumn(column, F.try_parse_json(page_object_json(F.col(html), variable)))
+
+
+def variant_leaves(rows: DataFrame, column: str = "catalogue") -> DataFrame:
+    """The columns of ``rows`` but the variant, with a row for each of its leaves: path (keys from the root) and value as text.
+
+    Objects are opened level by level until none is left, a job a level; anything else, lists included, is a leaf (a JSON null one without a value). An empty object has none, and neither has a null variant.
+    """
+    others = [c for c in rows.columns if c != column]
+    level = rows.where(F.col(column).isNotNull()).select(*others, F.array().cast("array<string>").alias("path"), F.col(column).alias("node"))
+    found = []
+    while True:
+        level = level.withColumn("inner", F.col("node").try_cast("map<string,variant>"))
+        leaf = level.where("inner IS NULL")
+        text = F.coalesce(F.col("node").try_cast("string"), F.to_json("node"))
+        found.append(leaf.select(*others, "path", F.when(~F.is_variant_null("node"), text).alias("value")))
+        inner = level.where("inner IS NOT NULL")
+        if inner.isEmpty():
+            break
+        level = inner.select(*others, "path", F.explode("inner").alias("key", "node")).select(
+            *others, F.concat("path", F.array("key")).alias("path"), "node")
+    result = found[0]
+    for frame in found[1:]:
+        result = result.unionByName(frame)
+    return result

@@ -193,6 +193,17 @@ def test_page_catalogue(spark):
     assert [r.district for r in documents.districts(found).collect()] == [*documents.DISTRICTS, "3", "12"]
 
 
+def test_catalogues_of_any_depth(spark):
+    texts = [(1, '{"a": {"b": {"c": {"d": 1, "e": [1, {"x": 2}]}}}, "f": null, "g": {}, "h": true}'), (2, "not json"), (3, None), (4, "7"), (5, '{"a.b": {"c d": "t"}}')]
+    rows = spark.createDataFrame(texts, "id INT, text STRING").select("id", F.try_parse_json("text").alias("catalogue"))
+    got = sorted((r.id, tuple(r.path), r.value) for r in documents.variant_leaves(rows).collect() if r.value is not None)
+    assert got == [(1, ("a", "b", "c", "d"), "1"), (1, ("a", "b", "c", "e"), '[1,{"x":2}]'), (1, ("h",), "true"), (4, (), "7"), (5, ("a.b", "c d"), "t")]
+    page = "<script>\nYAHOO.bts.Data = {labels: {a: {b: {c: 1}}}}\n</script>"
+    pages = documents.page_variants(spark.createDataFrame([(1, page), (2, page.replace("1", "'")), (3, None)], "id INT, html STRING"))
+    assert [r.id for r in pages.where("catalogue IS NOT NULL").collect()] == [1]
+    assert documents.variant_leaves(pages.where("id = 3")).count() == 0
+
+
 @pytest.mark.parametrize("kind, year, month, expected", [
     ("processed", "2024", "September", ("upload", "processed/2024/f", False, False)),
     ("processed", None, None, ("upload", "processed/2025/f", False, False)),
