@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from stationhour.sources import versions
 from stationhour.sources.raw import whole
 from stationhour.schemas import MANIFEST_SCHEMA, META_KEYS, META_SCHEMA, META_VALUES, PERIOD, PROCESSED_SCHEMA
 
+LOG = logging.getLogger(__name__)
 YEARLY_GLOB = "*_station_hour_processed.parquet"
 
 
@@ -62,7 +65,7 @@ def scan_yearly_files(spark: SparkSession, folder: str, *, skip_corrupt: bool =
 
     Files are read by groups of equal schema and cast to the processed table's types, so that a column may be INT in one year and
     DOUBLE in another. A missing year comes from the file name, other expected columns are null, unknown ones drop out.
-    Unreadable files are skipped unless ``skip_corrupt`` is off. Without any file there are no rows.
+    Unreadable files are skipped, with a line in the log, unless ``skip_corrupt`` is off. Without any file there are no rows.
     """
     groups: dict[str, list[str]] = {}
     # one path for each file, a few a year
@@ -76,9 +79,10 @@ def scan_yearly_files(spark: SparkSession, folder: str, *, skip_corrupt: bool =
     for path in paths:
         try:
             groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-        except (AnalysisException, SparkException, Py4JJavaError):
+        except (AnalysisException, SparkException, Py4JJavaError) as error:
             if not skip_corrupt:
                 raise
+            LOG.warning("skipped %s: %s", path, str(error).splitlines()[0])
     result = spark.createDataFrame([], PROCESSED_SCHEMA)
     for group in groups.values():
         rows = spark.read.option("ignoreCorruptFiles", skip_corrupt).parquet(*group)
