@@ -3,10 +3,10 @@
 Only the first ``length`` bytes of a suffix matter: suffixes equal through that depth are exactly the
 repeated windows, so the full suffix array is never ordered.
 
-* The first digit is the window's anchor, the smallest-hashed gram inside it. It deals the suffixes to shards, and a counting
-  pass (32 bits an anchor) drops every suffix that is alone with its digit, the bulk of the corpus.
-* In a shard, the next digit is a 64-bit digest of the window's bytes; after it come the bytes themselves, eight
-  at a time. Groups that a digit leaves alone are done; the last digit ends at the threshold.
+* Suffixes are dealt to shards by the anchor of their window, the smallest-hashed gram inside it, which equal windows share; a counting
+  pass (32 bits an anchor) leaves out every suffix whose anchor is found once, the bulk of the corpus.
+* A shard orders its suffixes by passes over digits of eight bytes, from the first byte on (``radix_groups``). Groups of one leave
+  after each pass; the last digit ends at the threshold.
 """
 
 from __future__ import annotations
@@ -37,24 +37,36 @@ def _eights(data: np.ndarray, length: int) -> tuple[np.ndarray, list[int]]:
 
 
 def radix_groups(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """Number the suffixes at positions ``at`` by their first ``length`` bytes, equal ones alike."""
-    digest = V.Rolling(V.byte_values(data)).of(at, at + length)
+    """Rank the suffixes at positions ``at`` by their first ``length`` bytes, in the order of the bytes; equal ones have one rank.
+
+    The first pass orders all suffixes by their first eight bytes, the most significant digit. Every further pass takes the groups of
+    several suffixes and the next eight bytes; groups that these tell apart are ordered by them, groups of one leave. After the
+    last digit the groups left are the repeated windows.
+    """
     eights, steps = _eights(data, length)
-    by = np.argsort(digest, kind="stable")
-    new = np.append(True, digest[by][1:] != digest[by][:-1])
-    mixed = np.zeros(len(by), bool)
-    for step in steps:  # a pass per digit: is each group one group still?
-        digit = eights[at[by] + step]
-        mixed[1:] |= ~new[1:] & (digit[1:] != digit[:-1])
-    if mixed.any():  # windows with equal digests but other bytes: order by every digit
-        by = np.lexsort([eights[at + step] for step in reversed(steps)])
-        new = np.zeros(len(by), bool)
-        new[0] = True
-        for step in steps:
-            digit = eights[at[by] + step]
-            new[1:] |= digit[1:] != digit[:-1]
+    digit = eights[at]
+    by = np.argsort(digit, kind="stable")
+    digit = digit[by]
+    new = np.ones(len(by) + 1, bool)  # first places of groups, in order; the end is one
+    new[1:-1] = digit[1:] != digit[:-1]
+    open_ = np.flatnonzero(~(new[:-1] & new[1:]))
+    for step in steps[1:]:
+        if not len(open_):
+            break
+        digit, first = eights[at[by[open_]] + step], new[open_]
+        apart = np.zeros(len(open_), bool)
+        apart[1:] = ~first[1:] & (digit[1:] != digit[:-1])
+        if apart.any():
+            group = np.cumsum(first) - 1
+            mixed = np.zeros(int(group[-1]) + 1, bool)
+            mixed[group[apart]] = True
+            own = np.flatnonzero(mixed[group])
+            order = np.lexsort((digit[own], group[own]))
+            by[open_[own]], digit[own] = by[open_[own[order]]], digit[own[order]]
+            new[open_[1:]] |= ~first[1:] & (digit[1:] != digit[:-1])
+            open_ = open_[~(new[open_] & new[open_ + 1])]
     out = np.empty(len(by), np.int64)
-    out[by] = np.cumsum(new) - 1
+    out[by] = np.cumsum(new[:-1]) - 1
     return out
 
 

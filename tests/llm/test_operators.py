@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from stationhour.llm import (compression_quality, decontamination, html_text, ja
                              substring_dedup, suffix_dedup)
 
 SMALL = "/root/testdata/sf0.001"
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")
 
 LETTERS = "a b c d e f g h i j k l m n o p q r s"
@@ -71,18 +72,40 @@ def test_repeated_bytes(which, request):
     assert got == brute.repeated_bytes(pairs(docs))
 
 
-def test_radix_groups_survive_equal_digests(monkeypatch):
+@pytest.mark.parametrize("length", [3, 8, 12, 16, 50])
+def test_radix_groups_follow_the_bytes(length):
     import numpy as np
 
-    data = np.frombuffer(b"abcdefghij" * 6 + b"abcdefghix" * 3, np.uint8)
-    at = np.arange(len(data) - 12)
-    real = suffix_dedup.radix_groups(data, at, 12)
-    monkeypatch.setattr(suffix_dedup.V.Rolling, "of", lambda self, a, b: np.zeros(len(a), np.uint64))
-    forced = suffix_dedup.radix_groups(data, at, 12)
-    for groups in (real, forced):
-        for i in at:
-            for j in at:
-                assert (groups[i] == groups[j]) == (data[i:i + 12].tobytes() == data[j:j + 12].tobytes())
+    rng = random.Random(length)
+    texts = [b"abcdefghij" * 30, b"abcdefghix" * 9, bytes(rng.choice(b"ab") for _ in range(400)), bytes(rng.randrange(256) for _ in range(300)), b"\xff" * 70 + b"\x00" * 70]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    at = np.array(rng.sample(range(len(data) - length), len(data) - length))
+    ranks = suffix_dedup.radix_groups(data, at, length)
+    windows = [data[i:i + length].tobytes() for i in at]
+    place = {w: k for k, w in enumerate(sorted(set(windows)))}
+    assert ranks.tolist() == [place[w] for w in windows]
+    assert suffix_dedup.radix_groups(data, at[:1], length).tolist() == [0]
+
+
+def test_radix_passes_leave_finished_groups(monkeypatch):
+    """Each pass reads the next digit of those suffixes alone that share all digits so far."""
+    import numpy as np
+
+    read = []
+    real = suffix_dedup._eights
+
+    class Digits:
+        def __init__(self, digits):
+            self.digits = digits
+
+        def __getitem__(self, key):
+            read.append(len(key))
+            return self.digits[key]
+    monkeypatch.setattr(suffix_dedup, "_eights", lambda *a: (Digits(real(*a)[0]), real(*a)[1]))
+    data = np.frombuffer(b"".join([b"same" * 8, b"same" * 6 + b"other bytes"] + [bytes([65 + i]) * 32 for i in range(20)]), np.uint8)
+    at = np.array([0, 32] + [67 + 32 * i for i in range(20)])
+    assert len(set(suffix_dedup.radix_groups(data, at, 32).tolist())) == 22
+    assert read == [22, 2, 2, 2]
 
 
 def test_cut_text_stays_text(spark, tmp_path):
