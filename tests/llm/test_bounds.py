@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from itertools import product
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from stationhour.llm import compression_quality, decontamination, sharding
+from stationhour.llm import compression_quality, decontamination, sharding, substring_dedup
+from stationhour.llm.staging import stage
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -95,3 +98,60 @@ def test_shards_of_rows_without_an_order(spark):
     for s in range(3):
         own = sorted((r.slot, r.doc_id) for r in out if r.shard == s)
         assert [slot for slot, _ in own] == list(range(len(own))) and [i for _, i in own] != sorted(i for _, i in own)
+
+
+@pytest.mark.parametrize("length", [1, 5, 13])
+def test_sketch_never_underestimates(spark, length):
+    """Every window that is found twice in the table has counters of two or more in all rows, wherever its copies are."""
+    rows = [(i, " ".join(str((i * 7 + j * j) % 23) for j in range(40 + i))) for i in range(60)] + [(99, None), (98, "")]
+    staged = stage(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    hot = substring_dedup.repeated_counters(substring_dedup.window_sketches(staged, length), 4).collect()
+    by_chunk = {}
+    for r in hot:
+        places = substring_dedup._unpacked(r.counters).astype(np.uint64) | np.uint64(r.part << 24)
+        by_chunk.setdefault(r.chunk, set()).update(places.tolist())
+    seen, own = Counter(), {}
+    for r in staged.table.collect():
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        h = substring_dedup.Words(data, np.array([0, len(data)]), length).hashes
+        seen.update(map(tuple, h.T.tolist()))
+        own.setdefault(r[staged.chunk], []).append(h)
+    assert max(seen.values()) > 1
+    for chunk, hashes in own.items():
+        for h in hashes:
+            estimate = np.array([[p in by_chunk.get(chunk, ()) for p in substring_dedup.counters_of(h, k, staged.shards).tolist()]
+                                 for k in range(substring_dedup.ROWS)]).all(axis=0)
+            repeated = np.array([seen[tuple(x)] > 1 for x in h.T.tolist()], bool)
+            assert estimate[repeated].all()
+            assert (estimate & ~repeated).sum() == 0  # so few windows hardly collide in 2**32 counters
+
+
+def test_shared_phrase_is_not_one_group(spark):
+    """A phrase in all documents, other words around it: a shard gets a window at most once from each chunk, however many documents have it."""
+    phrase = " ".join(f"p{i}" for i in range(6))
+    full = " ".join(f"f{i}" for i in range(13))
+    rows = [(i, f"{' '.join(f'a{i}x{j}' for j in range(12))} {phrase} {' '.join(f'b{i}x{j}' for j in range(12))} {full} {full}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    staged = stage(docs)
+    counters = substring_dedup.repeated_counters(substring_dedup.window_sketches(staged, 13), 4)
+    found = substring_dedup.estimated_repeats(staged, 13, counters).filter("shard >= 0").collect()
+    sent = Counter(tuple(x) for r in found for x in np.frombuffer(r.hashes, np.uint64).reshape(2, -1).T.tolist())
+    # the thirteen words, and the turns of them that the second copy of a document makes; nothing around the phrase
+    assert len(sent) == 13 and max(sent.values()) <= staged.chunks
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.remove_repeated_words(docs).collect()}
+    assert got == {i: (56, 26 if i else 0) for i in range(400)}
+
+
+def test_packed_counters():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 5, 4000):
+        own = np.unique(rng.integers(0, substring_dedup.COUNTERS, n).astype(np.uint64))
+        assert (substring_dedup._unpacked(substring_dedup._packed(own)) == own).all()
+    edge = np.array([0, 1, 255, 256, 65_535, 65_536, substring_dedup.COUNTERS - 1], np.uint64)
+    assert (substring_dedup._unpacked(substring_dedup._packed(edge)) == edge).all()
+
+
+def test_equal_first_halves_are_told_apart():
+    known = np.array([[1, 1, 1, 5], [2, 3, 9, 1]], np.uint64)
+    wanted = np.array([[1, 1, 1, 5, 5, 0], [9, 3, 4, 1, 2, 2]], np.uint64)
+    assert substring_dedup._pairs_among(known, wanted).tolist() == [True, True, False, True, False, False]
