@@ -11,7 +11,8 @@ A size-aware heavy-light join:
   are scanned. Each member is first verified against the list's hubs only, the sets of its size bands with fewest shingles of their own. What these links join
   needs no more checks; then members of a list in different components are verified against each other, if their places in the
   list leave room for enough common shingles.
-* The boundary between small and large is the size up to which enumerating costs less than scanning.
+* The boundary between small and large is the one of least cost, from the corpus's numbers of classes of each small size and the mean length of its
+  inverted lists. It decides how links are found, not which.
 
 Sets are compared by 64-bit shingle hashes, classes by 128-bit ones.
 """
@@ -40,17 +41,41 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def size_boundary(percent: int, scan_cost: float = 24.0, largest: int = 64) -> int:
-    """Largest size whose sets, and their partners, cost less as subsets than as postings: a posting costs ``scan_cost`` rows,
-    what verifying the members that it meets takes."""
-    best = 0
-    for n in range(1, largest + 1):
-        widest = n * 100 // percent
-        subsets = sum(comb(widest, s) for s in range(least_overlap(widest, percent), widest + 1))
-        if subsets > scan_cost * (n - least_overlap(n, percent) + 1):
-            break
-        best = n
-    return best
+# Costs of the boundary's model, in rows of a shuffle: to post a shingle, and to verify one pair of sets that meet.
+POSTING, VERIFY = 2.0, 4.0
+# A set has at most so many subsets, else it is large whatever the costs: they are made in a task's memory.
+SUBSETS = 1 << 12
+
+
+def _subsets(n: int, percent: int) -> int:
+    return sum(comb(n, s) for s in range(least_overlap(n, percent), n + 1))
+
+
+def widest_small(percent: int) -> int:
+    """The largest size whose subsets a task can make."""
+    n = 1
+    while _subsets(n + 1, percent) <= SUBSETS:
+        n += 1
+    return n
+
+
+def size_boundary(percent: int, sizes: dict[int, int], list_length: float) -> int:
+    """The boundary of least cost: sets up to it are small and enumerate subsets, as do the larger sets that could link with them; sets above post the
+    shingles of their prefix and scan lists.
+
+    ``sizes`` has the number of classes of each size (up to ``widest_small``), ``list_length`` the mean length of the corpus's inverted lists. Of equal costs the
+    smallest boundary.
+    """
+    widest = widest_small(percent)
+    scan = POSTING + VERIFY * list_length
+    postings = {n: (n - least_overlap(n, percent) + 1) * scan * c for n, c in sizes.items()}
+    subsets = {n: _subsets(n, percent) * c for n, c in sizes.items() if n <= widest}
+
+    def cost(boundary: int) -> float:
+        return (sum(c for n, c in subsets.items() if boundary and n <= boundary * 100 // percent)
+                + sum(c for n, c in postings.items() if n > boundary))
+
+    return min(range(widest * percent // 100 + 1), key=cost)
 
 
 def _shingles(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,8 +184,10 @@ def shingle_counts(staged: Staged, first: DataFrame, size: int, shards: int) ->
 
 
 def shared_shingles(counts: DataFrame) -> DataFrame:
-    """Cells counted twice or more, to every chunk that has them, with a rank of their count (an eighth of an octave)."""
-    schema = pa.schema([("chunk", pa.int32()), ("shard", pa.int32()), ("cells", pa.binary()), ("ranks", pa.binary())])
+    """Cells counted twice or more, to every chunk that has them, with a rank of their count (an eighth of an octave). A shard's first row also says how many
+    such cells, that is inverted lists, it has, and with how many members."""
+    schema = pa.schema([("chunk", pa.int32()), ("shard", pa.int32()), ("cells", pa.binary()), ("ranks", pa.binary()), ("lists", pa.int64()),
+                        ("members", pa.int64())])
 
     def add(table: pa.Table) -> pa.Table:
         rows = [(c, _from_three(o), _from_three(m), np.frombuffer(k, np.uint32)) for c, o, m, k in
@@ -170,16 +197,18 @@ def shared_shingles(counts: DataFrame) -> DataFrame:
             total[once] += 1
             total[more] += times
         shard, out = table.column("shard")[0].as_py(), []
+        several = total[total > 1]
+        sums = (len(several), int(several.sum(dtype=np.int64)))
         for number, once, more, _ in rows:
             own = np.concatenate([once[total[once] > 1], more])
             if len(own):
                 rank = np.minimum(255, 8 * np.log2(total[own])).astype(np.uint8)
-                out.append((number, shard, _three(own), rank.tobytes()))
+                out.append((number, shard, _three(own), rank.tobytes(), *(sums if not out else (None, None))))
         if not out:
             return schema.empty_table()
         return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    return counts.groupBy("shard").applyInArrow(add, "chunk int, shard int, cells binary, ranks binary")
+    return counts.groupBy("shard").applyInArrow(add, "chunk int, shard int, cells binary, ranks binary, lists long, members long")
 
 
 _NODES = "cls binary, n int, shared binary, postings array<long>, subset_keys array<long>, subset_sizes array<int>"
@@ -234,7 +263,7 @@ def nodes(staged: Staged, shared: DataFrame, first: DataFrame, size: int, percen
             return schema.empty_table()
         return pa.table([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    sent = shared.withColumn("rows", F.lit(None).cast("array<long>")).unionByName(first, allowMissingColumns=True)
+    sent = shared.drop("lists", "members").withColumn("rows", F.lit(None).cast("array<long>")).unionByName(first, allowMissingColumns=True)
     return (staged.table.select(chunk, order, text).groupBy(chunk).cogroup(sent.groupBy("chunk")).applyInArrow(build, _NODES))
 
 
@@ -338,10 +367,13 @@ def list_links(table: DataFrame, percent: int, known: DataFrame) -> DataFrame:
 
 def _classes(docs: Staged, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(a row per document with its class, the component of each linked class)."""
-    shards, boundary = 4 * docs.shards, size_boundary(percent)
+    shards = 4 * docs.shards
     classes = write_shared(shingle_classes(docs, size), "shingle_classes")
     first = write_shared(first_of_classes(classes), "first_of_classes")
-    shared = shared_shingles(shingle_counts(docs, first, size, shards))
+    shared = write_shared(shared_shingles(shingle_counts(docs, first, size, shards)), "shared_shingles")
+    sums = shared.agg(F.sum("members") / F.sum("lists")).first()
+    sizes = classes.filter(f"n between 1 and {widest_small(percent)}").groupBy("n").agg(F.count_distinct("cls").alias("c"))  # a row for each small size
+    boundary = size_boundary(percent, {r.n: r.c for r in sizes.collect()}, sums[0] or 0.0)
     table = write_shared(nodes(docs, shared, first, size, percent, boundary, shards), "shingle_sets")
     return classes, components(list_links(table, percent, subset_links(table, percent)))
 
