@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -357,6 +358,22 @@ def test_quality_rules_tell_labels_apart(spark):
     assert sum(r.kept for r in unseen if r.quality == 0) <= 0.1 * sum(r.quality == 0 for r in unseen)
 
 
+def test_quality_rules_count_all_trusted(small, spark):
+    """Target and threshold follow from every trusted text, of which there is no more than one in a part here."""
+    docs = small.select("doc_id", "text").orderBy("doc_id").limit(300).cache()
+    every = docs.select("doc_id")
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    model = quality_rules.fit(docs, every.unionByName(every), buckets=512, parts=300)
+    weights = np.frombuffer(model.weights, np.float32).reshape(301, 512)
+    assert np.allclose(weights[0], weights[0][0], atol=0.05)     # the corpus is its own target
+    measured = quality_rules.measure(docs, model)
+    got = [r.unseen for r in measured.collect()]
+    for lost in (0.0, 0.5, 0.77):
+        assert np.isclose(quality_rules.threshold(measured, every, lost, 0.0), min(0.0, np.quantile(got, lost)), atol=1e-12)
+    each = quality_rules.gram_counts(docs.withColumn("part", F.expr("CAST(doc_id % 3 AS INT)")), 512, part="part", parts=3)
+    assert [x.sum() for x in each] == [sum(max(0, len(t) - 3) for i, t in texts.items() if i % 3 == k) for k in range(3)]
+
+
 def test_language(small, messy, empty):
     out = language_id.identify(small, declared=F.col("lang"), host=F.col("source"))
     rows = out.collect()
