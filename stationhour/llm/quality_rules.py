@@ -24,6 +24,7 @@ SYMBOLS = b"#*$%&|<>"
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 _BLOCKS = 64
+_SLICE = 1 << 18     # bytes of text looked at together: some forty times as much memory
 
 
 def _grams(data: np.ndarray, bounds: np.ndarray, buckets: int, size: int = 4) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +45,7 @@ def gram_counts(docs: DataFrame, buckets: int, text: str = "text", part: str | N
         total = np.zeros((parts, wide * _BLOCKS), np.int64)
         for batch in batches:
             own = batch.column(1).to_numpy(zero_copy_only=False) if part else np.zeros(batch.num_rows, np.int32)
-            for a, b, data, bounds in V.slices(pa.Table.from_batches([batch]), text):
+            for a, b, data, bounds in V.slices(pa.Table.from_batches([batch]), text, _SLICE):
                 gram, doc = _grams(data, bounds, buckets)
                 of = own[a:b][doc]
                 for i in np.unique(own[a:b]):
@@ -163,7 +164,7 @@ def measure(docs: DataFrame, model: Ratio, text: str = "text", key: str = "doc_i
         weights = np.frombuffer(model.weights, np.float32).reshape(model.parts + 1, -1)
         for batch in batches:
             part = batch.column(2).to_numpy(zero_copy_only=False)
-            for a, b, data, bounds in V.slices(pa.Table.from_batches([batch]), text):
+            for a, b, data, bounds in V.slices(pa.Table.from_batches([batch]), text, _SLICE):
                 counts = base_counts(data, bounds)
                 gram, doc = _grams(data, bounds, weights.shape[1])
                 n = np.bincount(doc, minlength=b - a)

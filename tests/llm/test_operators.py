@@ -374,6 +374,14 @@ def test_quality_rules_count_all_trusted(small, spark):
     assert [x.sum() for x in each] == [sum(max(0, len(t) - 3) for i, t in texts.items() if i % 3 == k) for k in range(3)]
 
 
+def test_quality_rules_look_at_little_text_at_once(small):
+    """Texts are counted in slices far smaller than a task's share of them; the counts don't depend on the slices."""
+    rows = small.select("text").toArrow()
+    few, whole = [[np.concatenate(x) for x in zip(*[quality_rules.base_counts(d, b) for _, _, d, b in quality_rules.V.slices(rows, "text", limit)])]
+                  for limit in (quality_rules._SLICE, 1 << 24)]
+    assert quality_rules._SLICE <= 1 << 18 and all((a == b).all() for a, b in zip(few, whole, strict=True))
+
+
 def test_language(small, messy, empty):
     out = language_id.identify(small, declared=F.col("lang"), host=F.col("source"))
     rows = out.collect()
