@@ -459,11 +459,11 @@ def _(i: Inputs) -> DataFrame:
     """A stream loads files with wrong flows, a backfill the same files corrected, those of 2020 without usable rows; each holds rows of another month."""
     table, mark = (shared_path(i.spark, n) for n in ("changed-table", "changed-mark"))
     stamp = F.to_date(F.substring("time_stamp_string", 1, 10), "MM/dd/yyyy")
-    filed_as = F.date_format(F.add_months(stamp, F.col("samples")), "yyyy_MM")
-    foreign = i.raw_l.where("flow_1 IS NULL").withColumn("samples", F.lit(1))  # filed a month too late
-    own = i.raw_l.withColumn("samples", F.lit(0))
-    wrong = own.unionByName(foreign).withColumn("flow", F.col("flow") + 1)
-    right = own.unionByName(foreign).withColumn("pct_obs", F.when(F.year(stamp) == 2020, 10.0).otherwise(F.col("pct_obs")))
+    filed_as = F.when(F.col("samples") > 0, F.date_format(F.add_months(stamp, F.col("samples")), "yyyy_MM"))
+    # those without a first lane are also filed a month too late
+    every = i.raw_l.withColumn("samples", F.explode(F.when(F.col("flow_1").isNull(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    wrong = every.withColumn("flow", F.col("flow") + 1)
+    right = every.withColumn("pct_obs", F.when(F.substring("time_stamp_string", 7, 4) == "2020", 10.0).otherwise(F.col("pct_obs")))
     ingest.upsert_stream(i.spark, land_raw(wrong, filed_as), table, mark, i.meta, i.calendar)
     return rounded(backfill(i.spark, land_raw(right, filed_as), table, i.meta, i.calendar), *SD)
 

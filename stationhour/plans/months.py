@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationhour.functions.periods import in_name_period
+from stationhour.functions.scalar import computed_once
 from stationhour.operators.cleaning import clean
 from stationhour.operators.enrichment import enrich
 from stationhour.operators.partials import STATE_SCHEMA, file_states, summary_of_states
@@ -116,9 +117,8 @@ def load_files(spark: SparkSession, listed: DataFrame, table: str, meta: DataFra
             rows = raw_source.without_bad_files(rows, rejected.where(F.col("reason") != raw_source.ANOTHER_MONTH))
         else:
             rows = raw_source.scan_raw(spark, paths, origin=True)
-        own = clean(rows, calendar, params).where(in_name_period(F.col("file_name"), F.col("date")))
-        own = own.withColumn("file", raw_source.file_id(raw_source.decoded(F.col("file_path")), root))
-        file_states(own, params).hint("rebalance", *PERIOD).write.partitionBy(*PERIOD).parquet(f"{base}/_states/load={load}")
+        own = _own_states(file_states(clean(rows, calendar, params).withColumn("file", F.col("file_path")), params), root)
+        own.hint("rebalance", *PERIOD).write.partitionBy(*PERIOD).parquet(f"{base}/_states/load={load}")
         counted = _states(spark, table, [(load, *p) for p in periods]).groupBy("file").agg(F.sum("rows").alias("given"))
         given = {r.file: r.given for r in counted.collect()}
     entries = [r | {"rows": given.get(r["file"], 0), "load": load} if r["load"] is None else r for r in news]
@@ -145,6 +145,13 @@ def load_files(spark: SparkSession, listed: DataFrame, table: str, meta: DataFra
     return len(fresh)
 
 
+def _own_states(states: DataFrame, root: str) -> DataFrame:
+    """States by path as states by file, without those of another month than their file's name has. Names are read once a state, not once a row."""
+    states = computed_once(states.withColumnRenamed("file", "path"), "local", raw_source.decoded(F.col("path")))
+    own = in_name_period(F.element_at(F.split("local", "/"), -1), F.make_date("year", "month_num", F.lit(1)))
+    return states.where(own).withColumn("file", raw_source.file_id(F.col("local"), root)).select(*STATE_SCHEMA.names)
+
+
 def _states(spark: SparkSession, table: str, parts: list[tuple[str, int, int]]) -> DataFrame:
     """States of the given (load, year, month), where there are any."""
     folder, base = versions.Folder(spark, table), table.rstrip("/")

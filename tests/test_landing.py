@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from conftest import JANUARY
 from fixtures.landing import land_raw
+from stationhour.operators.cleaning import clean
+from stationhour.operators.partials import file_states
+from stationhour.plans import months
 from stationhour.sources import raw
 
 
@@ -34,3 +37,13 @@ def test_months_in_several_files_keep_their_name(spark, raw_rows, split):
     landed = raw.scan_raw(spark, pattern)
     wanted = rows.select(*landed.columns).withColumns({c: F.col(c).cast(t) for c, t in landed.dtypes})
     assert landed.exceptAll(wanted).isEmpty() and wanted.exceptAll(landed).isEmpty()
+
+
+def test_file_names_are_read_once_a_state(spark, write_raw, calendar):
+    """What depends on a row's file and month alone is computed above the aggregation of its rows, and foreign rows leave no state."""
+    folder = write_raw({"d12_text_station_hour_2024_01.txt": [{"time_stamp_string": d} for d in (*JANUARY, "02/06/2024 08:00:00")]})
+    rows = clean(raw.scan_raw(spark, folder, origin=True), calendar).withColumn("file", F.col("file_path"))
+    states = months._own_states(file_states(rows), raw.root_of(spark, folder))
+    above, below = states._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)
+    assert "regexp_extract(" in above and "regexp_extract(" not in below and "decode" not in below.lower()
+    assert [(r.file, r.month_num, r.rows) for r in states.collect()] == [("d12_text_station_hour_2024_01.txt", 1, len(JANUARY))]
